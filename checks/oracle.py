@@ -444,7 +444,7 @@ BODIES["impress_detail"] = "SELECT * FROM i_detail"
 BODIES["detail_nested_flat"] = """
 SELECT d.bid, d.user_id, CAST(dense_rank() OVER (PARTITION BY d.bid, d.user_id ORDER BY d.day DESC) - 1 AS INTEGER) AS position,
   d.day, d.item_id, action_type, cnt, last_time
-FROM a_detail d JOIN (SELECT bid, user_id, day, item_id FROM a_detail GROUP BY ALL
+FROM a_detail d JOIN (SELECT bid, user_id, day, item_id FROM a_detail GROUP BY bid, user_id, day, item_id
   QUALIFY row_number() OVER (PARTITION BY bid, user_id, day ORDER BY max(last_time) DESC, item_id) <= 2) k
 ON k.bid = d.bid AND k.user_id = d.user_id AND k.day = d.day AND k.item_id = d.item_id"""
 BODIES["combine_last"] = """
