@@ -557,6 +557,11 @@ SELECT seq, {valid_user('user_id')} AS valid_user, TRUE AS valid_time, platform
   CASE WHEN seq % 3 > 0 AND seq % 5 > 0 THEN round((seq % 3) / (seq % 5), 6) ELSE 0.0::DOUBLE END AS ctr
 FROM acts"""
 
+BODIES["stream_item_count"] = BODIES["item_count"]
+BODIES["stream_pair_count"] = BODIES["pair_count"]
+BODIES["stream_ctr"] = BODIES["ctr_daily"]
+BODIES["stream_top_results"] = _top("SELECT * FROM ctr_all")
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: statement(body) for name, body in BODIES.items()}

@@ -441,3 +441,85 @@ def column_functions(spark, sf):
         F.round(C.cosine_weight(F.col("seq") % 3, F.col("seq") % 5, F.col("seq") % 7), 6).alias("cosine"),
         F.round(C.ctr_weight(F.col("seq") % 3, F.col("seq") % 5), 6).alias("ctr"),
     )
+
+
+# ------------------------------------------------------------------- streaming
+
+# The events arrive in three parts; each run picks up where the last one stopped.
+STREAM_CUTS = (0, 20240111, 20240121, 99999999)
+
+
+def _in_parts(spark, rows, schema, run):
+    """Stage the actions part by part and run the streaming job to its end after each."""
+    from footfall.session import shared_folder
+
+    folder = shared_folder(spark, "stream")
+    for low, high in zip(STREAM_CUTS, STREAM_CUTS[1:]):
+        day = C.day_id("action_time")
+        rows.where((day >= low) & (day < high)).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        run(source, folder).awaitTermination()
+    return folder
+
+
+def _stream_history(spark, sf, run):
+    rows = X.history(spark, sf)
+    return _in_parts(spark, rows, rows.schema, run)
+
+
+NOW = {"availableNow": True}
+
+
+@query
+def stream_item_count(spark, sf):
+    from footfall.streaming import counters
+
+    table = lambda folder: counters.count_table(spark, f"{folder}/counts")
+    folder = _stream_history(
+        spark, sf, lambda source, f: counters.start_item_count(source, table(f), f"{f}/checkpoint", P, NOW)
+    )
+    return table(folder).totals(["bid", "item_id", "day", "group_id"], "weight")
+
+
+@query
+def stream_pair_count(spark, sf):
+    from footfall.streaming import pairs
+
+    table = lambda folder: pairs.pair_table(spark, f"{folder}/pairs")
+    events = lambda folder: pairs.history_table(spark, f"{folder}/events")
+    folder = _stream_history(
+        spark, sf, lambda source, f: pairs.start_pair_count(source, events(f), table(f), f"{f}/checkpoint", P, NOW)
+    )
+    return table(folder).totals(["bid", "item_a", "item_b", "day", "group_id"], "weight")
+
+
+def _stream_ctr(spark, sf, with_lists):
+    from footfall.streaming import lists
+
+    dim = X.dim_item(spark, sf)
+    table = lambda folder: lists.ctr_table(spark, f"{folder}/ctr")
+    ranked = lambda folder: lists.list_table(spark, f"{folder}/lists")
+
+    def run(source, f):
+        extra = {"lists": ranked(f), "dim_item": dim} if with_lists else {}
+        return lists.start_ctr(source, table(f), f"{f}/checkpoint", P, NOW, **extra)
+
+    rows = X.resolved_actions(spark, sf)
+    return table, ranked, _in_parts(spark, rows, rows.schema, run)
+
+
+@query
+def stream_ctr(spark, sf):
+    from footfall.streaming import lists
+
+    table, _, folder = _stream_ctr(spark, sf, False)
+    return table(folder).latest(lists.CTR_KEY).drop("batch")
+
+
+@query
+def stream_top_results(spark, sf):
+    from footfall.streaming import lists
+
+    _, ranked, folder = _stream_ctr(spark, sf, True)
+    served = lists.served_lists(ranked(folder), P)
+    return served.select("key", "rank", "item_id", F.round("weight", 6).alias("weight"), "item_time")
