@@ -328,16 +328,16 @@ def hot_top_results(spark, sf):
 
 @query
 def user_recent(spark, sf):
-    return ranking.user_recent(enrich.enrich_items(X.resolved_actions(spark, sf), X.dim_item(spark, sf)), P)
+    return ranking.user_recent(X.resolved_actions(spark, sf), X.dim_item(spark, sf), P).drop("seq")
 
 
 @query
 def merge_recent(spark, sf):
     """Lists at an earlier time merged with the actions since then give today's lists."""
-    rows = enrich.enrich_items(X.resolved_actions(spark, sf), X.dim_item(spark, sf))
+    rows, dim = X.resolved_actions(spark, sf), X.dim_item(spark, sf)
     cut = P.as_of - 5 * 86400
-    stored = ranking.user_recent(rows, replace(P, as_of=cut))
-    fresh = ranking.user_recent(rows.where(F.col("action_time") > cut), P)
+    stored = ranking.user_recent(rows, dim, replace(P, as_of=cut))
+    fresh = ranking.user_recent(rows.where(F.col("action_time") > cut), dim, P)
     return ranking.merge_recent(stored, fresh, P).select("key", "rank", "item_id", "action_time")
 
 
@@ -346,8 +346,7 @@ def merge_recent(spark, sf):
 
 @query
 def filter_scores(spark, sf):
-    h = X.history(spark, sf)
-    return filtering.filter_scores(H.action_detail(h, P), H.impress_detail(h, P), P)
+    return filtering.filter_scores(H.daily_detail(X.history(spark, sf), P), P)
 
 
 CURRENT = replace(P, as_of=P.as_of - 2 * 86400, flush_seconds=43200)
@@ -356,8 +355,7 @@ CURRENT = replace(P, as_of=P.as_of - 2 * 86400, flush_seconds=43200)
 @query
 def filter_scores_current(spark, sf):
     actions = X.resolved_actions(spark, sf)
-    h = H.user_history(actions)
-    return filtering.filter_scores(H.action_detail(h, CURRENT), H.impress_detail(h, CURRENT), CURRENT, current=actions)
+    return filtering.filter_scores(H.daily_detail(H.user_history(actions), CURRENT), CURRENT, current=actions)
 
 
 FILTER = replace(P, filter_impress_days=5, filter_size=4)
@@ -365,10 +363,8 @@ FILTER = replace(P, filter_impress_days=5, filter_size=4)
 
 @query
 def user_filter_list(spark, sf):
-    h = X.history(spark, sf)
-    detail = H.action_detail(h, FILTER)
-    scores = filtering.filter_scores(detail, H.impress_detail(h, FILTER), FILTER)
-    return filtering.user_filter_list(scores, detail, FILTER)
+    detail = H.daily_detail(X.history(spark, sf), FILTER)
+    return filtering.user_filter_list(filtering.filter_scores(detail, FILTER), detail, FILTER)
 
 
 # --------------------------------------------------------------------- content

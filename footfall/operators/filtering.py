@@ -12,28 +12,28 @@ ACTION, IMPRESS = "action", "impress"
 IMPRESS_MIN_TENTHS = 3
 
 
-def _scores(detail: DataFrame, source: str, as_of: int, days: int) -> DataFrame:
-    oldest = C.day_id(F.lit(as_of - days * 86400))
-    return detail.where(F.col("day") >= oldest).select(
+def filter_scores(detail: DataFrame, p: Params, current: DataFrame | None = None) -> DataFrame:
+    """Score in tenths per user, item and source, from ``history.daily_detail``.
+
+    A detail row can count as an action, as an impression or as both, over different
+    numbers of days; one pass over the detail serves both. ``current`` optionally adds
+    the actions of the last flush once per (user, item), for a history that does not
+    contain them yet.
+    """
+    sources = []
+    for source, member, days in (
+        (ACTION, "counts_as_action", p.filter_action_days),
+        (IMPRESS, "is_impression", p.filter_impress_days),
+    ):
+        recent = F.col("day") >= C.day_id(F.lit(p.as_of - days * 86400))
+        sources.append(F.when(F.col(member) & recent, F.lit(source)))
+    rows = detail.select(
         "bid",
         "user_id",
         "item_id",
-        F.lit(source).alias("source"),
+        F.explode(F.array(*sources)).alias("source"),
         C.filter_score_tenths("action_type", "cnt").alias("score_tenths"),
-    )
-
-
-def filter_scores(
-    action_detail: DataFrame, impress_detail: DataFrame, p: Params, current: DataFrame | None = None
-) -> DataFrame:
-    """Score in tenths per user, item and source.
-
-    ``current`` optionally adds the actions of the last flush once per (user, item),
-    for a history that does not contain them yet.
-    """
-    rows = _scores(action_detail, ACTION, p.as_of, p.filter_action_days).unionByName(
-        _scores(impress_detail, IMPRESS, p.as_of, p.filter_impress_days)
-    )
+    ).where(F.col("source").isNotNull())
     if current is not None:
         last = (
             current.where(
@@ -57,7 +57,7 @@ def filter_scores(
     return rows.groupBy("bid", "user_id", "item_id", "source").agg(F.sum("score_tenths").alias("score_tenths"))
 
 
-def user_filter_list(scores: DataFrame, action_detail: DataFrame, p: Params) -> DataFrame:
+def user_filter_list(scores: DataFrame, detail: DataFrame, p: Params) -> DataFrame:
     """Best action scores first, then impressions of at least 0.3 until the list is full.
 
     An item can be in both parts. Users without any action detail get no list.
@@ -69,7 +69,7 @@ def user_filter_list(scores: DataFrame, action_detail: DataFrame, p: Params) ->
     ranked = top_n(
         rows, ["bid", "user_id"], [F.asc("source_rank"), F.desc("score_tenths"), F.asc("item_id")], p.filter_size
     )
-    active = action_detail.select("bid", "user_id").distinct()
+    active = detail.where("counts_as_action").select("bid", "user_id").distinct()
     return ranked.join(active, ["bid", "user_id"], "left_semi").select(
         "bid", "user_id", "rank", "item_id", "source", (F.col("score_tenths") / 10.0).alias("score")
     )

@@ -65,13 +65,19 @@ def _daily(history: DataFrame) -> DataFrame:
     )
 
 
+def daily_detail(history: DataFrame, p: Params) -> DataFrame:
+    """Action and impression detail in one table: count and last time per user, day, item
+    and type. ``counts_as_action`` is false for items with only zero-weight actions on
+    the day, ``is_impression`` marks the recommend actions."""
+    best = F.max(C.action_weight_tenths("action_type")).over(Window.partitionBy(*DAY_KEY))
+    daily = _daily(within(history, p.as_of, p.retention_days))
+    return daily.withColumns({"counts_as_action": best > 0, "is_impression": C.is_recommend_action("action_type")})
+
+
 def action_detail(history: DataFrame, p: Params) -> DataFrame:
     """Count and last time per user, day, item and type; items with only zero-weight
     actions on a day are dropped from that day."""
-    weight = C.action_weight_tenths("action_type")
-    best = F.max(weight).over(Window.partitionBy(*DAY_KEY))
-    daily = _daily(within(history, p.as_of, p.retention_days))
-    return daily.withColumn("_best", best).where(F.col("_best") > 0).drop("_best")
+    return daily_detail(history, p).where("counts_as_action").drop("counts_as_action", "is_impression")
 
 
 def impress_detail(history: DataFrame, p: Params) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from footfall import model as M
 from footfall.functions import columns as C
 from footfall.model import Params
+from footfall.operators.enrich import enrich_items
 from footfall.sources.dimensions import latest_per
 
 
@@ -41,26 +42,32 @@ def nest_results(lists: DataFrame, columns: Sequence[str]) -> DataFrame:
     return lists.groupBy("key").agg(F.sort_array(F.collect_list(entry)).alias("results"))
 
 
-def user_recent(actions: DataFrame, p: Params) -> DataFrame:
-    """Newest distinct items per user, or per uid where the user is unknown.
+def user_recent(actions: DataFrame, dim_item: DataFrame, p: Params) -> DataFrame:
+    """Newest distinct items per user, or per uid where the user is unknown, with the
+    items' attributes. Recommend actions are left out.
 
-    ``actions`` are enriched user actions; recommend actions are left out.
+    Lists are cut to size first and enriched afterwards, so the lookup join sees at
+    most ``recent_size`` rows per user instead of all actions.
     """
     by_user = C.is_valid_user("user_id")
     by_uid = (F.col("uid") != "") & (F.col("uid") != "0")
     key = F.when(by_user, C.join_key("bid", "user_id", F.lit(M.LIST_RECENT_BY_USER))).when(
         by_uid, C.join_key("bid", "uid", F.lit(M.LIST_RECENT_BY_UID))
     )
-    rows = actions.where(C.is_valid_item("item_id") & ~C.is_recommend_action("action_type")).withColumn("key", key)
-    rows = rows.where(F.col("key").isNotNull() & (F.col("action_time") <= p.as_of))
+    rows = (
+        actions.where(C.is_valid_item("item_id") & ~C.is_recommend_action("action_type"))
+        .select("bid", key.alias("key"), "item_id", "action_type", "action_time", "seq")
+        .where(F.col("key").isNotNull() & (F.col("action_time") <= p.as_of))
+    )
     newest = latest_per(rows, ["key", "item_id"], [F.desc("action_time"), F.desc("seq")])
     ranked = top_n(newest, ["key"], [F.desc("action_time"), F.desc("seq"), F.asc("item_id")], p.recent_size)
-    return ranked.select(
+    return enrich_items(ranked, dim_item).select(
         "key",
         "rank",
         "item_id",
         "action_type",
         "action_time",
+        "seq",
         "big_type",
         "mid_type",
         "small_type",
@@ -72,5 +79,5 @@ def user_recent(actions: DataFrame, p: Params) -> DataFrame:
 def merge_recent(stored: DataFrame, fresh: DataFrame, p: Params) -> DataFrame:
     """New-over-old merge of two recent lists."""
     rows = stored.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1))).drop("rank")
-    newest = latest_per(rows, ["key", "item_id"], [F.desc("_new"), F.desc("action_time")]).drop("_new")
-    return top_n(newest, ["key"], [F.desc("action_time"), F.asc("item_id")], p.recent_size)
+    newest = latest_per(rows, ["key", "item_id"], [F.desc("_new"), F.desc("action_time"), F.desc("seq")]).drop("_new")
+    return top_n(newest, ["key"], [F.desc("action_time"), F.desc("seq"), F.asc("item_id")], p.recent_size)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from footfall.functions import columns as C
 from footfall.model import Params
-from footfall.operators import content, ctr, enrich, filtering, history as H, popularity, ranking, similarity
+from footfall.operators import content, ctr, enrich, filtering, history as H, popularity, ranking, segments as S, similarity
 from footfall.session import shared_folder
 
 
@@ -16,14 +17,18 @@ def hot_lists(actions: DataFrame, dim_item: DataFrame, p: Params) -> DataFrame:
 
 
 def ranked_lists(actions: DataFrame, dim_item: DataFrame, p: Params, level: str = "big_type") -> DataFrame:
-    """All ranked lists: hot, hot by category, item-item and click-through."""
-    history = H.user_history(actions)
-    totals = popularity.item_total(history, p)
+    """All ranked lists: hot, hot by category, item-item and click-through.
+
+    The history feeds three counters, so its part inside the window is written to the
+    shared folder once instead of being resolved and exploded for each of them.
+    """
+    history = materialize(S.since(S.countable(H.user_history(actions)), p, p.retention_days), "history")
+    totals = materialize(popularity.item_total(history, p), "totals")
     candidates = (
         popularity.hot_items(totals)
         .unionByName(enrich.category_candidates(totals, level))
         .unionByName(similarity.item_cf(similarity.pair_total(history, p), totals))
-        .unionByName(ctr.ctr(ctr.ctr_daily(actions), p))
+        .unionByName(ctr.ctr(ctr.ctr_daily(H.within(actions, p.as_of, p.retention_days)), p))
     )
     return _ranked(candidates, dim_item, p)
 
@@ -35,27 +40,24 @@ def _ranked(candidates: DataFrame, dim_item: DataFrame, p: Params) -> DataFrame:
 
 def user_lists(actions: DataFrame, dim_item: DataFrame, p: Params) -> dict[str, DataFrame]:
     """Per-user tables: recent items, already-seen items, interest profile."""
-    history = H.user_history(actions)
-    detail = H.action_detail(history, p)
-    scores = filtering.filter_scores(detail, H.impress_detail(history, p), p)
+    detail = materialize(H.daily_detail(H.user_history(actions), p), "detail")
     profile = content.user_profile(actions, content.item_tags(dim_item), p, content.default_denied_tags())
     return {
-        "user_recent": ranking.user_recent(enrich.enrich_items(actions, dim_item), p),
-        "user_filter": filtering.user_filter_list(scores, detail, p),
+        "user_recent": ranking.user_recent(actions, dim_item, p),
+        "user_filter": filtering.user_filter_list(filtering.filter_scores(detail, p), detail, p),
         "user_profile": content.profile_top_tags(profile, p),
     }
 
 
 def write_history(history: DataFrame, path: str) -> None:
     """History partitioned by day, so that retention windows prune whole folders."""
-    from footfall.functions import columns as C
-
     history.withColumn("day", C.day_id("action_time")).write.mode("overwrite").partitionBy("day").parquet(path)
 
 
-def materialize(rows: DataFrame, spark: SparkSession, purpose: str) -> DataFrame:
+def materialize(rows: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back: cuts lineage
     and lets several outputs share one computation, and survives lost executors."""
+    spark = rows.sparkSession
     path = shared_folder(spark, purpose)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

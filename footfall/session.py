@@ -36,6 +36,8 @@ def local_session(cpus: int = 8, name: str = "footfall", partitions: int | None
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Plans are built from many small expressions; skip the call-site capture of each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
