@@ -455,8 +455,8 @@ SELECT bid, user_id, group_id, item_id, action_time // 3600 * 3600 AS window_sta
 QUALIFY row_number() OVER (PARTITION BY bid, user_id, group_id, item_id, action_time // 3600
   ORDER BY action_type DESC, action_time) = 1"""
 BODIES["action_with_history"] = f"""
-SELECT a.bid, a.user_id, a.item_id, a.seq, a.action_time, a.action_type, x.action_time AS past_time, x.action_type AS past_type,
-  x.weight AS past_weight
+SELECT DISTINCT a.bid, a.user_id, a.item_id, a.seq, a.action_time, a.action_type, {day('x.action_time')} AS past_day,
+  x.action_type AS past_type, x.weight AS past_weight
 FROM hist a JOIN hist x ON x.bid = a.bid AND x.user_id = a.user_id AND x.item_id = a.item_id AND x.action_time <= a.action_time
   AND {day('x.action_time')} >= {day('a.action_time - 86400')} WHERE NOT a.impression"""
 BODIES["user_item_weight"] = "SELECT * FROM uiw"
@@ -557,6 +557,9 @@ SELECT seq, {valid_user('user_id')} AS valid_user, TRUE AS valid_time, platform
   CASE WHEN seq % 3 > 0 AND seq % 5 > 0 THEN round((seq % 3) / (seq % 5), 6) ELSE 0.0::DOUBLE END AS ctr
 FROM acts"""
 
+BODIES["sink_keyed"] = f"SELECT *, CAST({AS_OF + 10 * 86400} AS BIGINT) AS expire_at FROM ({BODIES['hot_top_results']})"
+BODIES["stream_ingest"] = """
+SELECT coalesce(reason, topic) AS verdict, count(*) AS n FROM checked_news WHERE category = 'UserActionInfo' GROUP BY ALL"""
 BODIES["stream_item_count"] = BODIES["item_count"]
 BODIES["stream_pair_count"] = BODIES["pair_count"]
 BODIES["stream_ctr"] = BODIES["ctr_daily"]

@@ -188,10 +188,7 @@ def combine_max_type(spark, sf):
 
 @query
 def action_with_history(spark, sf):
-    h = X.history(spark, sf)
-    return popularity.action_with_history(None, h, P).select(
-        "bid", "user_id", "item_id", "seq", "action_time", "action_type", "past_time", "past_type", "past_weight"
-    )
+    return popularity.action_with_history(X.history(spark, sf), P)
 
 
 @query
@@ -326,6 +323,17 @@ def hot_top_results(spark, sf):
     return lists.select("key", "rank", "item_id", "weight", "item_time")
 
 
+@query
+def sink_keyed(spark, sf):
+    """Hot lists written to the keyed sink and read back before they expire."""
+    from footfall.session import shared_folder
+    from footfall.streaming import store
+
+    path = shared_folder(spark, "served")
+    store.put(hot_top_results(spark, sf), path, P.as_of, 10 * 86400)
+    return store.get_alive(spark, path, P.as_of + 86400)
+
+
 @query
 def user_recent(spark, sf):
     return ranking.user_recent(X.resolved_actions(spark, sf), X.dim_item(spark, sf), P).drop("seq")
@@ -519,3 +527,18 @@ def stream_top_results(spark, sf):
     _, ranked, folder = _stream_ctr(spark, sf, True)
     served = lists.served_lists(ranked(folder), P)
     return served.select("key", "rank", "item_id", F.round("weight", 6).alias("weight"), "item_time")
+
+
+@query
+def stream_ingest(spark, sf):
+    from footfall.streaming import ingest
+
+    table = lambda folder: ingest.parsed_table(spark, f"{folder}/parsed")
+    rows = X.actions(spark, sf)
+    lines = X.message_lines(rows).join(rows.select("seq", "action_time"), "seq")
+
+    def run(source, folder):
+        return ingest.start_ingest(source, table(folder), f"{folder}/checkpoint", "news", trigger=NOW)
+
+    folder = _in_parts(spark, lines, lines.schema, run)
+    return ingest.verdict_counts(table(folder))

@@ -7,25 +7,28 @@ from pyspark.sql import DataFrame, functions as F
 from footfall import model as M
 from footfall.functions import columns as C
 
+UNKNOWN_USER = "0"
+
 
 def resolve_user(actions: DataFrame, uid_map: DataFrame) -> DataFrame:
     """Fill in the user of actions that carry only a uid.
 
     Rows with neither a valid user nor a usable uid are dropped; a uid that cannot
     be resolved gives user "0". ``uid_map`` has one (uid, user_id) row per uid.
-    Rows that need no lookup get a spread, never-matching join key, so they do not
-    pile up in the partition of the null key.
+
+    Rows with a user bypass the lookup: they are not shuffled by uid, and their uids
+    cannot pile up in one partition of it. The price is a second scan of the source,
+    with the filter pushed into it.
     """
     known = C.is_valid_user("user_id")
-    usable_uid = (F.col("uid") != "") & (F.col("uid") != "0")
-    rows = actions.where(known | usable_uid)
-    spread = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64("user_id", "action_time"), F.lit(4096)).cast("string"))
-    rows = rows.withColumn("_lookup", F.when(known, spread).otherwise(F.col("uid")))
-    lookup = uid_map.select(F.col("uid").alias("_lookup"), F.col("user_id").alias("_found")).where(
-        C.is_valid_user("_found")
+    usable_uid = F.coalesce((F.col("uid") != "") & (F.col("uid") != "0"), F.lit(False))
+    lookup = uid_map.select("uid", F.col("user_id").alias("_found")).where(C.is_valid_user("_found"))
+    looked_up = (
+        actions.where(~known & usable_uid)
+        .join(lookup, "uid", "left")
+        .withColumn("user_id", F.coalesce("_found", F.lit(UNKNOWN_USER)))
     )
-    user = F.when(known, F.col("user_id")).otherwise(F.coalesce(F.col("_found"), F.lit("0")))
-    return rows.join(lookup, "_lookup", "left").withColumn("user_id", user).drop("_lookup", "_found")
+    return actions.where(known).unionByName(looked_up.select(*actions.columns))
 
 
 def resolve_group(actions: DataFrame, group_map: DataFrame) -> DataFrame:

@@ -106,19 +106,37 @@ def hot_by_category(totals: DataFrame, dim_item: DataFrame, level: str = "big_ty
     )
 
 
-def action_with_history(actions: DataFrame, history: DataFrame, p: Params) -> DataFrame:
-    """Each triggering action with the user's history rows on the same item inside
-    the link window; the building block of the counters, kept for inspection."""
-    past = history.select(
-        "bid",
-        "user_id",
-        "item_id",
-        F.col("action_time").alias("past_time"),
-        F.col("action_type").alias("past_type"),
-        F.col("weight").alias("past_weight"),
+def action_with_history(history: DataFrame, p: Params) -> DataFrame:
+    """Each triggering action with what the user had done to its item inside the link
+    window by then: one row per day and action type.
+
+    Days are equi-join keys: a day's row is offered to the days it can be linked from,
+    so an action meets at most (link days + 1) × types rows, however long the history.
+    """
+    daily = (
+        history.groupBy("bid", "user_id", "item_id", C.epoch_day("action_time").alias("_past"), "action_type")
+        .agg(F.min("action_time").alias("first_time"))
+        .withColumn("_day", F.explode(F.sequence(F.col("_past"), F.col("_past") + p.link_days)))
+        .withColumnRenamed("action_type", "past_type")
+    )
+    triggers = history.where(S.is_trigger()).select(
+        "bid", "user_id", "item_id", "seq", "action_time", "action_type", C.epoch_day("action_time").alias("_day")
     )
-    inside = (F.col("past_time") <= F.col("action_time")) & (
-        C.epoch_day("past_time") >= C.epoch_day(F.col("action_time") - p.link_seconds)
+    linked = (F.col("first_time") <= F.col("action_time")) & (
+        F.col("_past") >= C.epoch_day(F.col("action_time") - p.link_seconds)
+    )
+    return (
+        triggers.join(daily, ["bid", "user_id", "item_id", "_day"])
+        .where(linked)
+        .select(
+            "bid",
+            "user_id",
+            "item_id",
+            "seq",
+            "action_time",
+            "action_type",
+            C.day_of_epoch("_past").alias("past_day"),
+            "past_type",
+            C.action_weight("past_type").alias("past_weight"),
+        )
     )
-    triggers = history.where(S.is_trigger()) if actions is None else actions
-    return triggers.join(past, ["bid", "user_id", "item_id"]).where(inside)

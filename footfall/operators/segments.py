@@ -90,6 +90,22 @@ def segments(history: DataFrame, p: Params) -> DataFrame:
     )
 
 
+def first_of_day(segs: DataFrame) -> DataFrame:
+    """First position per user, item and day, over slots and weights."""
+    day_start = F.col("day") * F.lit(M.DAY_SECONDS).cast("long")
+    position = F.shiftleft(F.col("first_time") - day_start, SEQ_BITS) + F.col("first_seq")
+    keys = ["bid", "user_id", "group_id", "item_id", "day"]
+    return (
+        segs.groupBy(*keys)
+        .agg(F.min(position).alias("_first"))
+        .select(
+            *keys,
+            (day_start + F.shiftright("_first", SEQ_BITS)).alias("first_time"),
+            F.col("_first").bitwiseAND(F.lit((1 << SEQ_BITS) - 1)).alias("first_seq"),
+        )
+    )
+
+
 def triggers(history: DataFrame, p: Params) -> DataFrame:
     """User actions, one per user, item and second (the last one stands for all of
     them: it sees everything the others see). ``shift`` is the day of t − link."""
@@ -116,26 +132,32 @@ def visible(p: Params) -> Column:
 
 
 def split_hot(
-    left: DataFrame, right: DataFrame, keys: list[str], spread_by: str, p: Params, side: str = "salt"
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread_by: str,
+    p: Params,
+    load: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Add a salt to both sides of an equi-join so that no key is too much for a task.
+    """Add a ``salt`` to both sides of an equi-join so that no key is too much for a task.
 
     Keys with more than ``rows_per_split`` left rows are cut into enough parts by a
     hash of ``spread_by``; the right side of such keys is repeated once per part. All
     other keys have the single part 0. The table of hot keys has at most
     rows / rows_per_split entries, which is what makes broadcasting it safe.
+    ``load`` may stand in for ``left`` when counting: an earlier form of it with at
+    least as many rows per key, whose shuffle is there already.
     """
     hot = (
-        left.groupBy(*keys)
+        (left if load is None else load)
+        .groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > p.rows_per_split)
         .select(*keys, F.ceil(F.col("_rows") / p.rows_per_split).cast("int").alias("_parts"))
     )
     parts = F.coalesce(F.col("_parts"), F.lit(1))
-    salted_left = left.join(F.broadcast(hot), keys, "left").withColumn(
-        side, F.pmod(F.hash(spread_by), parts)
-    )
+    salted_left = left.join(F.broadcast(hot), keys, "left").withColumn("salt", F.pmod(F.hash(spread_by), parts))
     salted_right = right.join(F.broadcast(hot), keys, "left").withColumn(
-        side, F.explode(F.sequence(F.lit(0), parts - 1))
+        "salt", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     return salted_left.drop("_parts"), salted_right.drop("_parts")

@@ -24,13 +24,13 @@ def _field(packed: Column, shift: int, bits: int) -> Column:
     return F.shiftright(packed, shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
 
-def co_occurrence(triggers: DataFrame, segs: DataFrame, p: Params) -> DataFrame:
+def co_occurrence(triggers: DataFrame, segs: DataFrame, p: Params, load: DataFrame | None = None) -> DataFrame:
     """Each trigger with the user's other items that are visible to it.
 
     An equi-join on (user, shift day) plus a time range, never a cross join: the day
     cuts long histories into pieces, the salt cuts a hot user's day by trigger item.
     """
-    left, right = S.split_hot(triggers, segs, [*USER, "shift"], "item_id", p)
+    left, right = S.split_hot(triggers, segs, [*USER, "shift"], "item_id", p, load)
     right = right.select(
         *USER, "shift", "salt", F.col("item_id").alias("other"), "tenths", "day", "first_time", "first_seq", "last_time"
     )
@@ -60,7 +60,7 @@ def user_pair_weight(history: DataFrame, p: Params, days: int | None = None) ->
         .agg(F.max(S.pack(F.col("tenths"), F.col("day"))).alias("own"))
     )
 
-    pairs = co_occurrence(with_own, segs, p)
+    pairs = co_occurrence(with_own, segs, p, load=triggers)
     # Order: time, then the other item's (weight, day); the own (weight, day) rides along.
     offset = F.col("action_time") - p.link_seconds - F.col("shift") * F.lit(M.DAY_SECONDS).cast("long")
     order = _stack(offset, F.col("tenths"), _WEIGHT_BITS)
@@ -123,6 +123,7 @@ def pair_increment(history: DataFrame, p: Params, days: int | None = None) -> Da
         F.col("first_seq").alias("seq"),
         F.col("tenths").alias("new_tenths"),
         F.col("day").alias("new_day"),
+        C.epoch_day(F.col("first_time") - p.link_seconds).alias("shift"),
     )
     earlier = segs.select(
         *USER,
@@ -143,10 +144,8 @@ def pair_increment(history: DataFrame, p: Params, days: int | None = None) -> Da
     keys = [*USER, "item_id"]
     left, right = first.alias("l"), earlier.alias("r")
     same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
-    maxima = left.join(right, [*same, beaten], "left_anti").withColumn(
-        "shift", C.epoch_day(F.col("action_time") - p.link_seconds)
-    )
-    pairs = co_occurrence(maxima, S.by_shift(segs, p), p)
+    maxima = left.join(right, [*same, beaten], "left_anti")
+    pairs = co_occurrence(maxima, S.by_shift(segs, p), p, load=first)
     best = pairs.groupBy(
         *USER, "shift", "salt", "item_id", "other", "action_time", "seq", "new_tenths", "new_day"
     ).agg(F.max(S.pack(F.col("tenths"), F.col("day"))).alias("_best"))
@@ -174,13 +173,7 @@ def item_neighbours(history: DataFrame, p: Params, days: int | None = None) -> D
         .groupBy(*USER, "item_id", "shift")
         .agg(F.max("action_time").alias("action_time"), F.max_by("seq", "action_time").alias("seq"))
     )
-    daily = (
-        S.segments(rows.where(F.col("weight") > 0), p)
-        .groupBy(*USER, "item_id", "day")
-        .agg(F.min("first_time").alias("first_time"), F.min(F.struct("first_time", "first_seq")).alias("_first"))
-        .withColumn("first_seq", F.col("_first.first_seq"))
-        .drop("_first")
-    )
+    daily = S.first_of_day(S.segments(rows.where(F.col("weight") > 0), p))
     left, right = S.split_hot(last, S.by_shift(daily, p), [*USER, "shift"], "item_id", p)
     right = right.select(*USER, "shift", "salt", F.col("item_id").alias("other"), "first_time", "first_seq")
     seen = (F.col("first_time") < F.col("action_time")) | (

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from footfall import model as M
 from footfall.functions import columns as C
 from footfall.model import Params
 from footfall.operators import content, ctr, enrich, filtering, history as H, popularity, ranking, segments as S, similarity
@@ -54,6 +55,12 @@ def write_history(history: DataFrame, path: str) -> None:
     history.withColumn("day", C.day_id("action_time")).write.mode("overwrite").partitionBy("day").parquet(path)
 
 
+def read_history(spark: SparkSession, path: str, p: Params, days: int) -> DataFrame:
+    """Stored history that the counters need for the last ``days`` days: whole day folders."""
+    oldest = C.day_id(F.lit(p.as_of - (days + p.link_days) * M.DAY_SECONDS))
+    return spark.read.parquet(path).where(F.col("day") >= oldest).drop("day")
+
+
 def materialize(rows: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back: cuts lineage
     and lets several outputs share one computation, and survives lost executors."""

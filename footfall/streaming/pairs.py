@@ -38,7 +38,11 @@ def pair_changes(stored: DataFrame, batch: DataFrame, p: Params) -> DataFrame:
     """
     users = batch.groupBy(*USER).agg(F.min("action_time").alias("_from"))
     reach = 2 * p.link_seconds + M.DAY_SECONDS
-    near = stored.join(users, USER).where(
+    # One number to the driver, so that the scan of the stored history is cut by time.
+    oldest = batch.agg(F.min("action_time")).first()[0]
+    if oldest is None:
+        return similarity.user_pair_weight(batch, p)
+    near = stored.where(F.col("action_time") >= oldest - reach - M.DAY_SECONDS).join(users, USER).where(
         F.col("action_time") >= (F.floor((F.col("_from") - reach) / M.DAY_SECONDS) * M.DAY_SECONDS)
     )
     near = near.drop("_from")

@@ -31,7 +31,7 @@ class BatchTable:
         frames = []
         if base is not None:
             frames.append(self._load("base", [base]))
-        later = [b for b in log if (base is None or b > base) and (before is None or b < before)]
+        later = [b for b in log if before is None or b < before]
         if later:
             frames.append(self._load("log", later))
         if not frames:
@@ -50,13 +50,25 @@ class BatchTable:
     def compact(self, reduce: Callable[[BatchTable], DataFrame]) -> None:
         """Fold everything up to the newest batch into a new base.
 
-        ``reduce`` is ``totals`` or ``latest`` with its arguments bound. Old folders stay
-        for readers that already opened them; drop them by a retention job.
+        ``reduce`` is ``totals`` or ``latest`` with its arguments bound. The folded folders
+        stay for readers that already opened them, until ``vacuum``.
         """
-        _, log = self._layout()
+        base, log = self._layout()
         if log:
             columns = [f.name for f in self.schema.fields]
-            reduce(self).select(*columns).write.mode("overwrite").parquet(f"{self.path}/base/batch={max(log)}")
+            reduce(self).select(*columns).write.mode("overwrite").parquet(f"{self.path}/base/batch={log[-1]}")
+
+    def vacuum(self) -> None:
+        """Delete what the newest base has made obsolete. Call it when no reader or
+        running batch can still hold an older layout."""
+        base, _ = self._layout()
+        if base is not None:
+            fs, folders = self._folders("log")
+            stale = [(fs, path) for batch, path in folders if batch <= base]
+            fs, folders = self._folders("base")
+            stale += [(fs, path) for batch, path in folders if batch < base]
+            for fs, path in stale:
+                fs.delete(path, True)
 
     def _load(self, part: str, batches: Sequence[int]) -> DataFrame:
         root = f"{self.path}/{part}"
@@ -64,23 +76,23 @@ class BatchTable:
         return self.spark.read.schema(self._full).option("basePath", root).parquet(*paths)
 
     def _layout(self) -> tuple[int | None, list[int]]:
-        bases, log = self._batches("base"), self._batches("log")
-        return (max(bases) if bases else None), sorted(log)
-
-    def _batches(self, part: str) -> list[int]:
-        """Batches whose write has finished."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not fs.exists(folder):
-            return []
-        found = []
-        for status in fs.listStatus(folder):
-            child = status.getPath()
-            done = jvm.org.apache.hadoop.fs.Path(child, "_SUCCESS")
-            if child.getName().startswith("batch=") and fs.exists(done):
-                found.append(int(child.getName().split("=")[1]))
-        return found
+        """Newest finished base, and the finished batches after it."""
+        bases = self._finished("base", -1)
+        base = bases[-1] if bases else None
+        return base, self._finished("log", -1 if base is None else base)
+
+    def _finished(self, part: str, after: int) -> list[int]:
+        fs, folders = self._folders(part)
+        success = self.spark._jvm.org.apache.hadoop.fs.Path
+        return sorted(b for b, path in folders if b > after and fs.exists(success(path, "_SUCCESS")))
+
+    def _folders(self, part: str):
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+        fs = root.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if not fs.exists(root):
+            return fs, []
+        paths = [status.getPath() for status in fs.listStatus(root)]
+        return fs, [(int(p.getName()[6:]), p) for p in paths if p.getName().startswith("batch=")]
 
 
 @contextmanager
