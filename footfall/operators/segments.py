@@ -10,12 +10,13 @@ large share of all events shrinks to a few rows per day before anything is joine
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall import model as M
 from footfall.functions import columns as C
 from footfall.model import Params
 
+USER = ["bid", "user_id", "group_id"]
 SPAN = 100_000  # room for an epoch day below a packed weight
 SEQ_BITS = 45  # arrival numbers up to 3.5e13
 
@@ -117,6 +118,72 @@ def triggers(history: DataFrame, p: Params) -> DataFrame:
     )
 
 
+def hot_keys(rows: DataFrame, keys: list[str], p: Params) -> DataFrame:
+    """Keys with more than ``rows_per_split`` rows, and their number of rows. There are at
+    most rows / rows_per_split of them, which is what makes broadcasting them safe."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return counts.where(F.col("_rows") > p.rows_per_split)
+
+
+def session_ends(segs: DataFrame, p: Params) -> DataFrame:
+    """Times at which an item of a user stops being visible for want of newer actions."""
+    keys = [*USER, "item_id"]
+    slots = segs.groupBy(*keys, "day", "slot").agg(
+        F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time")
+    )
+    following = F.lead("first_time").over(Window.partitionBy(*keys).orderBy("day", "slot"))
+    end = F.col("last_time") + p.link_seconds
+    return (
+        slots.withColumn("_next", following)
+        .where(F.col("_next").isNull() | (F.col("_next") >= end))
+        .select(*USER, F.col("day").alias("shift"), end.alias("end_time"))
+    )
+
+
+def _before(values: Column, value: Column) -> Column:
+    """Largest of ``values`` below ``value``, -1 if there is none."""
+    return F.coalesce(F.array_max(F.filter(values, lambda v: v < value)), F.lit(-1).cast("long"))
+
+
+def thin(triggers: DataFrame, segs: DataFrame, p: Params) -> DataFrame:
+    """Drop triggers of hot (user, shift) groups that cannot be the last one for any pair.
+
+    Pairs only need the last trigger per item, other item and shift at which the other
+    item is visible. Between two triggers on an item nothing becomes invisible unless
+    a session of the user ends there, so the later one serves for both. Seconds of
+    minutes with such an end are kept apart; so are runs of other minutes between two
+    such minutes of an hour, and runs of hours without any end. What stays depends on
+    the number of items and session ends of a day, not on its number of actions.
+    """
+    group = [*USER, "shift"]
+    hot = F.broadcast(hot_keys(triggers, group, p).select(*group))
+    ends = session_ends(segs, p).join(hot, group, "left_semi")
+    minute, hour = F.floor(F.col("end_time") / 60), F.floor(F.col("end_time") / 3600)
+    # At most 25 hours per group and 60 minutes per hour.
+    hours = ends.groupBy(*group).agg(F.collect_set(hour).alias("_hours"))
+    minutes = ends.groupBy(*group, hour.alias("_hour")).agg(F.collect_set(minute).alias("_minutes"))
+
+    time = F.col("action_time")
+    at_minute = F.floor(time / 60)
+    in_hour, in_minute = F.col("_minutes").isNotNull(), F.array_contains("_minutes", at_minute)
+    none = F.array().cast("array<bigint>")
+    run = (
+        F.when(~in_hour, _before(F.coalesce("_hours", none), F.col("_hour")))
+        .when(~in_minute, _before(F.col("_minutes"), at_minute))
+        .otherwise(time)
+    )
+    thinned = (
+        triggers.join(hot, group, "left_semi")
+        .withColumn("_hour", F.floor(time / 3600))
+        .join(hours, group, "left")
+        .join(minutes, [*group, "_hour"], "left")
+        .withColumns({"_run": run, "_in": F.when(in_hour, F.col("_hour")), "_apart": in_hour & in_minute})
+        .groupBy(*group, "item_id", "_in", "_apart", "_run")
+        .agg(F.max("action_time").alias("action_time"), F.max_by("seq", "action_time").alias("seq"))
+    )
+    return triggers.join(hot, group, "left_anti").unionByName(thinned.select(*triggers.columns))
+
+
 def by_shift(segs: DataFrame, p: Params) -> DataFrame:
     """Segments once per trigger ``shift`` they can be visible to (2 for a one-day link)."""
     first = C.epoch_day(F.col("first_time") - p.link_seconds)
@@ -143,17 +210,11 @@ def split_hot(
 
     Keys with more than ``rows_per_split`` left rows are cut into enough parts by a
     hash of ``spread_by``; the right side of such keys is repeated once per part. All
-    other keys have the single part 0. The table of hot keys has at most
-    rows / rows_per_split entries, which is what makes broadcasting it safe.
-    ``load`` may stand in for ``left`` when counting: an earlier form of it with at
-    least as many rows per key, whose shuffle is there already.
+    other keys have the single part 0. ``load`` may stand in for ``left`` when counting: an earlier
+    form of it with at least as many rows per key, whose shuffle is there already.
     """
-    hot = (
-        (left if load is None else load)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > p.rows_per_split)
-        .select(*keys, F.ceil(F.col("_rows") / p.rows_per_split).cast("int").alias("_parts"))
+    hot = hot_keys(left if load is None else load, keys, p).select(
+        *keys, F.ceil(F.col("_rows") / p.rows_per_split).cast("int").alias("_parts")
     )
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     salted_left = left.join(F.broadcast(hot), keys, "left").withColumn("salt", F.pmod(F.hash(spread_by), parts))

@@ -9,8 +9,8 @@ from footfall.functions import columns as C
 from footfall.model import Params
 from footfall.operators import segments as S
 from footfall.operators.popularity import by_group
+from footfall.operators.segments import USER
 
-USER = ["bid", "user_id", "group_id"]
 
 # Widths of the fields packed into one ordering long, low to high.
 _DAY_BITS, _WEIGHT_BITS = 12, 10
@@ -49,8 +49,9 @@ def user_pair_weight(history: DataFrame, p: Params, days: int | None = None) ->
     the join result collapses to that in the join's own partitions.
     """
     rows = S.since(S.countable(history), p, days)
-    segs = S.by_shift(S.segments(rows.where(F.col("weight") > 0), p), p)
-    triggers = S.triggers(rows, p)
+    compact = S.segments(rows.where(F.col("weight") > 0), p)
+    segs = S.by_shift(compact, p)
+    triggers = S.thin(S.triggers(rows, p), compact, p)
 
     own = segs.select(*USER, "item_id", "shift", "tenths", "day", "first_time", "first_seq", "last_time")
     with_own = (

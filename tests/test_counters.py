@@ -30,10 +30,11 @@ def test_item_weight_matches_model(spark, seed, link):
 
 
 @pytest.mark.parametrize("link", LINKS)
-@pytest.mark.parametrize("seed", [1, 2])
-def test_pair_weight_matches_model(spark, seed, link):
+@pytest.mark.parametrize(("seed", "split"), [(1, 1_000_000), (1, 5), (2, 5)])
+def test_pair_weight_matches_model(spark, seed, split, link):
+    """With ``split`` 5 nearly every user-day counts as hot: it is thinned and salted."""
     rows = random_history(seed)
-    got = similarity.user_pair_weight(frame(spark, rows), replace(P, link_seconds=link))
+    got = similarity.user_pair_weight(frame(spark, rows), replace(P, link_seconds=link, rows_per_split=split))
     assert collect_pairs(got) == pair_contributions(rows, link)
 
 
