@@ -112,7 +112,7 @@ def triggers(history: DataFrame, p: Params) -> DataFrame:
     them: it sees everything the others see). ``shift`` is the day of t − link."""
     return (
         history.where(is_trigger())
-        .groupBy("bid", "user_id", "group_id", "item_id", "action_time")
+        .groupBy(*USER, "item_id", "action_time")
         .agg(F.max("seq").alias("seq"))
         .withColumn("shift", C.epoch_day(F.col("action_time") - p.link_seconds))
     )
@@ -156,8 +156,9 @@ def thin(triggers: DataFrame, segs: DataFrame, p: Params) -> DataFrame:
     the number of items and session ends of a day, not on its number of actions.
     """
     group = [*USER, "shift"]
-    hot = F.broadcast(hot_keys(triggers, group, p).select(*group))
-    ends = session_ends(segs, p).join(hot, group, "left_semi")
+    hot = F.broadcast(hot_keys(triggers, group, p).select(*group, F.lit(True).alias("_hot")))
+    flagged = triggers.join(hot, group, "left")
+    ends = session_ends(segs, p).join(hot, group)
     minute, hour = F.floor(F.col("end_time") / 60), F.floor(F.col("end_time") / 3600)
     # At most 25 hours per group and 60 minutes per hour.
     hours = ends.groupBy(*group).agg(F.collect_set(hour).alias("_hours"))
@@ -173,7 +174,7 @@ def thin(triggers: DataFrame, segs: DataFrame, p: Params) -> DataFrame:
         .otherwise(time)
     )
     thinned = (
-        triggers.join(hot, group, "left_semi")
+        flagged.where("_hot")
         .withColumn("_hour", F.floor(time / 3600))
         .join(hours, group, "left")
         .join(minutes, [*group, "_hour"], "left")
@@ -181,7 +182,7 @@ def thin(triggers: DataFrame, segs: DataFrame, p: Params) -> DataFrame:
         .groupBy(*group, "item_id", "_in", "_apart", "_run")
         .agg(F.max("action_time").alias("action_time"), F.max_by("seq", "action_time").alias("seq"))
     )
-    return triggers.join(hot, group, "left_anti").unionByName(thinned.select(*triggers.columns))
+    return flagged.where(F.col("_hot").isNull()).select(*triggers.columns).unionByName(thinned.select(*triggers.columns))
 
 
 def by_shift(segs: DataFrame, p: Params) -> DataFrame:

@@ -10,6 +10,7 @@ from footfall.model import Params
 from footfall.operators import segments as S
 from footfall.operators.popularity import by_group
 from footfall.operators.segments import USER
+from footfall.session import materialize
 
 
 # Widths of the fields packed into one ordering long, low to high.
@@ -49,9 +50,10 @@ def user_pair_weight(history: DataFrame, p: Params, days: int | None = None) ->
     the join result collapses to that in the join's own partitions.
     """
     rows = S.since(S.countable(history), p, days)
-    compact = S.segments(rows.where(F.col("weight") > 0), p)
+    # Both compact forms are used several times below: write them once.
+    compact = materialize(S.segments(rows.where(F.col("weight") > 0), p), "segments")
     segs = S.by_shift(compact, p)
-    triggers = S.thin(S.triggers(rows, p), compact, p)
+    triggers = S.thin(materialize(S.triggers(rows, p), "triggers"), compact, p)
 
     own = segs.select(*USER, "item_id", "shift", "tenths", "day", "first_time", "first_seq", "last_time")
     with_own = (
@@ -116,7 +118,7 @@ def pair_increment(history: DataFrame, p: Params, days: int | None = None) -> Da
     out of the segments and never out of single events.
     """
     rows = S.since(S.countable(history), p, days)
-    segs = S.segments(rows.where(F.col("weight") > 0), p)
+    segs = materialize(S.segments(rows.where(F.col("weight") > 0), p), "segments")
     first = segs.where("first_is_trigger").select(
         *USER,
         "item_id",

@@ -8,7 +8,7 @@ from footfall import model as M
 from footfall.functions import columns as C
 from footfall.model import Params
 from footfall.operators import content, ctr, enrich, filtering, history as H, popularity, ranking, segments as S, similarity
-from footfall.session import shared_folder
+from footfall.session import materialize
 
 
 def hot_lists(actions: DataFrame, dim_item: DataFrame, p: Params) -> DataFrame:
@@ -59,12 +59,3 @@ def read_history(spark: SparkSession, path: str, p: Params, days: int) -> DataFr
     """Stored history that the counters need for the last ``days`` days: whole day folders."""
     oldest = C.day_id(F.lit(p.as_of - (days + p.link_days) * M.DAY_SECONDS))
     return spark.read.parquet(path).where(F.col("day") >= oldest).drop("day")
-
-
-def materialize(rows: DataFrame, purpose: str) -> DataFrame:
-    """Write an intermediate table to the shared folder and read it back: cuts lineage
-    and lets several outputs share one computation, and survives lost executors."""
-    spark = rows.sparkSession
-    path = shared_folder(spark, purpose)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)

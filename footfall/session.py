@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -59,3 +59,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or _local_base()
     return f"{base.rstrip('/')}/footfall/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back: cuts lineage
+    and lets several outputs share one computation, and survives lost executors."""
+    spark = rows.sparkSession
+    path = shared_folder(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
