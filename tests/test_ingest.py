@@ -86,8 +86,9 @@ def test_reading_text_files(spark, tmp_path):
 def test_observed_metrics(spark):
     from pyspark.sql import Observation
 
+    # A session of its own: one that has seen an Observation can no longer fit ML models.
     seen = Observation("ingest")
-    parsed = msg.parse_actions(messages(spark, [action_line(), "x"]))
+    parsed = msg.parse_actions(messages(spark.newSession(), [action_line(), "x"]))
     parsed.observe(seen, F.count("*").alias("n")).count()
     assert seen.get["n"] == 2
     assert msg.observed(parsed, "m").count() == 2
