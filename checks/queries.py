@@ -458,11 +458,18 @@ def _in_parts(spark, rows, schema, run):
     from footfall.session import shared_folder
 
     folder = shared_folder(spark, "stream")
-    for low, high in zip(STREAM_CUTS, STREAM_CUTS[1:]):
-        day = C.day_id("action_time")
-        rows.where((day >= low) & (day < high)).write.mode("append").parquet(f"{folder}/in")
-        source = spark.readStream.schema(schema).parquet(f"{folder}/in")
-        run(source, folder).awaitTermination()
+    day = C.day_id("action_time")
+    # A state store per shuffle partition: one per core is plenty here.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), cores)))
+        for low, high in zip(STREAM_CUTS, STREAM_CUTS[1:]):
+            rows.where((day >= low) & (day < high)).write.mode("append").parquet(f"{folder}/in")
+            source = spark.readStream.schema(schema).parquet(f"{folder}/in")
+            run(source, folder).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return folder
 
 
