@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_made: list[str] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings above to a session made elsewhere."""
@@ -51,14 +55,26 @@ def _local_base() -> str:
     return tempfile.mkdtemp(prefix="footfall-")
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared checkpoint directory.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
 
-    The cluster names the directory in ``spark.checkpoint.dir``. Only where it is
-    unset (tests, local runs) a temporary one is made, once per session.
+    ``spark.checkpoint.dir`` names it, or else ``SparkContext.setCheckpointDir``. Only a
+    local session, where every task sees the driver's disk, may fall back to a temporary
+    folder; on a cluster that would silently lose the parts other machines wrote.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_base()
-    return f"{base.rstrip('/')}/footfall/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _local_base()
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the shared one, owned by this session until ``release``."""
+    path = f"{shared_base(spark)}/footfall/{purpose}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def materialize(rows: DataFrame, purpose: str) -> DataFrame:
@@ -68,3 +84,21 @@ def materialize(rows: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(spark, purpose)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the intermediates made so far; call it when their results are written."""
+    hadoop = spark._jsparkSession.sessionState().newHadoopConf()
+    while len(_made) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediates made inside are deleted at the end: one job, one micro-batch."""
+    since = len(_made)
+    try:
+        yield
+    finally:
+        release(spark, since)
