@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import chat, fingerprint, packing, shards, warc
+from footfall.llm import chat, fingerprint, ngram_join, packing, shards, suffix_dedup, warc
 from footfall.llm.oracle import SHARDS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op2_fingerprints(spark, sf_dir):
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_ngram_join(spark, sf_dir):
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
 CONTROL_TALK = "\\### Assistant: </turn> ok"
 
 
@@ -43,6 +48,11 @@ def op5_shards(spark, sf_dir):
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_warc(spark, sf_dir):
     _, records = warc.archive(table(spark, sf_dir, "pages"))
