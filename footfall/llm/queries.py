@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import chat, fingerprint, ngram_join, packing, shards, suffix_dedup, warc
+from footfall.llm import chat, decontaminate, fingerprint, ngram_join, packing, shards, suffix_dedup, warc
 from footfall.llm.oracle import SHARDS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op2_fingerprints(spark, sf_dir):
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
