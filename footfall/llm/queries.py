@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import chat, decontaminate, fingerprint, ngram_join, packing, shards, suffix_dedup, warc
+import corpus_pipeline
+from footfall.llm import chat, decontaminate, fingerprint, html_extract, ngram_join, packing, quality, shards, suffix_dedup, warc
 from footfall.llm.oracle import SHARDS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +65,21 @@ def op7_warc(spark, sf_dir):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "bundle", "frame", "offset")
 
 
+@query
+def op8_quality(spark, sf_dir):
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_packing(spark, sf_dir):
     return packing.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html_extract(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
