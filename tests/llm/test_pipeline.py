@@ -45,10 +45,10 @@ def test_stages(spark, tmp_path):
             plain = got
         else:
             items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-            bad = {d for d, _ in test_decontaminate.plain([r for r in before if any(w in r[1].lower() for w in ("",))], items)} if len(before) < 40 else None
-            assert set(got) <= set(before)
-            if bad is not None:
-                assert {i for i, _ in before} - {i for i, _ in got} == bad
+            gone = [r for r in before if r not in got]
+            assert {d for d, _ in test_decontaminate.plain(gone, items)} == {i for i, _ in gone}
+            some = [r for r in got if len(r[1]) < 1500][:12]  # the plain comparison is slow
+            assert not test_decontaminate.plain(some, items)
             plain = got
         assert got == plain
     from tokenizers import Tokenizer
