@@ -557,7 +557,10 @@ SELECT seq, {valid_user('user_id')} AS valid_user, TRUE AS valid_time, platform
   CASE WHEN seq % 3 > 0 AND seq % 5 > 0 THEN round((seq % 3) / (seq % 5), 6) ELSE 0.0::DOUBLE END AS ctr
 FROM acts"""
 
-BODIES["sink_keyed"] = f"SELECT *, CAST({AS_OF + 10 * 86400} AS BIGINT) AS expire_at FROM ({BODIES['hot_top_results']})"
+BODIES["sink_keyed"] = f"""
+SELECT * REPLACE (CASE WHEN key LIKE '%#0' THEN rank ELSE rank + 100 END AS rank),
+       CAST({AS_OF + 10 * 86400} AS BIGINT) AS expire_at
+FROM ({BODIES['hot_top_results']})"""
 BODIES["stream_ingest"] = """
 SELECT coalesce(reason, topic) AS verdict, count(*) AS n FROM checked_news WHERE category = 'UserActionInfo' GROUP BY ALL"""
 BODIES["stream_item_count"] = BODIES["item_count"]

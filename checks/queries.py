@@ -325,13 +325,18 @@ def hot_top_results(spark, sf):
 
 @query
 def sink_keyed(spark, sf):
-    """Hot lists written to the keyed sink and read back before they expire."""
-    from footfall.session import shared_folder
+    """Hot lists put into the keyed sink: all keys, then the overall ones anew, and one key long
+    ago; read back before the first two expire. The other keys must survive the second put."""
+    from footfall.session import materialize, shared_folder
     from footfall.streaming import store
 
-    path = shared_folder(spark, "served")
-    store.put(hot_top_results(spark, sf), path, P.as_of, 10 * 86400)
-    return store.get_alive(spark, path, P.as_of + 86400)
+    lists = materialize(hot_top_results(spark, sf), "hot-lists")
+    served = store.served_table(spark, shared_folder(spark, "served"), lists.schema)
+    old = lists.limit(1).withColumn("key", F.lit("gone"))
+    store.put(served, old, 0, P.as_of - 20 * 86400, 10 * 86400)
+    store.put(served, lists.withColumn("rank", F.col("rank") + 100), 1, P.as_of, 10 * 86400)
+    store.put(served, lists.where(F.col("key").endswith("#0")), 2, P.as_of, 10 * 86400)
+    return store.get_alive(served, ["key"], P.as_of + 86400)
 
 
 @query

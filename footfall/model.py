@@ -103,8 +103,48 @@ PROFILE_LEVEL = 1.0
 PROFILE_LOSS = 0.25
 
 DEFAULT_DENIED_TAGS = (
-    "新闻|要闻|订阅|图片|视频|精选|北京|上海|广州|深圳|重庆|天津|香港|澳门|山东|山西|河南|河北|湖南|湖北|"
-    "广东|广西|黑龙江|辽宁|浙江|安徽|江苏|福建|甘肃|江西|云南|贵州|四川|青海|陕西|吉林|宁夏|海南|西藏|内蒙古|新疆|台湾"
+    "新闻",
+    "要闻",
+    "订阅",
+    "图片",
+    "视频",
+    "精选",
+    "北京",
+    "上海",
+    "广州",
+    "深圳",
+    "重庆",
+    "天津",
+    "香港",
+    "澳门",
+    "山东",
+    "山西",
+    "河南",
+    "河北",
+    "湖南",
+    "湖北",
+    "广东",
+    "广西",
+    "黑龙江",
+    "辽宁",
+    "浙江",
+    "安徽",
+    "江苏",
+    "福建",
+    "甘肃",
+    "江西",
+    "云南",
+    "贵州",
+    "四川",
+    "青海",
+    "陕西",
+    "吉林",
+    "宁夏",
+    "海南",
+    "西藏",
+    "内蒙古",
+    "新疆",
+    "台湾",
 )
 
 DAY_SECONDS = 86400

@@ -55,7 +55,7 @@ def drop_denied_tags(tagged: DataFrame, denied: Sequence[str] | DataFrame) -> Da
 
 
 def default_denied_tags() -> list[str]:
-    return M.DEFAULT_DENIED_TAGS.split("|")
+    return list(M.DEFAULT_DENIED_TAGS)
 
 
 def user_profile(
@@ -100,7 +100,7 @@ def fit_classifier(labelled: DataFrame, features: int = 1 << 14, iterations: int
 
     stages = [
         StringIndexer(inputCol="label", outputCol="_label", stringOrderType="alphabetAsc"),
-        RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"\W+"),
+        RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"(?U)\W+"),
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
         IDF(inputCol="_tf", outputCol="_features"),
         LogisticRegression(

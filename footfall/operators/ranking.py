@@ -21,8 +21,8 @@ def top_n(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
 
 def alive(candidates: DataFrame, p: Params) -> DataFrame:
     """Positive weight and an item young enough for its list: hot lists live shorter."""
-    list_id = F.get(F.split("key", "#"), F.lit(3))
-    ttl = F.when(list_id.contains("3001"), p.hot_item_ttl_seconds).otherwise(p.item_ttl_seconds)
+    # The list id is the last part but one of the key; item ids before it may hold "#" themselves.
+    ttl = F.when(F.element_at(F.split("key", "#"), -2).contains("3001"), p.hot_item_ttl_seconds).otherwise(p.item_ttl_seconds)
     return candidates.where((F.col("weight") > 0) & (F.lit(p.as_of) - F.col("item_time") <= ttl))
 
 

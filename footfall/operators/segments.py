@@ -52,8 +52,16 @@ def packed_day(packed: Column) -> Column:
     return F.pmod(packed, F.lit(SPAN)).cast("int")
 
 
+MOST_TENTHS = (1 << 10) - 1  # what a packed ordering key holds
+
+
 def tenths() -> Column:
-    return F.round(F.col("weight") * 10).cast("int")
+    """The weight in tenths. Counting keys hold 0.1 to 102.3 in steps of 0.1; any other weight
+    is an error, as rounding it would silently change every count that it enters."""
+    n = F.round(F.col("weight") * 10)
+    exact = (F.abs(F.col("weight") * 10 - n) < 1e-9) & (F.abs(n) <= MOST_TENTHS)
+    message = F.concat(F.lit("weight not countable: "), F.col("weight").cast("string"))
+    return F.when(exact | n.isNull(), n.cast("int")).otherwise(F.raise_error(message).cast("int"))
 
 
 def is_trigger() -> Column:
@@ -119,8 +127,8 @@ def triggers(history: DataFrame, p: Params) -> DataFrame:
 
 
 def hot_keys(rows: DataFrame, keys: list[str], p: Params) -> DataFrame:
-    """Keys with more than ``rows_per_split`` rows, and their number of rows. There are at
-    most rows / rows_per_split of them, which is what makes broadcasting them safe."""
+    """Keys with more than ``rows_per_split`` rows, and their number of rows: at most
+    rows / rows_per_split of them. Spark broadcasts the list where its measured size allows."""
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
     return counts.where(F.col("_rows") > p.rows_per_split)
 
@@ -156,7 +164,7 @@ def thin(triggers: DataFrame, segs: DataFrame, p: Params) -> DataFrame:
     the number of items and session ends of a day, not on its number of actions.
     """
     group = [*USER, "shift"]
-    hot = F.broadcast(hot_keys(triggers, group, p).select(*group, F.lit(True).alias("_hot")))
+    hot = hot_keys(triggers, group, p).select(*group, F.lit(True).alias("_hot"))
     flagged = triggers.join(hot, group, "left")
     ends = session_ends(segs, p).join(hot, group)
     minute, hour = F.floor(F.col("end_time") / 60), F.floor(F.col("end_time") / 3600)
@@ -218,8 +226,8 @@ def split_hot(
         *keys, F.ceil(F.col("_rows") / p.rows_per_split).cast("int").alias("_parts")
     )
     parts = F.coalesce(F.col("_parts"), F.lit(1))
-    salted_left = left.join(F.broadcast(hot), keys, "left").withColumn("salt", F.pmod(F.hash(spread_by), parts))
-    salted_right = right.join(F.broadcast(hot), keys, "left").withColumn(
+    salted_left = left.join(hot, keys, "left").withColumn("salt", F.pmod(F.hash(spread_by), parts))
+    salted_right = right.join(hot, keys, "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     return salted_left.drop("_parts"), salted_right.drop("_parts")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -57,17 +61,27 @@ def start_ctr(
     trigger: dict | None = None,
     lists: BatchTable | None = None,
     dim_item: DataFrame | None = None,
+    clock: Callable[[DataFrame], int] | None = None,
+    compact_every: int = 0,
 ) -> StreamingQuery:
-    """Maintain the CTR counters and, when ``lists`` is given, the ranked lists on top."""
+    """Maintain the CTR counters and, when ``lists`` is given, the ranked lists on top.
+
+    ``clock`` gives the evaluation time of a micro-batch from the counters it touched, for retention and
+    for the age of items; by default it is the newest day seen, so the lists of a long-running job age.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        table.tidy(lambda t: t.latest(CTR_KEY), batch_id, compact_every)
+        if lists is not None:
+            lists.tidy(lambda t: t.latest(["key"]), batch_id, compact_every)
         table.append(batch, batch_id)
         if lists is None:
             return
         touched = table.read(before=batch_id + 1).where(F.col("batch") == batch_id).select(*ctr.PLACE).distinct()
         current = table.latest(CTR_KEY, before=batch_id + 1).join(touched, ctr.PLACE, "left_semi")
-        fresh = enrich.enrich_results(ctr.ctr(current, p), dim_item)
-        merge_lists(lists, fresh, batch_id, p)
+        now = replace(p, as_of=(clock or (lambda rows: newest_time(rows, p)))(table.read(before=batch_id + 1)))
+        fresh = enrich.enrich_results(ctr.ctr(current, now), dim_item)
+        merge_lists(lists, fresh, batch_id, now)
 
     with stream_settings(table.spark):
         return (
@@ -80,6 +94,15 @@ def start_ctr(
         )
 
 
+def newest_time(counters: DataFrame, p: Params) -> int:
+    """End of the newest counted day, and never before the job's own start time."""
+    day = counters.agg(F.max("day")).first()[0]
+    if day is None:
+        return p.as_of
+    end = datetime.strptime(str(day), "%Y%m%d").replace(tzinfo=timezone.utc) + timedelta(days=1)
+    return max(p.as_of, int(end.timestamp()))
+
+
 def merge_lists(lists: BatchTable, fresh: DataFrame, batch_id: int, p: Params) -> None:
     """Merge new candidates into the stored lists of their keys and store those lists anew."""
     fresh = fresh.withColumn("update_time", F.lit(batch_id).cast("long"))

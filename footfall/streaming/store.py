@@ -2,8 +2,9 @@
 
 A batch that is run again after a failure overwrites its own folder, so writes are
 exactly-once without a transaction log. Readers combine the batches, either summing
-signed changes or taking the newest value per key. ``compact`` folds old batches
-into one base folder, which is complete before any reader looks at it.
+signed changes or taking the newest value per key. ``compact`` folds batches that the
+checkpoint has committed into one base folder, which is complete before any reader
+looks at it; such batches are never run again, so no replay has to look inside it.
 """
 
 from __future__ import annotations
@@ -26,10 +27,16 @@ class BatchTable:
         rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
 
     def read(self, before: int | None = None) -> DataFrame:
-        """All entries with their ``batch``, optionally only of batches before one."""
+        """All entries with their ``batch``, optionally only of batches before one.
+
+        A base that holds batch ``before`` or later ones cannot be cut at it: that is an
+        error and not a wrong answer. ``compact`` with ``upto`` never makes such a base.
+        """
         base, log = self._layout()
         frames = []
         if base is not None:
+            if before is not None and base >= before:
+                raise ValueError(f"batch {before} is folded into the base of batch {base} already")
             frames.append(self._load("base", [base]))
         later = [b for b in log if before is None or b < before]
         if later:
@@ -47,16 +54,27 @@ class BatchTable:
         w = Window.partitionBy(*keys).orderBy(F.desc("batch"))
         return self.read(before).withColumn("_r", F.rank().over(w)).where(F.col("_r") == 1).drop("_r")
 
-    def compact(self, reduce: Callable[[BatchTable], DataFrame]) -> None:
-        """Fold everything up to the newest batch into a new base.
+    def compact(self, reduce: Callable[[BatchTable], DataFrame], upto: int | None = None) -> None:
+        """Fold the batches up to ``upto`` into a new base.
 
-        ``reduce`` is ``totals`` or ``latest`` with its arguments bound. The folded folders
-        stay for readers that already opened them, until ``vacuum``.
+        ``reduce`` is ``totals`` or ``latest`` with its arguments bound. While a job runs
+        batch b, ``upto`` is b - 1: all before b is committed, b itself may run again. Without
+        ``upto`` everything is folded, which is for tables whose job has ended for good. The
+        folded folders stay for readers that already opened them, until ``vacuum``.
         """
-        base, log = self._layout()
+        _, log = self._layout()
+        log = [b for b in log if upto is None or b <= upto]
         if log:
             columns = [f.name for f in self.schema.fields]
-            reduce(self).select(*columns).write.mode("overwrite").parquet(f"{self.path}/base/batch={log[-1]}")
+            older = _Until(self, log[-1] + 1)
+            reduce(older).select(*columns).write.mode("overwrite").parquet(f"{self.path}/base/batch={log[-1]}")
+
+    def tidy(self, reduce: Callable[[BatchTable], DataFrame], batch_id: int, every: int) -> None:
+        """Called by a job at the start of a batch: compaction every ``every`` batches, and
+        the folders that the base before last has made obsolete go."""
+        if every and batch_id and batch_id % every == 0:
+            self.vacuum()
+            self.compact(reduce, upto=batch_id - 1)
 
     def vacuum(self) -> None:
         """Delete what the newest base has made obsolete. Call it when no reader or
@@ -82,9 +100,10 @@ class BatchTable:
         return base, self._finished("log", -1 if base is None else base)
 
     def _finished(self, part: str, after: int) -> list[int]:
-        fs, folders = self._folders(part)
-        success = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(b for b, path in folders if b > after and fs.exists(success(path, "_SUCCESS")))
+        """Batches with a ``_SUCCESS`` file, by one listing of all of them."""
+        fs, _ = self._folders(part)
+        marks = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/batch=*/_SUCCESS"))
+        return sorted(b for b in (int(m.getPath().getParent().getName()[6:]) for m in marks or ()) if b > after)
 
     def _folders(self, part: str):
         root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
@@ -115,10 +134,35 @@ def stream_settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
-def put(rows: DataFrame, path: str, as_of: int, ttl_seconds: int) -> None:
-    """Batch keyed sink: replace a served table, with the expiry of its records."""
-    rows.withColumn("expire_at", F.lit(as_of + ttl_seconds).cast("long")).write.mode("overwrite").parquet(path)
+class _Until:
+    """A table as it was before a batch, for the reducers of ``compact``."""
+
+    def __init__(self, table: BatchTable, before: int):
+        self._table, self._before = table, before
+
+    def read(self) -> DataFrame:
+        return self._table.read(self._before)
+
+    def totals(self, keys: Sequence[str], value: str) -> DataFrame:
+        return self._table.totals(keys, value, self._before)
+
+    def latest(self, keys: Sequence[str]) -> DataFrame:
+        return self._table.latest(keys, self._before)
+
+
+def served_table(spark: SparkSession, path: str, schema: T.StructType) -> BatchTable:
+    """A served table: the records of a key are replaced together and expire together."""
+    return BatchTable(spark, path, T.StructType([*schema.fields, T.StructField("expire_at", T.LongType())]))
+
+
+def put(table: BatchTable, rows: DataFrame, batch_id: int, as_of: int, ttl_seconds: int) -> None:
+    """Keyed upsert: the keys in ``rows`` get these records and a new expiry, all other keys stay.
+
+    One folder per put, so readers see all of it or nothing, and a repeated put replaces itself.
+    """
+    table.append(rows.withColumn("expire_at", F.lit(as_of + ttl_seconds).cast("long")), batch_id)
 
 
-def get_alive(spark: SparkSession, path: str, as_of: int) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("expire_at") > as_of)
+def get_alive(table: BatchTable, keys: Sequence[str], as_of: int) -> DataFrame:
+    """The newest records of every key that have not expired."""
+    return table.latest(keys).drop("batch").where(F.col("expire_at") > as_of)

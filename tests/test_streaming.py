@@ -1,13 +1,16 @@
 """Streams against their batch operators: any order, restarts, replays, compaction."""
 
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from footfall import session
 from footfall.model import HISTORY_SCHEMA, Params
 from footfall.operators import popularity, similarity
 from footfall.streaming import counters, pairs
-from footfall.streaming.store import BatchTable, get_alive, put
+from footfall.streaming.store import BatchTable, get_alive, put, served_table
 from tests.model import START, frame, random_history
 
 P = Params(as_of=START + 10 * 86400)
@@ -62,7 +65,63 @@ def test_batch_table(spark, tmp_path):
     assert sorted((r.k, r.v) for r in table.latest(["k"]).collect()) == [("a", 5), ("a", 6), ("b", 7)]
 
 
-def test_served_table_expiry(spark, tmp_path):
-    put(spark.createDataFrame([("k", 1)], "k string, v int"), f"{tmp_path}/served", as_of=100, ttl_seconds=10)
-    assert get_alive(spark, f"{tmp_path}/served", 109).count() == 1
-    assert get_alive(spark, f"{tmp_path}/served", 110).where(F.col("k") == "k").count() == 0
+def test_served_table_upsert_and_expiry(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
+    table = served_table(spark, f"{tmp_path}/served", rows().schema)
+    put(table, rows(("a", 1), ("a", 2), ("b", 3)), 0, as_of=100, ttl_seconds=10)
+    put(table, rows(("a", 9)), 1, as_of=105, ttl_seconds=10)
+    put(table, rows(("a", 9)), 1, as_of=105, ttl_seconds=10)  # repeated
+    alive = lambda t: sorted((r.k, r.v) for r in get_alive(table, ["k"], t).collect())
+    assert alive(109) == [("a", 9), ("b", 3)]
+    assert alive(110) == [("a", 9)]
+    assert alive(115) == []
+
+
+def test_compaction_leaves_the_running_batch_out(spark, tmp_path):
+    table = BatchTable(spark, f"{tmp_path}/t", "k string, v long")
+    make = lambda *rows: spark.createDataFrame(list(rows), "k string, v long")
+    for batch, v in enumerate((1, 2, 4)):
+        table.append(make(("a", v)), batch)
+    table.compact(lambda t: t.totals(["k"], "v"), upto=1)
+    assert table.read(before=2).select("v").collect() == [(3,)]
+    assert table.totals(["k"], "v").first()["v"] == 7
+    with pytest.raises(ValueError):
+        table.read(before=1)
+    table.vacuum()
+    assert table.totals(["k"], "v").first()["v"] == 7
+
+
+def test_pairs_after_as_of_and_a_replay_after_compaction(spark, tmp_path):
+    """The clock of a running job moves on; a batch that runs again after compaction counts once."""
+    rows = random_history(13, n=90)
+    old = Params(as_of=min(r[5] for r in rows))
+    events, table = pairs.history_table(spark, f"{tmp_path}/events"), pairs.pair_table(spark, f"{tmp_path}/pairs")
+    start = lambda s: pairs.start_pair_count(s, events, table, f"{tmp_path}/cp", old, NOW, compact_every=1)
+    for part in (rows[:30], rows[30:60], rows[60:]):
+        frame(spark, part, 2).write.mode("append").parquet(f"{tmp_path}/in")
+        start(spark.readStream.schema(HISTORY_SCHEMA).parquet(f"{tmp_path}/in")).awaitTermination()
+    last = max((int(p.name) for p in (tmp_path / "cp/commits").iterdir() if p.name.isdigit()))
+    for name in (f"{last}", f".{last}.crc"):  # as if the job had died before the commit
+        (tmp_path / "cp/commits" / name).unlink(missing_ok=True)
+    start(spark.readStream.schema(HISTORY_SCHEMA).parquet(f"{tmp_path}/in")).awaitTermination()
+    want = similarity.pair_count(frame(spark, rows), P).where("weight <> 0")
+    got = table.totals(PAIR, "weight").select(want.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_intermediates_of_a_batch_are_deleted(spark, tmp_path):
+    made = len(session._made)
+    with session.scratch(spark):
+        kept = session.materialize(spark.range(3), "probe")
+        assert kept.count() == 3 and len(session._made) == made + 1
+        path = session._made[-1].removeprefix("file:")
+        assert os.path.isdir(path)
+    assert not os.path.isdir(path) and len(session._made) == made
+
+
+def test_weights_that_keys_cannot_hold_are_refused(spark):
+    for bad in (0.25, 150.0):
+        rows = [r[:-1] + (bad,) if isinstance(r[-1], float) else r for r in random_history(3, n=10)]
+        df = frame(spark, rows).withColumn("weight", F.lit(bad))
+        with pytest.raises(Exception, match="weight not countable"):
+            similarity.pair_count(df, P).collect()
