@@ -132,11 +132,11 @@ RELATIONS["checked_general"] = _verdict("general")
 RELATIONS["checked_news"] = _verdict("news")
 
 RELATIONS["dim"] = f"""
-SELECT '1' AS bid, 'i' || p_partkey AS item_id, CAST(ascii(p_type) AS BIGINT) AS big_type, p_type AS big_type_name,
+SELECT '1' AS bid, CASE WHEN p_partkey % 25 = 24 THEN 'u' ELSE 'i' END || p_partkey AS item_id, CAST(ascii(p_type) AS BIGINT) AS big_type, p_type AS big_type_name,
   CAST(regexp_extract(p_brand, '(\\d+)', 1) AS BIGINT) AS mid_type, p_brand AS mid_type_name,
   CAST(p_size AS BIGINT) AS small_type, split_part(p_name, ' ', 1) AS small_type_name, CAST(p_partkey % 3 AS INTEGER) AS free,
   p_retailprice AS price, 's' || (p_partkey % 10) AS shop_id, CAST({AS_OF} - (p_partkey % 16) * 1800 AS BIGINT) AS item_time
-FROM part WHERE p_partkey % 25 <> 24
+FROM part
 """
 
 RELATIONS["uids"] = """

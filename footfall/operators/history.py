@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from footfall import model as M
 from footfall.functions import columns as C
 from footfall.model import Params
+from footfall.operators.segments import SEQ_BITS
 
 DAY_KEY = ("bid", "user_id", "day", "item_id")
+TIME_BITS = 20  # seconds of a flush window
 
 
 def user_history(actions: DataFrame) -> DataFrame:
@@ -122,22 +124,34 @@ def flatten_detail(nested: DataFrame) -> DataFrame:
 def combine_last(actions: DataFrame, p: Params) -> DataFrame:
     """Per flush window, user and item: the newest record only."""
     window = (F.floor(F.col("action_time") / p.flush_seconds) * p.flush_seconds).cast("long")
-    newest = F.max(F.struct("action_time", "seq", "action_type"))
+    # (time in the window, seq) as one long aggregates by hashing, where a struct would be sorted.
+    fits = F.col("seq").between(0, (1 << SEQ_BITS) - 1)
+    place = F.shiftleft(F.col("action_time") - window, SEQ_BITS) + F.col("seq")
+    place = F.when(fits, place).otherwise(F.raise_error(F.lit("seq out of range")).cast("long"))
+    rows = actions.select("bid", "user_id", "item_id", "action_type", window.alias("window_start"), place.alias("_place"))
     return (
-        actions.groupBy("bid", "user_id", "item_id", window.alias("window_start"))
-        .agg(newest.alias("r"))
-        .select("bid", "user_id", "item_id", "window_start", "r.action_time", "r.seq", "r.action_type")
+        rows.groupBy("bid", "user_id", "item_id", "window_start")
+        .agg(F.max("_place").alias("_last"), F.max_by("action_type", "_place").alias("action_type"))
+        .select(
+            "bid", "user_id", "item_id", "window_start",
+            (F.col("window_start") + F.shiftright("_last", SEQ_BITS)).alias("action_time"),
+            F.col("_last").bitwiseAND(F.lit((1 << SEQ_BITS) - 1)).alias("seq"),
+            "action_type",
+        )
     )
 
 
 def combine_max_type(actions: DataFrame, p: Params) -> DataFrame:
     """Per flush window, user, group and item: the highest action type and its first time."""
     window = (F.floor(F.col("action_time") / p.flush_seconds) * p.flush_seconds).cast("long")
-    highest = F.max(F.struct("action_type", (-F.col("action_time")).alias("neg_time")))
+    latest = F.lit(1 << TIME_BITS) - 1
+    order = F.shiftleft(F.col("action_type").cast("long"), TIME_BITS) + latest - (F.col("action_time") - window)
     return (
         actions.groupBy("bid", "user_id", "group_id", "item_id", window.alias("window_start"))
-        .agg(highest.alias("r"))
+        .agg(F.max(order).alias("_best"))
         .select(
-            "bid", "user_id", "group_id", "item_id", "window_start", "r.action_type", (-F.col("r.neg_time")).alias("action_time")
+            "bid", "user_id", "group_id", "item_id", "window_start",
+            F.shiftright("_best", TIME_BITS).cast("int").alias("action_type"),
+            (F.col("window_start") + latest - F.col("_best").bitwiseAND(latest)).alias("action_time"),
         )
     )

@@ -31,13 +31,23 @@ def resolve_user(actions: DataFrame, uid_map: DataFrame) -> DataFrame:
     return actions.where(known).unionByName(looked_up.select(*actions.columns))
 
 
+SPREAD = 4096
+
+
 def resolve_group(actions: DataFrame, group_map: DataFrame) -> DataFrame:
-    """Group of every user, "0" when there is none; ``group_map`` holds raw (user_id, value)."""
+    """Group of every user, "0" when there is none; ``group_map`` holds raw (user_id, value).
+
+    Rows without a valid user can match nothing. They get keys of their own, spread by content, so
+    that they do not meet in one task.
+    """
     groups = group_map.select("user_id", C.parse_group("value").alias("_group")).where(
         (F.col("_group") != M.OVERALL_GROUP) & C.is_valid_user("user_id")
     )
     group = F.coalesce(F.col("_group"), F.lit(M.OVERALL_GROUP))
-    return actions.join(groups, "user_id", "left").withColumn("group_id", group).drop("_group")
+    spread = F.concat(F.lit("-"), F.pmod(F.xxhash64(*actions.columns), F.lit(SPREAD)).cast("string"))
+    keyed = actions.withColumn("_user", F.when(C.is_valid_user("user_id"), F.col("user_id")).otherwise(spread))
+    joined = keyed.join(groups.withColumnRenamed("user_id", "_user"), "_user", "left")
+    return joined.select(*actions.columns, group.alias("group_id"))
 
 
 def resolve_identity(actions: DataFrame, uid_map: DataFrame, group_map: DataFrame) -> DataFrame:
