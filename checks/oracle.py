@@ -561,6 +561,17 @@ BODIES["sink_keyed"] = f"""
 SELECT * REPLACE (CASE WHEN key LIKE '%#0' THEN rank ELSE rank + 100 END AS rank),
        CAST({AS_OF + 10 * 86400} AS BIGINT) AS expire_at
 FROM ({BODIES['hot_top_results']})"""
+BODIES["classified_weights"] = """
+SELECT 'd' || doc_id AS item_id, CAST(2 AS BIGINT) AS n_tags, CAST(2 AS BIGINT) AS n_labels, CAST(1 AS DOUBLE) AS weight_sum
+FROM documents"""
+BODIES["classified_tag_index"] = f"""
+SELECT '1' AS bid, tag, CAST(row_number() OVER (PARTITION BY tag ORDER BY item_time DESC, item_id) AS INTEGER) AS rank,
+  item_id, item_time, level
+FROM (
+  SELECT t.tag, t.level, 'd' || doc_id AS item_id, CAST({AS_OF} - (doc_id % 16) * 1800 AS BIGINT) AS item_time
+  FROM documents, LATERAL (VALUES (lang, 0), (source, 1), ('good', 3), ('junk', 3)) AS t(tag, level)
+)
+QUALIFY rank <= 100"""
 BODIES["stream_ingest"] = """
 SELECT coalesce(reason, topic) AS verdict, count(*) AS n FROM checked_news WHERE category = 'UserActionInfo' GROUP BY ALL"""
 BODIES["stream_item_count"] = BODIES["item_count"]

@@ -426,6 +426,39 @@ def classify_items(spark, sf):
     return content.classify_items(docs, model, ["doc_id"]).withColumn("weight", F.round("weight", 3))
 
 
+def _classified_documents(spark, sf):
+    """Documents as items, and their tags by a classifier that learned the quality labels."""
+    docs = X.table(spark, sf, "documents")
+    items = docs.select(
+        F.lit("1").alias("bid"),
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item_id"),
+        F.col("lang").alias("big_type_name"),
+        F.col("source").alias("mid_type_name"),
+        F.lit("").alias("small_type_name"),
+        (F.lit(P.as_of) - (F.col("doc_id") % 16) * 1800).cast("long").alias("item_time"),
+        "text",
+    )
+    name = F.when(F.col("quality") == 1, "good").otherwise("junk")
+    labels = X.table(spark, sf, "labels").select("doc_id", name.alias("label"))
+    model = content.fit_classifier(docs.join(labels, "doc_id").select("text", "label"))
+    return items, content.classify_items(items, model, ["bid", "item_id"])
+
+
+@query
+def classified_weights(spark, sf):
+    """Every item gets every label once, and the weights add up to 1."""
+    _, classified = _classified_documents(spark, sf)
+    total = F.round(F.sum("weight"), 6).alias("weight_sum")
+    return classified.groupBy("item_id").agg(F.count("*").alias("n_tags"), F.countDistinct("tag").alias("n_labels"), total)
+
+
+@query
+def classified_tag_index(spark, sf):
+    """Given categories and the classifier's tags in one tag index."""
+    items, classified = _classified_documents(spark, sf)
+    return content.tag_index(content.item_tags(items, classified), P).drop("tag_weight")
+
+
 # ------------------------------------------------------------ column functions
 
 
