@@ -5,7 +5,7 @@ tags, classes and ids of its path, hashed words, and a few measures of its text.
 reads the whole sequence, so a block is labelled with the page before and after it in view. Blocks labelled as article text are kept.
 
 The model is trained here, on the driver, from a bounded set of sequences: ``SYNTHETIC`` pages made by a small grammar, and at most ``SAMPLE``
-given pages whose own tags (article, main, nav, footer …) say what a block is. Labelling runs in Spark tasks on whole pages.
+given pages of at most ``SAMPLE_CHARS`` characters whose own tags (article, main, nav, footer …) say what a block is. Labelling runs in Spark tasks on whole pages.
 
 Defined results: a null html is empty; a page without article blocks has an empty text; an unclosed script or style swallows the rest, as
 in browsers; a null url stays null; repeated rows are labelled each; an empty table gives no rows. Other columns are not looked at.
@@ -29,7 +29,7 @@ WORD_SLOTS, WORD_SIZE = 1024, 12
 MEASURES = 6
 HIDDEN = 20
 INPUT = PATH_SIZE + WORD_SIZE + MEASURES
-SYNTHETIC, SAMPLE, EPOCHS = 500, 200, 8
+SYNTHETIC, SAMPLE, SAMPLE_CHARS, EPOCHS = 500, 200, 20_000, 8
 SIMILAR = 64  # pages labelled together, of about one length
 
 # Fixed values of HTML: tags that end a block, tags without content, tags whose content is no text.
@@ -433,7 +433,8 @@ def train(pages: DataFrame) -> Labeller:
     """Fit on the grammar's pages and at most ``SAMPLE`` given ones, chosen by a hash of the page."""
     rng = random.Random(11)
     data = [labelled(synthetic_page(rng)) for _ in range(SYNTHETIC)]
-    some = pages.select(F.substring(F.coalesce("html", F.lit("")), 1, 20_000).alias("html")).orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
+    short = pages.select("html").where(F.char_length("html") <= SAMPLE_CHARS)
+    some = short.orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
     data += [x for r in some.collect() if (x := weakly_labelled(r["html"])) is not None]
     data = [(b, y) for b, y in data if b]
     model = Labeller()
