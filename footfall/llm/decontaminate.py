@@ -44,7 +44,8 @@ def _document_seeds(rows: DataFrame) -> DataFrame:
     per_mask = [_seeds(F.col("_h"), mask) for mask in MASKS]
     spread = hashed.select("_row", *[s.alias(f"_s{k}") for k, s in enumerate(per_mask)])
     spread = spread.select("_row", F.concat(*[f"_s{k}" for k in range(len(MASKS))]).alias("_s"), F.size("_s0").alias("_n"))
-    return spread.select("_row", "_n", F.posexplode("_s").alias("_i", "seed"))
+    # An inner explode would have its "not empty" filter pushed below, computing all of this per element.
+    return spread.select("_row", "_n", F.posexplode_outer("_s").alias("_i", "seed"))
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -72,12 +73,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of_items = None
     for k, mask in enumerate(MASKS):
         hashed = items.select("_item", F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
-        part = hashed.select("_item", F.lit(k).alias("_mask"), F.posexplode(_seeds(F.col("_h"), mask)).alias("_there", "seed"))
+        part = hashed.select("_item", F.lit(k).alias("_mask"), F.posexplode_outer(_seeds(F.col("_h"), mask)).alias("_there", "seed"))
         of_items = part if of_items is None else of_items.unionByName(part)
     of_items = materialize(of_items, "benchmark-seeds")
     if of_items.count() <= MOST_BROADCAST:
         of_items = F.broadcast(of_items)
-    hits = _document_seeds(rows).join(of_items, "seed")
+    hits = _document_seeds(rows).join(of_items, "seed")  # rows of texts without seeds have none to join
     first = F.col("_n")
     hits = hits.select(
         "_row", "_item",
@@ -89,11 +90,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     aligned = rows.join(lines, "_row").join(items, "_item")
     aligned = aligned.select("_row", "doc_id", "item_id", "_shift", "_w", words(F.col("_text")).alias("_d"))
     size = F.size("_w")
-    # 1 where the words agree, along the item; a place outside the document disagrees.
-    equal = F.transform(
-        F.col("_w"),
-        lambda w, q: F.when((F.col("_shift") + q >= 0) & F.coalesce(F.get(F.col("_d"), F.greatest(F.col("_shift") + q, F.lit(0))) == w, F.lit(False)), 1).otherwise(0),
-    )
+    # 1 where the words agree, along the item; a place outside the document disagrees. The column of words is
+    # named twice, so that it is computed once per row and not moved into the lambda.
+    def agrees(w: Column, q: Column) -> Column:
+        at = F.col("_shift") + q
+        return F.when((at >= 0) & (at < F.size("_d")), (F.get(F.col("_d"), F.greatest(at, F.lit(0))) == w).cast("int")).otherwise(0)
+
+    equal = F.transform(F.col("_w"), agrees)
     aligned = aligned.select("_row", "doc_id", "item_id", "_shift", equal.alias("_e"), F.least(size, F.lit(WINDOW)).alias("n_words"), allowed(size).alias("_most"))
     totals = F.transform(
         F.sequence(F.lit(0), F.size("_e") - F.col("n_words")),
@@ -102,7 +105,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             (-(F.col("_shift") + s)).alias("_back"),
         ),
     )
-    best = aligned.withColumn("_b", F.array_max(totals)).where(F.col("_b.n_equal") >= F.col("n_words") - F.col("_most"))
+    # Written before it is filtered: a filter would be pushed below the join, with all of the above inside it.
+    scored = aligned.select("_row", "doc_id", "item_id", "n_words", "_most", F.array_max(totals).alias("_b"))
+    best = materialize(scored, "benchmark-overlaps").where(F.col("_b.n_equal") >= F.col("n_words") - F.col("_most"))
     return best.groupBy("_row", "doc_id", "item_id", "n_words").agg(F.max("_b").alias("_b")).select(
         "_row", "doc_id", "item_id", F.col("n_words").cast("long").alias("n_words"),
         F.col("_b.n_equal").cast("long").alias("n_equal"), (-F.col("_b._back")).cast("long").alias("start"),
