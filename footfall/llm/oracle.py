@@ -26,3 +26,29 @@ FROM placed
 UNION ALL
 SELECT doc_id, n_bytes, 'row', {shards.BITS}, h, 0::BIGINT FROM r WHERE n_bytes > {shards.LIMIT_BYTES}
 """
+
+_CODES = " OR ".join(rf"contains({{0}}, '\{c}')" for c in "ethc")
+_TEXT_CONFLICT = "(contains(text, '</turn>') OR contains(text, '###') OR " + _CODES.format("text") + ")"
+_ROLE_BREAKS = "(contains(role, ': ') OR contains(role, '</turn>') OR " + _CODES.format("role") + ")"
+_ROLE_ESCAPED = r"replace(replace(replace(replace(role, '\', '\e'), '</turn>', '\t'), '###', '\h'), ': ', '\c')"
+_TEXT_ESCAPED = r"replace(replace(replace(text, '\', '\e'), '</turn>', '\t'), '###', '\h')"
+
+CHAT_SQL = rf"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+c AS (SELECT *, bool_or({_TEXT_CONFLICT} OR {_ROLE_BREAKS}) OVER (PARTITION BY conv_id) AS escaped FROM r),
+w AS (
+  SELECT *, CASE WHEN escaped THEN {_ROLE_ESCAPED} ELSE role END AS role_out,
+         CASE WHEN escaped AND {_TEXT_CONFLICT} THEN {_TEXT_ESCAPED} ELSE text END AS text_out
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(15 + length(role_out) + length(text_out)) AS BIGINT) AS formatted_chars
+FROM w GROUP BY conv_id
+"""

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from footfall.llm import chat, decontaminate, fingerprint, html_extract, ngram_join, packing, quality, shards, suffix_dedup, warc
-from footfall.llm.oracle import SHARDS_SQL
+from footfall.llm.oracle import CHAT_SQL, SHARDS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {"op5_shards": SHARDS_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_chat": CHAT_SQL, "op5_shards": SHARDS_SQL}
 
 
 def query(fn: Query) -> Query:
@@ -61,7 +61,7 @@ def op6_suffix_dedup(spark, sf_dir):
 
 @query
 def op7_warc(spark, sf_dir):
-    _, records = warc.archive(table(spark, sf_dir, "pages"))
+    _, records = warc.archive(table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "bundle", "frame", "offset")
 
 

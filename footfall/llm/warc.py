@@ -145,7 +145,9 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFram
 def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     bundle = _Bundle()
     for batch in batches:
-        for page, url, payload, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        page_ids, urls, payloads, leaders = batch.columns
+        for i in range(batch.num_rows):  # one payload at a time as a Python object
+            page, url, payload, refers = page_ids[i].as_py(), urls[i].as_py(), payloads[i].as_py(), leaders[i].as_py()
             digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
             bundle.add((page, record_id(page, digest)), _record(page, url, payload, digest, refers))
             if bundle.out.tell() >= BUNDLE_BYTES:
@@ -191,11 +193,11 @@ def lookup(folder: str, bundle: str, frame: int, offset: int) -> tuple[dict[str,
     return head, block
 
 
-def read_bundles(spark: SparkSession, folder: str, bundles: DataFrame) -> DataFrame:
-    """All records of the bundles named in ``bundles`` (column bundle)."""
+def read_bundles(spark: SparkSession, folder: str, bundles: DataFrame, payloads: bool = True) -> DataFrame:
+    """All records of the bundles named in ``bundles`` (column bundle); without ``payloads`` that column is null."""
     frames = bundles.select("bundle").mapInArrow(lambda b: _frames(b, folder), "bundle string, frame int, start long, packed long, plain long")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return frames.repartition(parts, "bundle", "frame").mapInArrow(lambda b: _read(b, folder), RECORDS)
+    return frames.repartition(parts, "bundle", "frame").mapInArrow(lambda b: _read(b, folder, payloads), RECORDS)
 
 
 def _frames(batches, folder):
@@ -207,7 +209,7 @@ def _frames(batches, folder):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bundle", "frame", "start", "packed", "plain"])
 
 
-def _read(batches, folder):
+def _read(batches, folder, payloads):
     fs, root = open_store(folder)
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int64()]
     for batch in batches:
@@ -222,7 +224,7 @@ def _read(batches, folder):
                 number = lambda x: int(x) if x else None
                 rows.append(
                     (number(head["X-Page-ID"]), head["WARC-Target-URI"] if "WARC-Target-URI" in head else unquote(head["X-Quoted-Target"]), head["WARC-Type"], number(head.get("X-Refers-To-Page", "")),
-                     head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"]), block, bundle, frame, begin)
+                     head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"]), block if payloads else None, bundle, frame, begin)
                 )
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=RECORD_NAMES)
 
@@ -230,9 +232,9 @@ def _read(batches, folder):
 RECORD_NAMES = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload", "bundle", "frame", "offset"]
 
 
-def archive(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
+def archive(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, payloads: bool = True) -> tuple[DataFrame, DataFrame]:
     """Write the pages and read the archives back: (index, records)."""
     spark = pages.sparkSession
     folder = folder or shared_folder(spark, "warc")
     index = materialize(write_bundles(pages, folder, min_bytes), "warc-index")
-    return index, read_bundles(spark, folder, index.select("bundle").distinct())
+    return index, read_bundles(spark, folder, index.select("bundle").distinct(), payloads)
