@@ -433,9 +433,11 @@ def train(pages: DataFrame) -> Labeller:
     """Fit on the grammar's pages and at most ``SAMPLE`` given ones, chosen by a hash of the page."""
     rng = random.Random(11)
     data = [labelled(synthetic_page(rng)) for _ in range(SYNTHETIC)]
-    short = pages.select("html").where(F.char_length("html") <= SAMPLE_CHARS)
-    some = short.orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
-    data += [x for r in some.collect() if (x := weakly_labelled(r["html"])) is not None]
+    short = pages.select("html").where(F.char_length("html") <= SAMPLE_CHARS).withColumn("_h", F.xxhash64("html"))
+    # Hashes first: tasks send SAMPLE numbers each, and only the chosen pages follow.
+    chosen = [r["_h"] for r in short.select("_h").distinct().orderBy("_h").limit(SAMPLE).collect()]
+    some = short.where(F.col("_h") <= chosen[-1]).dropDuplicates(["_h"]).collect() if chosen else []
+    data += [x for html in sorted(r["html"] for r in some) if (x := weakly_labelled(html)) is not None]
     data = [(b, y) for b, y in data if b]
     model = Labeller()
     model.train([b for b, _ in data], [y for _, y in data])
