@@ -7,8 +7,9 @@ Two documents link when ``5 * |A & B| >= 4 * |A | B|`` for their sets of 5-word
 2. A document's prefix is its first ``n - ceil(0.8 n) + l(n)`` shingles, ``l(n) = 1 + n // 20``: documents that link
    share at least ``min(l)`` shingles of their prefixes. Documents with the same size and prefix are one group.
 3. Groups are filtered, not documents: rows (shingle, group) are sorted by shingle in Spark and read as a stream. First every group
-   is compared with the smallest group of its shingles (hub), which links copies of a text without pairing them all.
-   Then pairs of groups that share enough shingles and are not connected yet are compared, all of them.
+   is compared with the smallest group of its shingles (hub), which links copies of a text without pairing them all. In large families of
+   looser copies, groups not connected yet are then compared with a few neighbours in ``ROUNDS`` random orders. Last,
+   pairs of groups that share enough shingles and are still not connected are compared, all of them.
 4. Groups expand into their distinct sets; a pair of sets is verified on the complete sets.
 
 The links found connect the same documents as all links do: a pair is only left out when its documents are already connected.
@@ -35,6 +36,8 @@ SKETCH_BITS = 20
 FILTER_BITS = 23
 PARTS = 64
 SEEN_GROUPS = 200_000
+ROUNDS = 3  # of comparing rows with their neighbours, before what is left is compared in full
+NEIGHBOURS = 6
 SIZE_STEPS = 64  # steps of a doubling in the size that a group id carries
 
 
@@ -210,8 +213,11 @@ def _hub_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["token", "g", "hub"])
 
 
-def _pair_rows(batches):
-    """Counts of shared tokens of all group pairs of a token whose labels differ (null: several labels)."""
+def _pair_rows(batches, most: int = 0):
+    """Counts of shared tokens of group pairs of a token whose labels differ (null: several labels).
+
+    All pairs that sizes allow, or with ``most`` only those with the last so many rows of another label.
+    """
     held: list[tuple[int, int | None]] = []
     token, counts = None, {}
 
@@ -228,13 +234,19 @@ def _pair_rows(batches):
             # Rows are sorted by size: those too small for this one are too small for all that follow.
             while held and step - (held[0][0] & 0xFFF) > MOST_STEPS:
                 held.pop(0)
-            for other, its in held:
+            left = most or len(held)
+            for other, its in reversed(held):
                 if other != g and (label is None or its is None or label != its):
                     pair = (min(g, other), max(g, other))
                     counts[pair] = counts.get(pair, 0) + 1
                     if len(counts) >= 500_000:
                         yield flush()
+                    left -= 1
+                    if not left:
+                        break
             held.append((g, label))
+            if most and len(held) > 8 * most:
+                held.pop(0)
     yield flush()
 
 
@@ -319,27 +331,20 @@ def link(docs: DataFrame) -> DataFrame:
     links = materialize(_verified(tried, tokens), "join-links")
     roots = components(links)
 
-    label = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    label = materialize(label, "join-labels")
-    of_group = label.groupBy("g").agg(F.min("root").alias("_a"), F.max("root").alias("_b"))
-    of_group = of_group.select("g", F.when(F.col("_a") == F.col("_b"), F.col("_a")).alias("label"))
-    rest = shared.select("token", "g").distinct().join(of_group, "g")
-    open_tokens = rest.groupBy("token").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("_n"), F.count("label").alias("_k"))
-    open_tokens = open_tokens.where((F.col("_k") < F.col("_n")) | (F.col("_a") != F.col("_b"))).select("token")
-    rest = rest.join(open_tokens, "token", "left_semi").repartition(F.col("token")).sortWithinPartitions("token", F.col("g").bitwiseAND(0xFFF), "g")
-    pairs = rest.select("token", "g", "label").mapInArrow(_pair_rows, "a long, b long, shared long").groupBy("a", "b").agg(F.sum("shared").alias("_shared"))
-    pairs = _enough(pairs, lead, part=1)
-    mixed = of_group.where(F.col("label").isNull()).select(F.col("g").alias("a"), F.col("g").alias("b"))
-    pairs = pairs.select("a", "b").unionByName(mixed)
-    one = label.select(F.col("g").alias("a"), "rep", "s1", F.col("root").alias("_ra"))
-    two = label.select(F.col("g").alias("b"), F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("root").alias("_rb"))
-    more = pairs.join(one, "a").join(two, "b").where((F.col("_ra") != F.col("_rb")) & ((F.col("a") != F.col("b")) | (F.col("rep") < F.col("to"))))
-    more = more.select("rep", "s1", "to", "to_s1").distinct()
-    more = more.join(tried, ["rep", "s1", "to", "to_s1"], "left_anti")
-    more = more.join(tried.select(F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("to").alias("rep"), F.col("to_s1").alias("s1")), ["rep", "s1", "to", "to_s1"], "left_anti")
-    late = materialize(_verified(more, tokens), "join-links")
-    if not late.isEmpty():
-        roots = components(links.unionByName(late))
+    for turn in range(ROUNDS + 1):
+        label = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        label = materialize(label, "join-labels")
+        most = NEIGHBOURS if turn < ROUNDS else 0
+        fresh = _member_pairs(_open_pairs(shared, label, lead, turn, most), label)
+        fresh = fresh.join(tried, ["rep", "s1", "to", "to_s1"], "left_anti")
+        fresh = fresh.join(tried.select(F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("to").alias("rep"), F.col("to_s1").alias("s1")), ["rep", "s1", "to", "to_s1"], "left_anti")
+        if most:
+            fresh = materialize(fresh, "join-tried")
+            tried = tried.unionByName(fresh)
+        late = materialize(_verified(fresh, tokens), "join-links")
+        if not late.isEmpty():
+            links = links.unionByName(late)
+            roots = components(links)
 
     of_set = sets.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("n", "s1", "s2", F.coalesce("root", "rep").alias("_root"))
     out = found.join(of_set, ["n", "s1", "s2"], "left")
@@ -347,6 +352,30 @@ def link(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def _open_pairs(shared: DataFrame, label: DataFrame, groups: DataFrame, turn: int, most: int) -> DataFrame:
+    """Group pairs (a, b) that share enough and are not connected; groups with unconnected members as (g, g)."""
+    of_group = label.groupBy("g").agg(F.min("root").alias("_a"), F.max("root").alias("_b"))
+    of_group = materialize(of_group.select("g", F.when(F.col("_a") == F.col("_b"), F.col("_a")).alias("label")), "join-group-labels")
+    rows = shared.select("token", "g").join(of_group, "g")
+    open_tokens = rows.groupBy("token").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("_n"), F.count("label").alias("_k"))
+    open_tokens = open_tokens.where((F.col("_k") < F.col("_n")) | (F.col("_a") != F.col("_b"))).select("token")
+    rows = rows.join(open_tokens, "token", "left_semi").repartition(F.col("token"))
+    # Of one size, another random order in every turn.
+    rows = rows.sortWithinPartitions("token", F.col("g").bitwiseAND(0xFFF), F.xxhash64("g", F.lit(turn)))
+    pairs = rows.select("token", "g", "label").mapInArrow(lambda b: _pair_rows(b, most), "a long, b long, shared long")
+    pairs = _enough(pairs.groupBy("a", "b").agg(F.sum("shared").alias("_shared")), groups, part=2 if most else 1)
+    mixed = of_group.where(F.col("label").isNull()).select(F.col("g").alias("a"), F.col("g").alias("b"))
+    return pairs.select("a", "b").unionByName(mixed)
+
+
+def _member_pairs(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Unconnected member pairs (rep, s1, to, to_s1) of group pairs."""
+    one = label.select(F.col("g").alias("a"), "rep", "s1", F.col("root").alias("_ra"))
+    two = label.select(F.col("g").alias("b"), F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("root").alias("_rb"))
+    apart = (F.col("_ra") != F.col("_rb")) & ((F.col("a") != F.col("b")) | (F.col("rep") < F.col("to")))
+    return pairs.join(one, "a").join(two, "b").where(apart).select("rep", "s1", "to", "to_s1").distinct()
+
+
 def _enough(pairs: DataFrame, groups: DataFrame, part: int) -> DataFrame:
     """Group pairs that share enough prefix shingles (a ``part`` of it) and whose sizes can link."""
     size = groups.select("g", "n")
