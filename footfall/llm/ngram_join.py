@@ -331,7 +331,10 @@ def link(docs: DataFrame) -> DataFrame:
     links = materialize(_verified(tried, tokens), "join-links")
     roots = components(links)
 
+    settled = False
     for turn in range(ROUNDS + 1):
+        if settled and turn < ROUNDS:
+            continue  # neighbours have nothing more to connect
         label = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         label = materialize(label, "join-labels")
         most = NEIGHBOURS if turn < ROUNDS else 0
@@ -342,7 +345,8 @@ def link(docs: DataFrame) -> DataFrame:
             fresh = materialize(fresh, "join-tried")
             tried = tried.unionByName(fresh)
         late = materialize(_verified(fresh, tokens), "join-links")
-        if not late.isEmpty():
+        settled = late.isEmpty()
+        if not settled:
             links = links.unionByName(late)
             roots = components(links)
 
