@@ -133,8 +133,8 @@ class _Documents:
 
 
 RUNS = "bucket int, anchor binary, cover binary, doc binary, lo binary, lo_high binary, n binary, side_left binary, side_right binary, ids binary, nulls binary, crcs binary"
-MARKS = "part int, doc binary, lo binary, n binary, decided binary, ids binary, nulls binary, crcs binary"
-STRINGS = "bucket int, rank binary, doc binary, lo binary, ids binary, nulls binary, crcs binary"
+MARKS = "part int, home int, doc binary, lo binary, n binary, decided binary, ids binary, nulls binary, crcs binary"
+STRINGS = "bucket int, rank binary, doc binary, lo binary, n binary, ids binary, nulls binary, crcs binary"
 
 
 def _split(bucket: np.ndarray, row: np.ndarray, ids, nulls, crcs, columns) -> Iterator[dict]:
@@ -245,20 +245,21 @@ def _rank_runs(table: pa.Table, parts: int) -> pa.Table:
     keep = np.flatnonzero(decided | open_)
     lo = (_join(g.take("lo"), 2) | _join(g.take("lo_high"), 2) << np.uint64(16))[keep]
     n = np.frombuffer(b"".join(g.take("n")), np.uint8)[keep]
-    return _marks(g, g.doc[keep], parts, lo, n, decided[keep])
+    return _marks(g, g.doc[keep], parts, lo, n, decided[keep], table.column("bucket")[0].as_py())
 
 
 def _part_of(ids: np.ndarray, crcs: np.ndarray, parts: int) -> np.ndarray:
     return _bucket(ids.view(np.uint64) ^ mix(crcs.astype(np.uint64)), parts)
 
 
-def _marks(g: _Gathered, doc, parts: int, lo, n, decided) -> pa.Table:
+def _marks(g: _Gathered, doc, parts: int, lo, n, decided, home: int) -> pa.Table:
+    """Marked runs by the part that holds their document; ``home`` is the bucket of their anchors."""
     columns = {
         "lo": (lo, lambda x: x.astype("<u4").tobytes()), "n": (n, lambda x: x.astype(np.uint8).tobytes()),
         "decided": (decided, lambda x: x.astype(np.uint8).tobytes()),
     }
     part = _part_of(g.id, g.crc, parts)[doc] if len(doc) else np.zeros(0, np.int32)
-    rows = [{**r, "part": r["bucket"]} for r in _split(part, doc, g.id, g.null, g.crc, columns)]
+    rows = [{**r, "part": r["bucket"], "home": home} for r in _split(part, doc, g.id, g.null, g.crc, columns)]
     return pa.Table.from_batches([_emit(rows, MARKS)])
 
 
@@ -266,27 +267,31 @@ def _rank_strings(table: pa.Table, parts: int) -> pa.Table:
     """The last doubling: strings of the full length that a smaller document has too."""
     g = _Gathered(table)
     rank = np.frombuffer(b"".join(g.take("rank")), "<u8")
-    lo = np.frombuffer(b"".join(g.take("lo")), "<u4")
+    n = np.frombuffer(b"".join(g.take("n")), np.uint8).astype(np.int64)
+    run = np.repeat(np.arange(len(n)), n)
+    lo = np.frombuffer(b"".join(g.take("lo")), "<u4").astype(np.int64)[run] + np.arange(len(run)) - (np.cumsum(n) - n)[run]
+    order, doc = g.order[run], g.doc[run]
     o, new = _classes(rank)
-    _, least, _ = _extremes(new, g.order[o])
-    keep = o[g.order[o] > least]
-    return _marks(g, g.doc[keep], parts, lo[keep], np.ones(len(keep), np.uint8), np.ones(len(keep), bool))
+    _, least, _ = _extremes(new, order[o])
+    keep = np.sort(o[order[o] > least])
+    return _marks(g, doc[keep], parts, lo[keep], np.ones(len(keep), np.uint8), np.ones(len(keep), bool), 0)
 
 
 def _by_document(marks: pa.Table) -> dict[tuple, list[np.ndarray]]:
-    """(id, null, crc) -> lo, n, decided of all its marks."""
+    """(id, null, crc) -> lo, n, decided, home of all its marks."""
     if not marks.num_rows:
         return {}
     g = _Gathered(marks)
     lo = np.frombuffer(b"".join(g.take("lo")), "<u4").astype(np.int64)
     n = np.frombuffer(b"".join(g.take("n")), np.uint8).astype(np.int64)
     decided = np.frombuffer(b"".join(g.take("decided")), np.uint8) > 0
+    home = np.repeat(np.array(g.take("home")), [len(x) for x in g.take("decided")])
     keys = list(zip(g.id.tolist(), g.null.tolist(), g.crc.tolist(), strict=True))
     numbers: dict[tuple, int] = {}
     same = np.array([numbers.setdefault(k, len(numbers)) for k in keys], np.int64)[g.doc]
     o = np.argsort(same, kind="stable")
     cuts = np.searchsorted(same[o], np.arange(len(numbers) + 1))
-    return {k: [x[o[cuts[i] : cuts[i + 1]]] for x in (lo, n, decided)] for k, i in numbers.items()}
+    return {k: [x[o[cuts[i] : cuts[i + 1]]] for x in (lo, n, decided, home)] for k, i in numbers.items()}
 
 
 def _texts(docs: pa.Table) -> tuple[_Documents, list[bytes]]:
@@ -296,29 +301,37 @@ def _texts(docs: pa.Table) -> tuple[_Documents, list[bytes]]:
     return known, texts
 
 
-def _string_rows(docs: pa.Table, marks: pa.Table, n_buckets: int) -> pa.Table:
-    """All strings of the runs that are still open, ranked at full length."""
+def _string_rows(docs: pa.Table, marks: pa.Table) -> pa.Table:
+    """All strings of the runs that are still open, ranked at full length.
+
+    Equal strings share an anchor, so a run goes to its anchor's bucket as one piece: (first position, ranks)."""
     by = _by_document(marks)
     known, texts = _texts(docs)
-    ids, nulls, crcs = known.arrays()
-    ranks, rows, at, done = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], set()
+    found, ranks, done = [], [np.zeros(0, np.uint64)], set()
     for i, key in enumerate(zip(known.id, known.null, known.crc, strict=True)):
         key = (key[0], int(key[1]), key[2])
         if key not in by or key in done:
             continue
         done.add(key)
-        lo, n, decided = by[key]
-        lo, n = lo[~decided], n[~decided]
-        if not len(lo):
-            continue
+        lo, n, decided, home = by[key]
+        lo, n, home = lo[~decided], n[~decided], home[~decided]
         sums, down = running(BYTE_CODE[np.frombuffer(texts[i], np.uint8)])
         p = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
         ranks.append(mix((sums[p + LENGTH] - sums[p]) * down[p]))
-        rows.append(np.full(len(p), i))
-        at.append(p)
-    rank, row, p = (np.concatenate(x) for x in (ranks, rows, at))
-    columns = {"rank": (rank, lambda x: x.astype("<u8").tobytes()), "lo": (p, lambda x: x.astype("<u4").tobytes())}
-    return pa.Table.from_batches([_emit(list(_split(_bucket(rank, n_buckets), row, ids, nulls, crcs, columns)), STRINGS)])
+        found.append((np.full(len(lo), i), lo, n, home))
+    if not found:
+        return pa.Table.from_batches([_emit([], STRINGS)])
+    row, lo, n, home = (np.concatenate(x) for x in zip(*found, strict=True))
+    rank, first = np.concatenate(ranks), np.cumsum(n) - n
+
+    def of_runs(some: np.ndarray) -> bytes:
+        m = n[some]
+        return rank[np.repeat(first[some] - (np.cumsum(m) - m), m) + np.arange(m.sum())].astype("<u8").tobytes()
+
+    columns = {
+        "rank": (np.arange(len(n)), of_runs), "lo": (lo, lambda x: x.astype("<u4").tobytes()), "n": (n, lambda x: x.astype(np.uint8).tobytes()),
+    }
+    return pa.Table.from_batches([_emit(list(_split(home.astype(np.int32), row, *known.arrays(), columns)), STRINGS)])
 
 
 def _remove(docs: pa.Table, marks: pa.Table, names: list[str], as_text: bool) -> pa.Table:
@@ -326,7 +339,7 @@ def _remove(docs: pa.Table, marks: pa.Table, names: list[str], as_text: bool) ->
     known, texts = _texts(docs)
     sizes, removed, spans, kept = [], [], [], []
     for key, text in zip(zip(known.id, known.null, known.crc, strict=True), texts, strict=True):
-        lo, n, decided = by.get((key[0], int(key[1]), key[2]), (np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),))
+        lo, n, decided, _ = by.get((key[0], int(key[1]), key[2]), (np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),) * 2)
         cover = np.zeros(len(text) + 1, np.int32)
         np.add.at(cover, lo[decided], 1)
         np.add.at(cover, (lo + n + LENGTH - 1)[decided], -1)
@@ -364,10 +377,9 @@ def cut_repeats(docs: DataFrame, others: tuple[str, ...] = (), as_text: bool = F
 
     schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType())])
     placed = rows.mapInArrow(part_rows, schema)
-    strings = placed.select("part", "doc_id", "text").groupBy("part").cogroup(marks.groupBy("part"))
-    strings = strings.applyInArrow(lambda d, m: _string_rows(d, m, n), STRINGS)
+    # Both cogroups below deal the same rows by the same key: Spark shuffles the texts once for both.
+    strings = placed.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(_string_rows, STRINGS)
     late = strings.groupBy("bucket").applyInArrow(lambda t: _rank_strings(t, n), MARKS)
-    late = materialize(late, "suffix-strings")
     out = T.StructType([f for f in rows.schema.fields if f.name in names])
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     out = out.add("n_bytes", "long").add("n_removed", "long").add("spans", span).add("kept", "string" if as_text else "binary")
