@@ -164,7 +164,7 @@ def _run_rows(batches, n_buckets: int):
     def flush():
         row, lo, n, anchor, cover, left, right = (np.concatenate(x) for x in zip(*found, strict=True))
         columns = {
-            "anchor": (anchor, lambda x: _cut(x, 6)), "cover": (cover, lambda x: _cut(x, 4)),
+            "anchor": (anchor, lambda x: _cut(x, 6)), "cover": (cover, lambda x: _cut(x, 8)),
             "lo": (lo, lambda x: _cut(x, 2)), "lo_high": (lo >> 16, lambda x: _cut(x, 2)), "n": (n, lambda x: _cut(x, 1)),
             "side_left": (left, lambda x: x.tobytes()), "side_right": (right, lambda x: x.tobytes()),
         }
@@ -223,7 +223,7 @@ def _extremes(new: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _rank_runs(table: pa.Table, parts: int) -> pa.Table:
     """Decide runs by their cover, and pass on those that a neighbour in rank may still match in part."""
     g = _Gathered(table)
-    anchor, cover = _join(g.take("anchor"), 6), _join(g.take("cover"), 4)
+    anchor, cover = _join(g.take("anchor"), 6), _join(g.take("cover"), 8)
     o, new = _classes(anchor, cover)
     _, least, _ = _extremes(new, g.order[o])
     decided = np.zeros(len(o), bool)

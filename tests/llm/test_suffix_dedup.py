@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from footfall.llm import suffix_dedup
@@ -94,3 +95,27 @@ def test_equal_strings_share_an_anchor():
             strings += 1
     assert strings == sum(max(0, b - a - 49) for a, b in zip(offsets[:-1], offsets[1:]))
     assert mix(np.array([1], np.uint64))[0] != 1
+
+
+def batch(rows):
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], names=["doc_id", "text"])
+
+
+def test_covers_are_compared_whole(monkeypatch):
+    """Covers that agree in their low 32 bits are not equal."""
+    whole = suffix_dedup.runs
+
+    def alike(data, offsets):
+        row, lo, n, anchor, cover, left, right = whole(data, offsets)
+        return row, lo, n, anchor, cover & ~np.uint64(0xFFFFFFFF), left, right
+
+    monkeypatch.setattr(suffix_dedup, "runs", alike)
+    rng = random.Random(4)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(53))
+    rows = [(i, "".join(rng.choice("stuvwxyz") for _ in range(80)) + line + "".join(rng.choice("stuvwxyz") for _ in range(80))) for i in range(20)]
+    found = pa.Table.from_batches(list(suffix_dedup._run_rows([batch(rows)], 1)))
+    marks = suffix_dedup._by_document(suffix_dedup._rank_runs(found, 1))
+    for key, (lo, n, decided, _) in marks.items():
+        for a, k in zip(lo[decided].tolist(), n[decided].tolist()):
+            assert line[a - 80 :].startswith(rows[key[0]][1][a : a + k + 49]), "a passage with its own context was removed"
+    assert any((~decided).any() for _, _, decided, _ in marks.values())
