@@ -11,6 +11,11 @@ as soon as its rank is unique:
    of it. Runs whose ranks of neither pair (anchor, side) occur in another document leave.
 3. What is left, edges of passages, is ranked string by string at the full 50 bytes.
 
+An anchor with more than ``HOT_RUNS`` runs skips 1 and 2: its strings are ranked at the full length at once, each batch
+decides what it can and sends only its smallest document of every string, and the strings are dealt by their own rank. So
+no group holds every document of a frequent line. A batch counts anchors that it has ``OFTEN`` times or more, hence a group
+has at most HOT_RUNS + (OFTEN - 1) * batches runs of one anchor.
+
 Ranks are hashes; sorting is done in Spark tasks, each holding the rows of one bucket of the rank, whose
 number grows with the bytes. Texts are shuffled once by document, everything else moves as
 arrays. Equal (rank, document) rows of a task go out once per position only as bytes of an array.
@@ -41,6 +46,9 @@ SIDE = (LENGTH - STEP) // 2
 SLICE = 512 << 10
 BATCH_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
+HOT_RUNS, OFTEN = 5_000, 4
+HOT_STRINGS = 4 << 20  # strings of hot anchors that a batch holds before it goes out
+RUN, STRING, DECIDED = range(3)
 MOST_ID = np.iinfo(np.int64).max
 POSITION_BITS = np.uint64(28)
 MASK = np.uint64((1 << 28) - 1)
@@ -66,6 +74,25 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - have)], x[width - have :]) if width > have else x
 
 
+def _anchored(sums: np.ndarray, down: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First and last string of every run of a slice, where its anchor starts, the anchor's rank."""
+    size = len(sums) - 1
+    grams = mix((sums[STEP:] - sums[:-STEP]) * down[: size - STEP + 1])
+    marked = (grams & ~MASK) | np.arange(len(grams), dtype=np.uint64)
+    at = (_sliding_min(marked, WINDOW) & MASK).astype(np.int64)  # leftmost smallest of every string
+    # Strings that would cross into the next row start in the last 49 bytes of a row.
+    edge = np.zeros(size + 1, np.int32)
+    np.add.at(edge, np.maximum(offsets[:-1], offsets[1:] - LENGTH + 1), 1)
+    np.add.at(edge, offsets[1:], -1)
+    inside = np.cumsum(edge)[: len(at)] == 0
+    first = inside.copy()
+    first[1:] &= ~inside[:-1] | (at[1:] != at[:-1])
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | (at[1:] != at[:-1])
+    lo, hi = np.flatnonzero(first), np.flatnonzero(last)
+    return lo, hi, at[lo], grams[at[lo]]
+
+
 def runs(data: np.ndarray, offsets: np.ndarray):
     """Runs of a slice: row, first position (in the row), how many positions, anchor rank, cover rank, left and right rank.
 
@@ -79,26 +106,49 @@ def runs(data: np.ndarray, offsets: np.ndarray):
     def rank(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix((sums[b] - sums[a]) * down[a])
 
-    grams = mix((sums[STEP:] - sums[:-STEP]) * down[: len(data) - STEP + 1])
-    marked = (grams & ~MASK) | np.arange(len(grams), dtype=np.uint64)
-    at = (_sliding_min(marked, WINDOW) & MASK).astype(np.int64)  # leftmost smallest of every string
-    # Strings that would cross into the next row start in the last 49 bytes of a row.
-    edge = np.zeros(len(data) + 1, np.int32)
-    np.add.at(edge, np.maximum(offsets[:-1], offsets[1:] - LENGTH + 1), 1)
-    np.add.at(edge, offsets[1:], -1)
-    inside = np.cumsum(edge)[: len(at)] == 0
-    first = inside.copy()
-    first[1:] &= ~inside[:-1] | (at[1:] != at[:-1])
-    last = inside.copy()
-    last[:-1] &= ~inside[1:] | (at[1:] != at[:-1])
-    lo, hi = np.flatnonzero(first), np.flatnonzero(last)
-    p = at[lo]
+    lo, hi, p, anchor = _anchored(sums, down, offsets)
     row = np.searchsorted(offsets, lo, "right") - 1
     start, end = offsets[row], offsets[row + 1]
     has_left, has_right = p - SIDE >= start, p + STEP + SIDE <= end
     left = np.where(has_left, np.maximum(1, rank(np.where(has_left, p - SIDE, 0), np.where(has_left, p, 0)) >> np.uint64(56)), 0)
     right = np.where(has_right, np.maximum(1, rank(np.where(has_right, p + STEP, 0), np.where(has_right, p + STEP + SIDE, 0)) >> np.uint64(56)), 0)
-    return row, lo - start, hi - lo + 1, grams[p], rank(lo, hi + LENGTH), left.astype(np.uint8), right.astype(np.uint8)
+    return row, lo - start, hi - lo + 1, anchor, rank(lo, hi + LENGTH), left.astype(np.uint8), right.astype(np.uint8)
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray, row: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All strings of some runs: row, position (in the row), rank of the full length."""
+    sums, down = running(BYTE_CODE[data])
+    at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    row = np.repeat(row, n)
+    p = offsets[row] + at
+    return row, at, mix((sums[p + LENGTH] - sums[p]) * down[p])
+
+
+def _anchor_counts(batches, often: int):
+    found, size = [], 0
+
+    def flush():
+        anchor, times = np.unique(np.concatenate(found), return_counts=True)
+        some = times >= often
+        return pa.RecordBatch.from_arrays([pa.array(anchor[some].view(np.int64)), pa.array(times[some].astype(np.int64))], names=["anchor", "n"])
+
+    for batch in batches:
+        for _, _, data, offsets in slices(pc.fill_null(batch.column(0), ""), SLICE):
+            if len(data) >= LENGTH:
+                found.append(_anchored(*running(BYTE_CODE[data]), offsets)[3])
+                size += len(data)
+            if size >= BATCH_BYTES:
+                yield flush()
+                found, size = [], 0
+    if found:
+        yield flush()
+
+
+def hot_anchors(rows: DataFrame) -> np.ndarray:
+    """Sorted ranks of the anchors with more than ``HOT_RUNS`` runs. They only say how runs are dealt, not what is removed."""
+    often = OFTEN
+    counts = rows.select("text").mapInArrow(lambda b: _anchor_counts(b, often), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    return np.sort(np.array([r[0] for r in counts.where(F.col("n") > HOT_RUNS).select("anchor").collect()], np.int64).view(np.uint64))
 
 
 # ------------------------------------------------------------------ arrays in binary columns
@@ -132,7 +182,7 @@ class _Documents:
         return np.array(self.id, np.int64), np.array(self.null, np.uint8), np.array(self.crc, np.uint32)
 
 
-RUNS = "bucket int, anchor binary, cover binary, doc binary, lo binary, lo_high binary, n binary, side_left binary, side_right binary, ids binary, nulls binary, crcs binary"
+RUNS = "bucket int, kind int, rank binary, anchor binary, cover binary, doc binary, lo binary, lo_high binary, n binary, side_left binary, side_right binary, ids binary, nulls binary, crcs binary"
 MARKS = "part int, home int, doc binary, lo binary, n binary, decided binary, ids binary, nulls binary, crcs binary"
 STRINGS = "bucket int, rank binary, doc binary, lo binary, n binary, ids binary, nulls binary, crcs binary"
 
@@ -155,11 +205,41 @@ def _split(bucket: np.ndarray, row: np.ndarray, ids, nulls, crcs, columns) -> It
 
 def _emit(rows: list[dict], schema: str) -> pa.RecordBatch:
     fields = [f.split() for f in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], pa.int32() if k == "int" else pa.binary()) for n, k in fields], names=[n for n, _ in fields])
+    return pa.RecordBatch.from_arrays([pa.array([r.get(n, b"") for r in rows], pa.int32() if k == "int" else pa.binary()) for n, k in fields], names=[n for n, _ in fields])
+
+
+def _spans(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring positions, in order, as pieces of at most 255: where each starts in the arrays, how many."""
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
+    k = np.arange(len(row))
+    first |= (k - np.maximum.accumulate(np.where(first, k, 0))) % 255 == 0
+    starts = np.flatnonzero(first)
+    return starts, np.diff(np.append(starts, len(row)))
 
 
-def _run_rows(batches, n_buckets: int):
-    docs, found, size, first = _Documents(), [], 0, 0
+def _hot_rows(strings: list, docs: _Documents, n_buckets: int) -> Iterator[dict]:
+    """Strings of hot anchors: those of the batch's smallest document by their rank, all others decided."""
+    ids, nulls, crcs = docs.arrays()
+    row, at, rank = (np.concatenate(x) for x in zip(*strings, strict=True))
+    order = np.where(nulls > 0, MOST_ID, ids)[row]
+    o, new = _classes(rank)
+    _, least, _ = _extremes(new, order[o])
+    gone = np.zeros(len(o), bool)
+    gone[o] = order[o] > least
+    position = lambda x: {"lo": (x, lambda x: _cut(x, 2)), "lo_high": (x >> 16, lambda x: _cut(x, 2))}
+    columns = position(at[~gone]) | {"rank": (rank[~gone], lambda x: _cut(x, 8))}
+    for r in _split(_bucket(rank[~gone], n_buckets), row[~gone], ids, nulls, crcs, columns):
+        yield r | {"kind": STRING}
+    row, at = row[gone], at[gone]
+    starts, n = _spans(row, at)
+    columns = position(at[starts]) | {"n": (n, lambda x: _cut(x, 1))}
+    for r in _split(_part_of(ids, crcs, n_buckets)[row[starts]], row[starts], ids, nulls, crcs, columns):
+        yield r | {"kind": DECIDED}
+
+
+def _run_rows(batches, n_buckets: int, hot: np.ndarray = np.zeros(0, np.uint64)):
+    docs, found, strings, size, n_strings, first = _Documents(), [], [], 0, 0, 0
 
     def flush():
         row, lo, n, anchor, cover, left, right = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -168,7 +248,9 @@ def _run_rows(batches, n_buckets: int):
             "lo": (lo, lambda x: _cut(x, 2)), "lo_high": (lo >> 16, lambda x: _cut(x, 2)), "n": (n, lambda x: _cut(x, 1)),
             "side_left": (left, lambda x: x.tobytes()), "side_right": (right, lambda x: x.tobytes()),
         }
-        rows = list(_split(_bucket(anchor, n_buckets), row, *docs.arrays(), columns))
+        rows = [r | {"kind": RUN} for r in _split(_bucket(anchor, n_buckets), row, *docs.arrays(), columns)]
+        if n_strings:
+            rows += _hot_rows(strings, docs, n_buckets)
         return _emit(rows, RUNS)
 
     for batch in batches:
@@ -176,12 +258,19 @@ def _run_rows(batches, n_buckets: int):
         for a, b, data, offsets in slices(texts, SLICE):
             docs.add(ids[a:b].to_pylist(), [data[x:y].tobytes() for x, y in zip(offsets[:-1], offsets[1:], strict=True)])
             row, *rest = runs(data, offsets)
+            if len(hot):
+                is_hot = np.isin(rest[2], hot)
+                if is_hot.any():
+                    of, at, rank = _strings(data, offsets, row[is_hot], rest[0][is_hot], rest[1][is_hot])
+                    strings.append((of + first, at, rank))
+                    n_strings += len(at)
+                    row, *rest = (x[~is_hot] for x in (row, *rest))
             found.append((row + first, *rest))
             first += b - a
             size += len(data)
-            if size >= BATCH_BYTES:
+            if size >= BATCH_BYTES or n_strings >= HOT_STRINGS:
                 yield flush()
-                docs, found, size, first = _Documents(), [], 0, 0
+                docs, found, strings, size, n_strings, first = _Documents(), [], [], 0, 0, 0
     if found:
         yield flush()
 
@@ -220,6 +309,10 @@ def _extremes(new: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return number, np.minimum.reduceat(values, starts)[number], np.maximum.reduceat(values, starts)[number]
 
 
+def _position(g: _Gathered) -> np.ndarray:
+    return _join(g.take("lo"), 2) | _join(g.take("lo_high"), 2) << np.uint64(16)
+
+
 def _rank_runs(table: pa.Table, parts: int) -> pa.Table:
     """Decide runs by their cover, and pass on those that a neighbour in rank may still match in part."""
     g = _Gathered(table)
@@ -243,11 +336,31 @@ def _rank_runs(table: pa.Table, parts: int) -> pa.Table:
             covers = x != y
             open_[own[s[(a != b) & covers]]] = True
     keep = np.flatnonzero(decided | open_)
-    lo = (_join(g.take("lo"), 2) | _join(g.take("lo_high"), 2) << np.uint64(16))[keep]
+    lo = _position(g)[keep]
     n = np.frombuffer(b"".join(g.take("n")), np.uint8)[keep]
     return _marks(g, g.doc[keep], parts, lo, n, decided[keep], table.column("bucket")[0].as_py())
 
 
+def _rank_hot(table: pa.Table, parts: int) -> pa.Table:
+    """Strings of hot anchors that a smaller document of another batch has too."""
+    g = _Gathered(table)
+    o, new = _classes(_join(g.take("rank"), 8))
+    _, least, _ = _extremes(new, g.order[o])
+    keep = np.sort(o[g.order[o] > least])
+    return _marks(g, g.doc[keep], parts, _position(g)[keep], np.ones(len(keep), np.uint8), np.ones(len(keep), bool), 0)
+
+
+def _pass_on(table: pa.Table, parts: int) -> pa.Table:
+    """Strings of hot anchors that their batch has decided."""
+    g = _Gathered(table)
+    return _marks(g, g.doc, parts, _position(g), np.frombuffer(b"".join(g.take("n")), np.uint8), np.ones(len(g.doc), bool), 0)
+
+
+def _rank_bucket(table: pa.Table, parts: int) -> pa.Table:
+    by_kind = ((f, table.filter(pc.equal(table.column("kind"), k))) for k, f in ((RUN, _rank_runs), (STRING, _rank_hot), (DECIDED, _pass_on)))
+    return pa.concat_tables([f(some, parts) for f, some in by_kind if some.num_rows])
+
+
 def _part_of(ids: np.ndarray, crcs: np.ndarray, parts: int) -> np.ndarray:
     return _bucket(ids.view(np.uint64) ^ mix(crcs.astype(np.uint64)), parts)
 
@@ -363,11 +476,13 @@ def cut_repeats(docs: DataFrame, others: tuple[str, ...] = (), as_text: bool = F
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(others)]
     )
-    n = buckets_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = buckets_for(n_bytes)
+    hot = hot_anchors(rows) if n_bytes > HOT_RUNS else np.zeros(0, np.uint64)
     names = ["doc_id", *(f"c{i}" for i in range(len(others)))]
 
-    found = rows.select("doc_id", "text").mapInArrow(lambda b: _run_rows(b, n), RUNS)
-    marks = materialize(found.groupBy("bucket").applyInArrow(lambda t: _rank_runs(t, n), MARKS), "suffix-runs")
+    found = rows.select("doc_id", "text").mapInArrow(lambda b: _run_rows(b, n, hot), RUNS)
+    marks = materialize(found.groupBy("bucket").applyInArrow(lambda t: _rank_bucket(t, n), MARKS), "suffix-runs")
 
     def part_rows(batches):
         for batch in batches:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from footfall.llm import suffix_dedup
@@ -119,3 +120,46 @@ def test_covers_are_compared_whole(monkeypatch):
         for a, k in zip(lo[decided].tolist(), n[decided].tolist()):
             assert line[a - 80 :].startswith(rows[key[0]][1][a : a + k + 49]), "a passage with its own context was removed"
     assert any((~decided).any() for _, _, decided, _ in marks.values())
+
+
+def common_line(rng, n):
+    line = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    other = lambda k: "".join(rng.choice("stuvwxyz") for _ in range(k))
+    return [(i if i % 50 else None, other(rng.randint(30, 90)) + line[rng.randint(0, 9) :] + other(rng.randint(30, 90))) for i in rng.sample(range(n), n)]
+
+
+def test_no_bucket_holds_every_document_of_an_anchor():
+    rows = common_line(random.Random(5), 800)
+    batches = [batch(rows[a : a + 100]) for a in range(0, 800, 100)]
+    counts = [b for x in batches for b in suffix_dedup._anchor_counts(iter([x.select(["text"])]), 4)]
+    times = {}
+    for b in counts:
+        for anchor, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            times[anchor] = times.get(anchor, 0) + n
+    hot = np.sort(np.array([a for a, n in times.items() if n > 200], np.int64).view(np.uint64))
+
+    def largest(hot):
+        found = pa.Table.from_batches([b for x in batches for b in suffix_dedup._run_rows(iter([x]), 64, hot)])
+        held = {}
+        for bucket, kind, doc in zip(*(found.column(c).to_pylist() for c in ("bucket", "kind", "doc"))):
+            held[bucket] = held.get(bucket, 0) + len(doc) // 4 * (kind != suffix_dedup.DECIDED)
+        return found, max(held.values()) / sum(held.values())
+
+    assert len(hot) and largest(hot[:0])[1] > 0.09
+    found, share = largest(hot)
+    assert share < 0.03
+    strings = found.filter(pc.equal(found.column("kind"), suffix_dedup.STRING))
+    rank = suffix_dedup._join(strings.column("rank").to_pylist(), 8)
+    assert np.unique(rank, return_counts=True)[1].max() <= 2 * len(batches)  # once per batch, twice where its smallest document has it twice
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_hot_anchors(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 4000)
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", 30)
+    copy = "".join(rng.choice("ijkl ") for _ in range(700))
+    rows = common_line(rng, 300) + [(rng.randint(0, 400), copy[rng.choice([0, 0, 0, 35]) :]) for _ in range(60)]
+    rows += [(7, "-" * 200), (8, "-" * 90), (9, "-" * 400 + "x"), (None, "-" * 60)]
+    assert len(suffix_dedup.hot_anchors(frame(spark, rows))) > 3
+    assert run(spark, rows) == plain(rows)
