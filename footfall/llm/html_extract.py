@@ -7,8 +7,9 @@ reads the whole sequence, so a block is labelled with the page before and after
 The model is trained here, on the driver, from a bounded set of sequences: ``SYNTHETIC`` pages made by a small grammar, and at most ``SAMPLE``
 given pages of at most ``SAMPLE_CHARS`` characters whose own tags (article, main, nav, footer …) say what a block is. Labelling runs in Spark tasks on whole pages.
 
-Defined results: a null html is empty; a page without article blocks has an empty text; an unclosed script or style swallows the rest, as
-in browsers; a null url stays null; repeated rows are labelled each; an empty table gives no rows. Other columns are not looked at.
+Defined results: a null html is empty; a page without article blocks has an empty text; an unclosed script, style, title, textarea or
+iframe swallows the rest, as in browsers; a head ends at the first tag or text that cannot stand in it; an unclosed noscript, object or template
+ends with the element around it, an unclosed svg also at the first tag that is none of SVG; a null url stays null; repeated rows are labelled each; an empty table gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,8 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN_TAGS = frozenset("head iframe noscript object script style svg template title".split())
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+NOT_SVG = BLOCK_TAGS | frozenset("b big br code em embed i img meta nobr ruby s small span strike strong sub sup tt u var".split())
 RAW_TAGS = ("script", "style", "title", "textarea", "iframe")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -77,7 +81,10 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, list[int]]] = []
     pieces: list[str] = []
     linked = total = 0
-    in_link = hidden = 0
+    in_link = at = 0
+    inline: Counter[str] = Counter()  # open visible elements that are no blocks
+    inside: list[str] = []  # open elements from the outermost hidden one on
+    last_end: dict[str, int] = {}
 
     def close() -> None:
         nonlocal linked, total
@@ -90,16 +97,30 @@ def blocks(page: str) -> list[Block]:
             pieces.clear()
         linked = total = 0
 
+    def unclosed(tag: str) -> bool:
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in re.finditer(f"</{re.escape(tag)}", page, re.I)), default=-1)
+        return last_end[tag] < at
+
+    def leave_head() -> None:
+        if inside and inside[0] == "head" and (len(inside) == 1 or unclosed(inside[1])):
+            inside.clear()
+
+    def leave_svg() -> None:
+        while (k := max((k for k, t in enumerate(inside) if t in ("svg", "foreignobject", "desc")), default=-1)) >= 0 and inside[k] == "svg":
+            del inside[k:]
+
     def add(text: str) -> None:
         nonlocal linked, total
-        if text and not hidden:
+        if inside and text.strip(" \t\n\r\f"):
+            leave_head()
+        if text and not inside:
             if "&" in text:
                 text = entities.unescape(text)
             pieces.append(text)
             total += len(text)
             linked += len(text) if in_link else 0
 
-    at = 0
     while True:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -111,20 +132,35 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if m[1]:
-            if tag in HIDDEN_TAGS:
-                hidden = max(0, hidden - 1)
-            elif tag == "a":
-                in_link = 0
+            if inside:
+                known = next((k for k in range(len(inside) - 1, -1, -1) if inside[k] == tag), None)
+                if known is None and (tag in ("body", "html") or inline[tag] or any(t == tag for t, _ in stack)):
+                    inside.clear()  # an element around the hidden one ends
+                else:
+                    if known is not None:
+                        del inside[known:]
+                    if tag in BLOCK_TAGS:
+                        close()
+                    continue
+            if tag == "a":
+                in_link = inline[tag] = 0
             elif tag in BLOCK_TAGS:
                 close()
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
                         del stack[k:]
                         break
+            elif inline[tag]:
+                inline[tag] -= 1
             continue
         if tag == "body":
-            hidden = 0
-        if tag in RAW_TAGS:
+            inside.clear()
+        if inside and tag not in HEAD_TAGS:
+            leave_head()
+        if inside and tag in NOT_SVG:
+            leave_svg()
+        ended = m[3].endswith("/")
+        if tag in RAW_TAGS and not (ended and "svg" in inside):
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             stop = end.start() if end else len(page)
             if tag == "textarea":
@@ -134,13 +170,15 @@ def blocks(page: str) -> list[Block]:
                 close()
                 stack.pop()
             at = end.end() if end else stop
-        elif tag in HIDDEN_TAGS:
-            if not m[3].endswith("/"):
-                hidden += 1
+        elif inside or tag in HIDDEN_TAGS:
+            if tag in BLOCK_TAGS:
+                close()
+            if not ended and tag not in VOID_TAGS:
+                inside.append(tag)
         elif tag == "br":
             add("\n")
         elif tag == "a":
-            in_link = 1
+            in_link = inline[tag] = 1
         elif tag in BLOCK_TAGS:
             close()
             if tag == "p" or tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
@@ -151,6 +189,8 @@ def blocks(page: str) -> list[Block]:
                 stack.pop()
             if tag not in VOID_TAGS:
                 stack.append((tag, [_slot(tag), *_name_slots(m[3])]))
+        elif tag not in VOID_TAGS:
+            inline[tag] += 1
     close()
     return out
 

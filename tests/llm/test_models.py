@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from footfall.llm import html_extract as H, quality as Q
@@ -99,6 +100,28 @@ def test_blocks():
     assert H.blocks("1 < 2 <")[0].text == "1 < 2 <"
 
 
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<html><head><title>x</title><article><p>a</article>", ["a"]),
+        ("<head><meta charset=utf-8><link rel=x><style>p{}</style><script>1</script>text<p>a", ["text", "a"]),
+        ("<head><noscript><img src=x>no</noscript><title>no</title><template><p>no</p></template>\n<p>a", ["a"]),
+        ("<head><noscript><link rel=x><article><p>a</article>", ["a"]),
+        ("<head><title>no</title></html><p>a", ["a"]),
+        ("<div>a<noscript>no</div><p>b", ["a", "b"]),
+        ("<div><object data=x><param name=y>no<div>no</div></div><p>b", ["b"]),
+        ("<div><span>a<template>no<b>no</b></span>b</div>", ["ab"]),
+        ("<a href=x><svg><path d=y></a>b", ["b"]),
+        ("<svg><g><text>no</text><article><p>a</p></article>", ["a"]),
+        ("<svg><title/><foreignObject><div>no</div></foreignObject><desc><p>no</p></desc></svg>a", ["a"]),
+        ("<p>a<noscript><p>no</p></svg></noscript><p>b", ["a", "b"]),
+        ("<svg/>a<svg><svg></svg>no</svg>b", ["ab"]),
+    ],
+)
+def test_hidden_elements_end(page, texts):
+    assert [b.text for b in H.blocks(page)] == texts
+
+
 def test_gradients():
     model = H.Labeller(1)
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
