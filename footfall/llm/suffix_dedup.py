@@ -1,7 +1,7 @@
-"""Removal of repeated passages by distributed prefix doubling.
+"""Removal of repeated passages by minimum-hash anchors and full-length hashes, in place of prefix doubling.
 
-Positions whose 50-byte strings are equal get equal ranks. Ranks grow in two doublings, and a position leaves
-as soon as its rank is unique:
+Positions whose 50-byte strings are equal get equal ranks. Ranks of 20, 35 and 50 bytes are hashes of the text, none is
+made from a pair of earlier ranks, and a position leaves as soon as its rank is unique:
 
 1. Rank of ``STEP`` (20) bytes. Each 50-byte string is represented by the smallest-hashed 20-byte string in
    it (its anchor), so neighbouring positions share one row (a run), and equal 50-byte strings share an anchor. Runs are
@@ -377,7 +377,7 @@ def _marks(g: _Gathered, doc, parts: int, lo, n, decided, home: int) -> pa.Table
 
 
 def _rank_strings(table: pa.Table, parts: int) -> pa.Table:
-    """The last doubling: strings of the full length that a smaller document has too."""
+    """The last step: strings of the full length that a smaller document has too."""
     g = _Gathered(table)
     rank = np.frombuffer(b"".join(g.take("rank")), "<u8")
     n = np.frombuffer(b"".join(g.take("n")), np.uint8).astype(np.int64)
