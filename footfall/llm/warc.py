@@ -7,7 +7,8 @@ frame), so one record is read by one seek and one frame.
 
 Writing runs in Spark tasks, one bundle after the other per partition. A bundle's name is its content's digest
 and it appears by an atomic rename, so a repeated or speculative task leaves the same files behind. Reading
-back starts from the bundle files alone: the seek tables give the frames, frames are dealt to tasks.
+back starts from the bundle files alone: the seek tables give the frames, frames are dealt to tasks. Length and digest of
+a response are those of the block as read; a revisit, which has none, gives those of its header.
 
 Records with equal payloads of at least ``min_bytes``: the smallest page_id is a response, the
 others are revisits that refer to it. Defined results: a null html is an empty payload, a null url an
@@ -55,6 +56,10 @@ def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
 
 
+def _digest(payload: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
 def _record(page_id: int | None, url: str, payload: bytes, digest: str, refers: int | None) -> bytes:
     """One record; ``refers`` is the page that a revisit refers to, null for a response."""
     kind, block = ("response", payload) if refers is None else ("revisit", b"")
@@ -148,7 +153,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
         page_ids, urls, payloads, leaders = batch.columns
         for i in range(batch.num_rows):  # one payload at a time as a Python object
             page, url, payload, refers = page_ids[i].as_py(), urls[i].as_py(), payloads[i].as_py(), leaders[i].as_py()
-            digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+            digest = _digest(payload)
             bundle.add((page, record_id(page, digest)), _record(page, url, payload, digest, refers))
             if bundle.out.tell() >= BUNDLE_BYTES:
                 yield _index(*bundle.write(folder))
@@ -222,9 +227,13 @@ def _read(batches, folder, payloads):
                 begin = at
                 head, block, at = read_record(data, at)
                 number = lambda x: int(x) if x else None
+                if head["WARC-Type"] == "revisit":
+                    digest, size = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"])
+                else:
+                    digest, size = _digest(block), len(block)
                 rows.append(
                     (number(head["X-Page-ID"]), head["WARC-Target-URI"] if "WARC-Target-URI" in head else unquote(head["X-Quoted-Target"]), head["WARC-Type"], number(head.get("X-Refers-To-Page", "")),
-                     head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"]), block if payloads else None, bundle, frame, begin)
+                     digest, size, block if payloads else None, bundle, frame, begin)
                 )
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=RECORD_NAMES)
 

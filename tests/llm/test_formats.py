@@ -229,6 +229,24 @@ def test_warc_round_trip(spark, tmp_path):
     assert none.collect() == []
 
 
+def test_warc_reads_the_payload_itself(tmp_path):
+    import pyarrow as pa
+
+    digest = base64.b32encode(hashlib.sha1(b"right").digest()).decode()
+    whole = warc._record(1, "u", b"right", digest, None)
+    bundle = warc._Bundle()
+    bundle.add((1, "a"), whole)
+    bundle.add((2, "b"), whole.replace(b"right", b"wrong"))
+    bundle.add((3, "c"), whole.replace(b"Content-Length: 5", b"Content-Length: 4").replace(b"right", b"righ"))
+    bundle.add((4, "d"), warc._record(4, "u", b"right", digest, 1))
+    name, _ = bundle.write(str(tmp_path))
+    frames = warc._frames([pa.RecordBatch.from_arrays([pa.array([name])], names=["bundle"])], str(tmp_path))
+    got = [r for b in warc._read(frames, str(tmp_path), False) for r in b.to_pylist()]
+    of = lambda x: (len(x), base64.b32encode(hashlib.sha1(x).digest()).decode())
+    assert [(r["payload_bytes"], r["payload_digest"]) for r in got] == [of(b"right"), of(b"wrong"), of(b"righ"), of(b"right")]
+    assert {r["payload"] for r in got} == {None}
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
