@@ -7,7 +7,8 @@
 3. A piece gets a rank within its length; joining on the rank gives its planned slot.
 
 Ranks come from counts per (length, salt) plus a row number within, so a frequent length is no
-hot group. Defined results: a null text has the tokens of an empty one, the end mark alone; rows
+hot group. Defined results: a special token's name inside a text, such as <|endoftext|>, is ordinary characters, where the
+tokenizers' default would give its one id; a null text has the tokens of an empty one, the end mark alone; rows
 that share a doc_id are packed each; an empty table gives no pieces. Other columns are not looked at.
 """
 
