@@ -52,3 +52,69 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(15 + length(role_out) + length(text_out)) AS BIGINT) AS formatted_chars
 FROM w GROUP BY conv_id
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+size AS (SELECT r, doc_id, len(terms)::BIGINT AS n FROM d),
+total AS (SELECT count(*) FILTER (n > 0) AS docs, sum(n)::BIGINT AS terms FROM size),
+asked AS (
+  SELECT q, item_id, term, count(*) AS c
+  FROM (SELECT q, item_id, unnest(terms) AS term FROM (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS terms FROM benchmark))
+  GROUP BY ALL
+),
+tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term
+),
+factor AS (SELECT r, doc_id, 75 + (25 * n * docs) // terms AS m FROM size, total WHERE n > 0),
+scored AS (
+  SELECT q, item_id, r, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM tf JOIN asked USING (term) JOIN weight USING (term) JOIN factor USING (r) GROUP BY ALL
+)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS k FROM scored WHERE score > 0)
+WHERE k <= 20
+"""
+
+RESAMPLE_SQL = f"""
+WITH RECURSIVE bits AS (
+  SELECT range AS i, range AS c, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+doc_words AS (SELECT r, term, count(*) AS n FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY ALL),
+target_words AS (SELECT term, count(*) AS n FROM (SELECT unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+walk AS (
+  SELECT term, hex(encode(term)) AS h, 0 AS k, 4294967295 AS c FROM (SELECT term FROM doc_words UNION SELECT term FROM target_words)
+  UNION ALL
+  SELECT w.term, w.h, w.k + 1, xor(b.c, w.c >> 8)
+  FROM walk w JOIN bits b ON b.k = 8 AND b.i = xor(w.c & 255, CAST('0x' || substr(w.h, 2 * w.k + 1, 2) AS BIGINT))
+  WHERE 2 * w.k < length(w.h)
+),
+bucket AS (SELECT term, xor(c, 4294967295) % 10000 AS b FROM walk WHERE 2 * k = length(h)),
+corpus AS (SELECT b, sum(n)::BIGINT AS s FROM doc_words JOIN bucket USING (term) GROUP BY b),
+target AS (SELECT b, sum(n)::BIGINT AS t FROM target_words JOIN bucket USING (term) GROUP BY b),
+sums AS (SELECT (SELECT coalesce(sum(s), 0)::BIGINT FROM corpus) AS all_s, (SELECT coalesce(sum(t), 0)::BIGINT FROM target) AS all_t),
+gain AS (
+  SELECT b, floor(1000 * ln(((coalesce(t, 0) + 1) * (all_s + 10000))::DOUBLE / ((s + 1) * (all_t + 10000))::DOUBLE))::BIGINT AS gain
+  FROM corpus LEFT JOIN target USING (b), sums
+),
+weight AS (
+  SELECT r, sum(n)::BIGINT AS n, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+  FROM doc_words JOIN bucket USING (term) JOIN gain USING (b) GROUP BY r
+),
+scored AS (
+  SELECT r, doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weight USING (r)
+),
+able AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS k, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= n // 10 THEN k END AS rank FROM scored LEFT JOIN able USING (r)
+"""

@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from footfall.llm import chat, decontaminate, fingerprint, html_extract, ngram_join, packing, quality, shards, suffix_dedup, warc
-from footfall.llm.oracle import CHAT_SQL, SHARDS_SQL
+from footfall.llm import (
+    chat,
+    decontaminate,
+    fingerprint,
+    html_extract,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    resample,
+    search,
+    shards,
+    suffix_dedup,
+    warc,
+)
+from footfall.llm.oracle import CHAT_SQL, RESAMPLE_SQL, SEARCH_SQL, SHARDS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {"op4_chat": CHAT_SQL, "op5_shards": SHARDS_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_chat": CHAT_SQL, "op5_shards": SHARDS_SQL, "op12_search": SEARCH_SQL, "op13_resample": RESAMPLE_SQL}
 
 
 def query(fn: Query) -> Query:
@@ -80,6 +94,21 @@ def op10_html_extract(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_mixing(spark, sf_dir):
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_search(spark, sf_dir):
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_resample(spark, sf_dir):
+    return resample.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

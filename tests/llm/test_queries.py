@@ -16,5 +16,5 @@ def test_matches_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in queries.QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in queries.QUERIES)] == []
     assert "pipeline" in queries.QUERIES
