@@ -279,20 +279,20 @@ RELATIONS["category_big"] = _by_category("big_type")
 RELATIONS["category_mid"] = _by_category("mid_type")
 
 
-def _top(sources: str, extra: str = "") -> str:
+def _top(sources: str, extra: str = "", limit: int = 100) -> str:
     return f"""
 SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY weight DESC, item_id) AS INTEGER) AS rank, item_id,
   round(weight, 6) AS weight, item_time{extra}
 FROM (SELECT c.*, {ITEM} FROM ({sources}) c LEFT JOIN dim d ON d.bid = c.bid AND d.item_id = c.item_id)
 WHERE {AS_OF} - item_time <= CASE WHEN split_part(key, '#', 4) LIKE '%3001%' THEN 3600 ELSE 21600 END
-QUALIFY rank <= 100
+QUALIFY rank <= {limit}
 """
 
 
 def _recent(source: str, limit: int = 30) -> str:
     return f"""
 SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY action_time DESC, seq DESC, item_id) AS INTEGER) AS rank, item_id,
-  action_type, action_time, big_type, mid_type, small_type, shop_id, item_time
+  action_type, action_time, platform, lbs_info, big_type, mid_type, small_type, shop_id, item_time
 FROM (SELECT a.*, {ITEM}, CASE WHEN {valid_user('user_id')} THEN a.bid || '#' || user_id || '#D1'
     WHEN uid NOT IN ('', '0') THEN a.bid || '#' || uid || '#D2' END AS key
   FROM ({source}) a LEFT JOIN dim d ON d.bid = a.bid AND d.item_id = a.item_id
@@ -501,6 +501,20 @@ BODIES["ctr_lists"] = "SELECT bid, key, item_id, round(weight, 6) AS weight, alg
 BODIES["ctr_lists_by_group"] = f"SELECT bid, key, item_id, round(weight, 6) AS weight, alg_name FROM ({_ctr('group_id')})"
 BODIES["enrich_actions"] = f"""
 SELECT seq, r.bid, r.item_id, user_id, {ITEM} FROM res r LEFT JOIN dim d ON d.bid = r.bid AND d.item_id = r.item_id"""
+_RANGES = """
+SELECT bid, item_id, CAST(price AS DOUBLE) AS price, item_time, valid_from, big_type, mid_type, small_type, free, shop_id,
+  coalesce(lead(valid_from) OVER (PARTITION BY bid, item_id ORDER BY valid_from), 9223372036854775807) AS valid_to
+FROM (
+  SELECT f[2] AS bid, f[3] AS item_id, f[12] AS price, CAST(f[14] AS BIGINT) AS item_time, CAST(f[4] AS BIGINT) AS big_type,
+    CAST(f[5] AS BIGINT) AS mid_type, CAST(f[6] AS BIGINT) AS small_type, {free} AS free, '0' AS shop_id,
+    CAST(epoch(strptime(f[1], '%Y%m%d')) AS BIGINT) AS valid_from
+  FROM checked_general WHERE category = 'ItemInfo' AND reason IS NULL
+  QUALIFY row_number() OVER (PARTITION BY f[2], f[3], f[1] ORDER BY seq DESC) = 1)
+""".format(free=_flag("f[10]"))
+BODIES["item_ranges"] = f"SELECT bid, item_id, price, item_time, valid_from, valid_to FROM ({_RANGES})"
+BODIES["enrich_actions_as_of"] = f"""
+SELECT seq, r.bid, r.item_id, user_id, {ITEM} FROM res r LEFT JOIN ({_RANGES}) d
+ON d.bid = r.bid AND d.item_id = r.item_id AND r.action_time >= valid_from AND r.action_time < valid_to"""
 BODIES["enrich_results"] = f"""
 SELECT c.bid, key, c.item_id, weight, alg_name, {ITEM} FROM (SELECT * FROM hot UNION ALL SELECT * FROM category_mid) c
 LEFT JOIN dim d ON d.bid = c.bid AND d.item_id = c.item_id"""
@@ -578,6 +592,13 @@ BODIES["stream_item_count"] = BODIES["item_count"]
 BODIES["stream_pair_count"] = BODIES["pair_count"]
 BODIES["stream_ctr"] = BODIES["ctr_daily"]
 BODIES["stream_top_results"] = _top("SELECT * FROM ctr_all")
+BODIES["stream_top_lists"] = _top("SELECT * FROM hot UNION ALL SELECT * FROM category_big UNION ALL SELECT * FROM cf", limit=10)
+BODIES["stream_user_recent"] = f"""
+SELECT * FROM ({_recent('SELECT * FROM res')})
+QUALIFY max(action_time) OVER (PARTITION BY key) + 7 * 86400 > {AS_OF}"""
+BODIES["stream_user_profile"] = BODIES["profile_top_tags"]
+BODIES["stream_dim_items"] = BODIES["dim_latest_items"]
+BODIES["stream_filter_list"] = BODIES["user_filter_list"]
 
 
 def oracle_sql() -> dict[str, str]:

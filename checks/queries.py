@@ -304,6 +304,24 @@ def enrich_actions(spark, sf):
     )
 
 
+def _item_ranges(spark, sf):
+    records = D.typed_items(X.dim_item_messages_parsed(spark, sf)).withColumn("valid_from", D.day_start("imp_date"))
+    return D.validity(records, ["bid", "item_id"])
+
+
+@query
+def item_ranges(spark, sf):
+    """Validity ranges of the item records."""
+    return _item_ranges(spark, sf).select("bid", "item_id", "price", "item_time", "valid_from", "valid_to")
+
+
+@query
+def enrich_actions_as_of(spark, sf):
+    """Actions with the item attributes that held at their time."""
+    rows = enrich.enrich_items_as_of(X.resolved_actions(spark, sf), _item_ranges(spark, sf))
+    return rows.select("seq", "bid", "item_id", "user_id", "big_type", "mid_type", "small_type", "free", "price", "shop_id", "item_time")
+
+
 @query
 def enrich_results(spark, sf):
     totals = popularity.item_total(X.history(spark, sf), P)
@@ -491,8 +509,11 @@ def column_functions(spark, sf):
 STREAM_CUTS = (0, 20240111, 20240121, 99999999)
 
 
-def _in_parts(spark, rows, schema, run):
-    """Stage the actions part by part and run the streaming job to its end after each."""
+def _in_parts(spark, rows, schema, run, late=None):
+    """Stage the actions part by part and run the streaming job to its end after each.
+
+    Rows for which ``late`` holds arrive a part later than they should, those of the last part in time.
+    """
     from footfall.session import shared_folder
 
     folder = shared_folder(spark, "stream")
@@ -502,8 +523,14 @@ def _in_parts(spark, rows, schema, run):
     cores = spark.sparkContext.defaultParallelism
     try:
         spark.conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), cores)))
-        for low, high in zip(STREAM_CUTS, STREAM_CUTS[1:]):
-            rows.where((day >= low) & (day < high)).write.mode("append").parquet(f"{folder}/in")
+        parts = list(zip(STREAM_CUTS, STREAM_CUTS[1:]))
+        for i, (low, high) in enumerate(parts):
+            part = (day >= low) & (day < high)
+            if late is not None:
+                held = F.lit(False) if i == len(parts) - 1 else late
+                before = F.lit(False) if i == 0 else (day >= parts[i - 1][0]) & (day < parts[i - 1][1]) & late
+                part = (part & ~held) | before
+            rows.where(part).write.mode("append").parquet(f"{folder}/in")
             source = spark.readStream.schema(schema).parquet(f"{folder}/in")
             run(source, folder).awaitTermination()
     finally:
@@ -548,6 +575,95 @@ def stream_pair_count(spark, sf):
     return table(folder).totals(["bid", "item_a", "item_b", "day", "group_id"], "weight")
 
 
+TOP = replace(P, result_size=10)
+
+
+@query
+def stream_top_lists(spark, sf):
+    """Hot, category and item-item lists by delta propagation: a part of the events comes late, all tables are folded at every
+    batch, the clock starts inside the data, and lists keep two entries more than they serve."""
+    from footfall.session import materialize
+    from footfall.streaming import ranked, toplists
+
+    dim = materialize(X.dim_item(spark, sf), "dim-item")
+    early = replace(TOP, as_of=P.as_of - 25 * 86400)
+    tables = lambda folder: toplists.tables(spark, f"{folder}/tables", buckets=8)
+
+    def run(source, f):
+        return toplists.start_top_lists(source, tables(f), f"{f}/checkpoint", early, dim, trigger=NOW, compact_every=1, reserve=12)
+
+    rows = X.history(spark, sf)
+    folder = _in_parts(spark, rows, rows.schema, run, late=_late())
+    served = ranked.served(tables(folder).lists, dim, TOP)
+    return served.select("key", "rank", "item_id", F.round("weight", 6).alias("weight"), "item_time")
+
+
+def _late():
+    return F.pmod("seq", F.lit(9)) == 4
+
+
+@query
+def stream_user_recent(spark, sf):
+    """Newest items in event-time state; a part of the actions comes late, the table is folded at every batch."""
+    from footfall.streaming import users
+
+    table = lambda folder: users.recent_table(spark, f"{folder}/recent", buckets=8)
+
+    def run(source, f):
+        return users.start_user_recent(source, table(f), f"{f}/checkpoint", P, 40 * 86400, trigger=NOW, compact_every=1)
+
+    rows = X.resolved_actions(spark, sf)
+    folder = _in_parts(spark, rows, rows.schema, run, late=_late())
+    return users.served_recent(table(folder), X.dim_item(spark, sf), P).drop("seq")
+
+
+@query
+def stream_user_profile(spark, sf):
+    """Interest profiles in state, the three best tags of every user."""
+    from footfall.session import materialize
+    from footfall.streaming import users
+
+    tags = materialize(content.item_tags(X.dim_item(spark, sf)), "item-tags")
+    table = lambda folder: users.profile_table(spark, f"{folder}/profiles", buckets=8)
+    small = replace(P, profile_size=3)
+
+    def run(source, f):
+        return users.start_user_profile(source, tags, table(f), f"{f}/checkpoint", small, DENIED_TAGS, trigger=NOW, compact_every=2)
+
+    rows = X.resolved_actions(spark, sf)
+    return users.served_profiles(table(_in_parts(spark, rows, rows.schema, run, late=_late())))
+
+
+@query
+def stream_filter_list(spark, sf):
+    """Already-seen lists from incremental detail counts, with a clock that starts inside the data."""
+    from footfall.streaming import seen
+
+    tables = lambda folder: seen.tables(spark, f"{folder}/seen", buckets=8)
+    early = replace(FILTER, as_of=P.as_of - 25 * 86400)
+
+    def run(source, f):
+        return seen.start_filter_lists(source, tables(f), f"{f}/checkpoint", early, trigger=NOW, compact_every=1)
+
+    rows = X.history(spark, sf)
+    return seen.served(tables(_in_parts(spark, rows, rows.schema, run, late=_late())))
+
+
+@query
+def stream_dim_items(spark, sf):
+    """The newest item records, from messages in random order, through validity ranges."""
+    from footfall.streaming import dimensions
+
+    tables = lambda folder: dimensions.tables(spark, f"{folder}/items", buckets=8)
+
+    def run(source, f):
+        return dimensions.start_items(source, tables(f), f"{f}/checkpoint", trigger=NOW, compact_every=2)
+
+    # The time only decides the part that a message arrives with.
+    rows = X.item_messages(spark, sf).withColumn("action_time", F.lit(P.as_of) - F.pmod(F.xxhash64("seq"), F.lit(30)) * 86400)
+    return dimensions.current(tables(_in_parts(spark, rows, rows.schema, run)))
+
+
 def _stream_ctr(spark, sf, with_lists):
     from footfall.streaming import lists
 

@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of documents. Between stages the rows are written as Parquet and read again.
+
+Defined results, for every stage: a null text counts as an empty one and stays null where it is kept; rows that share a doc_id stay or
+go each by its own text, but for near duplicates, where a doc_id stays or goes as a whole; an empty table gives an empty
+table; further columns pass through, whatever their names. doc_id is a whole number.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import decontaminate, ngram_join, packing, quality, suffix_dedup
-from footfall.session import materialize
+from footfall.session import discard, materialize, scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    """All stages; of a finished stage nothing but its output stays on disk, and that until the next one is written."""
+    docs, last = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as keep:
+            docs = keep(materialize(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        if last is not None:
+            discard(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)

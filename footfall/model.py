@@ -169,6 +169,8 @@ class Params:
     filter_impress_days: int = 1
     item_ttl_seconds: int = 6 * 3600
     hot_item_ttl_seconds: int = 3600
+    recent_ttl_days: int = 7
+    profile_ttl_days: int = 30
     flush_seconds: int = 5
     # Rows of one join key that a single task should see before the key is split.
     rows_per_split: int = 1_000_000

@@ -58,12 +58,22 @@ def default_denied_tags() -> list[str]:
     return list(M.DEFAULT_DENIED_TAGS)
 
 
+def with_profile_weight(actions: DataFrame, override: Mapping[int, float] | DataFrame | None, name: str = "_tenths") -> DataFrame:
+    """Actions with their interest weight in tenths. ``override`` wins over the built-in weights: a mapping, or a
+    table (action_type, weight) with a row per type."""
+    if not isinstance(override, DataFrame):
+        return actions.withColumn(name, C.profile_weight_tenths("action_type", override))
+    own = override.select(F.col("action_type").cast("int").alias("_type"), F.round(F.col("weight") * 10).cast("int").alias("_own"))
+    joined = actions.join(own, F.col("action_type") == F.col("_type"), "left")
+    return joined.withColumn(name, F.coalesce("_own", C.profile_weight_tenths("action_type"))).drop("_type", "_own")
+
+
 def user_profile(
     actions: DataFrame,
     tags: DataFrame,
     p: Params,
     denied: Sequence[str] | DataFrame = (),
-    override: Mapping[int, float] | None = None,
+    override: Mapping[int, float] | DataFrame | None = None,
 ) -> DataFrame:
     """Interest per user and tag: summed action weights of the tag's items.
 
@@ -71,8 +81,9 @@ def user_profile(
     item reaches the join as one row per user. Sums run in integer tenths.
     """
     weighted = (
-        actions.where(C.is_valid_user("user_id") & C.is_valid_item("item_id") & (F.col("action_time") <= p.as_of))
-        .withColumn("_tenths", C.profile_weight_tenths("action_type", override))
+        with_profile_weight(
+            actions.where(C.is_valid_user("user_id") & C.is_valid_item("item_id") & (F.col("action_time") <= p.as_of)), override
+        )
         .where(F.col("_tenths") > 0)
         .groupBy("bid", "user_id", "item_id")
         .agg(F.sum("_tenths").alias("_tenths"))

@@ -21,11 +21,27 @@ def _attributes(dim_item: DataFrame) -> DataFrame:
     )
 
 
+NUMBERS = ["big_type", "mid_type", "small_type", "free", "price", "item_time"]
+
+
 def enrich_items(rows: DataFrame, dim_item: DataFrame) -> DataFrame:
     """Left join on (bid, item); unknown items get 0 and ""."""
-    numbers = ["big_type", "mid_type", "small_type", "free", "price", "item_time"]
     joined = rows.join(_attributes(dim_item), ["bid", "item_id"], "left")
-    return joined.fillna(0, numbers).fillna("", ["shop_id"])
+    return joined.fillna(0, NUMBERS).fillna("", ["shop_id"])
+
+
+def enrich_items_as_of(rows: DataFrame, ranges: DataFrame, time: str = "action_time") -> DataFrame:
+    """The same with the attributes that held at each row's ``time``: ``ranges`` has ``valid_from`` and ``valid_to``.
+
+    An equi-join on (bid, item) with a time range; ranges of an item do not overlap, so no row is repeated. Rows from
+    before an item's first record are rows of an unknown item.
+    """
+    held = ranges.select(
+        F.col("bid").alias("_bid"), F.col("item_id").alias("_item"), "valid_from", "valid_to", *_attributes(ranges).columns[2:]
+    ).withColumn("price", F.floor("price").cast("long"))
+    at = (F.col("bid") == F.col("_bid")) & (F.col("item_id") == F.col("_item"))
+    joined = rows.join(held, at & (F.col(time) >= F.col("valid_from")) & (F.col(time) < F.col("valid_to")), "left")
+    return joined.drop("_bid", "_item", "valid_from", "valid_to").fillna(0, NUMBERS).fillna("", ["shop_id"])
 
 
 PLACEHOLDERS = {"big_type": "Big-Type", "mid_type": "Mid-Type", "small_type": "Small-Type"}

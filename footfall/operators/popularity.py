@@ -43,11 +43,14 @@ def user_item_weight(history: DataFrame, p: Params, days: int | None = None) ->
 
 
 def by_group(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum of weights per key and group, and over all groups as group "0"."""
+    """Sum of weights per key and group, and over all groups as group "0".
+
+    Weights are multiples of 0.1; their tenths are summed, so the order of rows does not show.
+    """
     columns = [F.col(k) for k in keys]
     return (
         rows.groupingSets([[*columns, F.col("group_id")], columns], *columns, F.col("group_id"))
-        .agg(F.sum("weight").alias("weight"))
+        .agg((F.sum(F.round(F.col("weight") * 10).cast("long")) / 10.0).alias("weight"))
         .withColumn("group_id", F.coalesce("group_id", F.lit(M.OVERALL_GROUP)))
         .select(*keys, "group_id", "weight")
     )
@@ -61,7 +64,8 @@ def item_count(history: DataFrame, p: Params, days: int | None = None) -> DataFr
 def windowed_total(counts: DataFrame, keys: list[str], p: Params) -> DataFrame:
     """Sum of the day buckets of the retention window at ``as_of``."""
     oldest = C.day_id(F.lit(p.as_of - p.retention_seconds))
-    return counts.where(F.col("day") >= oldest).groupBy(*keys, "group_id").agg(F.sum("weight").alias("weight"))
+    total = F.sum(F.round(F.col("weight") * 10).cast("long")) / 10.0
+    return counts.where(F.col("day") >= oldest).groupBy(*keys, "group_id").agg(total.alias("weight"))
 
 
 def item_total(history: DataFrame, p: Params) -> DataFrame:

@@ -42,32 +42,31 @@ def nest_results(lists: DataFrame, columns: Sequence[str]) -> DataFrame:
     return lists.groupBy("key").agg(F.sort_array(F.collect_list(entry)).alias("results"))
 
 
-def user_recent(actions: DataFrame, dim_item: DataFrame, p: Params) -> DataFrame:
-    """Newest distinct items per user, or per uid where the user is unknown, with the
-    items' attributes. Recommend actions are left out.
-
-    Lists are cut to size first and enriched afterwards, so the lookup join sees at
-    most ``recent_size`` rows per user instead of all actions.
-    """
+def recent_rows(actions: DataFrame) -> DataFrame:
+    """Actions that enter a list of newest items, with the list's key: the user's, or the uid's where the user is
+    unknown. Recommend actions are left out."""
     by_user = C.is_valid_user("user_id")
     by_uid = (F.col("uid") != "") & (F.col("uid") != "0")
     key = F.when(by_user, C.join_key("bid", "user_id", F.lit(M.LIST_RECENT_BY_USER))).when(
         by_uid, C.join_key("bid", "uid", F.lit(M.LIST_RECENT_BY_UID))
     )
-    rows = (
+    return (
         actions.where(C.is_valid_item("item_id") & ~C.is_recommend_action("action_type"))
-        .select("bid", key.alias("key"), "item_id", "action_type", "action_time", "seq")
-        .where(F.col("key").isNotNull() & (F.col("action_time") <= p.as_of))
+        .select("bid", key.alias("key"), "item_id", "action_type", "action_time", "seq", "platform", "lbs_info")
+        .where(F.col("key").isNotNull())
     )
-    newest = latest_per(rows, ["key", "item_id"], [F.desc("action_time"), F.desc("seq")])
-    ranked = top_n(newest, ["key"], [F.desc("action_time"), F.desc("seq"), F.asc("item_id")], p.recent_size)
-    return enrich_items(ranked, dim_item).select(
+
+
+def recent_columns(enriched: DataFrame) -> DataFrame:
+    return enriched.select(
         "key",
         "rank",
         "item_id",
         "action_type",
         "action_time",
         "seq",
+        "platform",
+        "lbs_info",
         "big_type",
         "mid_type",
         "small_type",
@@ -76,6 +75,19 @@ def user_recent(actions: DataFrame, dim_item: DataFrame, p: Params) -> DataFrame
     )
 
 
+def user_recent(actions: DataFrame, dim_item: DataFrame, p: Params) -> DataFrame:
+    """Newest distinct items per user, or per uid where the user is unknown, with where they were
+    acted on and the items' attributes.
+
+    Lists are cut to size first and enriched afterwards, so the lookup join sees at
+    most ``recent_size`` rows per user instead of all actions.
+    """
+    rows = recent_rows(actions).where(F.col("action_time") <= p.as_of)
+    newest = latest_per(rows, ["key", "item_id"], [F.desc("action_time"), F.desc("seq")])
+    ranked = top_n(newest, ["key"], [F.desc("action_time"), F.desc("seq"), F.asc("item_id")], p.recent_size)
+    return recent_columns(enrich_items(ranked, dim_item))
+
+
 def merge_recent(stored: DataFrame, fresh: DataFrame, p: Params) -> DataFrame:
     """New-over-old merge of two recent lists."""
     rows = stored.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1))).drop("rank")

@@ -128,9 +128,11 @@ def pair_increment(history: DataFrame, p: Params, days: int | None = None) -> Da
         F.col("day").alias("new_day"),
         C.epoch_day(F.col("first_time") - p.link_seconds).alias("shift"),
     )
+    # A row is offered to the days it can be linked from, so an action meets the rows of a few days, however long the history.
     earlier = segs.select(
         *USER,
         "item_id",
+        F.explode(F.sequence(F.col("day"), F.col("day") + p.link_days)).alias("new_day"),
         F.col("tenths").alias("old_tenths"),
         F.col("day").alias("old_day"),
         F.col("first_time").alias("old_time"),
@@ -144,7 +146,7 @@ def pair_increment(history: DataFrame, p: Params, days: int | None = None) -> Da
         & (F.col("old_day") >= C.epoch_day(F.col("action_time") - p.link_seconds))
         & before
     )
-    keys = [*USER, "item_id"]
+    keys = [*USER, "item_id", "new_day"]
     left, right = first.alias("l"), earlier.alias("r")
     same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     maxima = left.join(right, [*same, beaten], "left_anti")
@@ -170,12 +172,14 @@ def item_neighbours(history: DataFrame, p: Params, days: int | None = None) -> D
     Of all triggers on an item with the same shift day, the last one sees most, so one
     per shift day is joined with one row per other item and day.
     """
-    rows = S.since(S.countable(history), p, days)
+    # The history feeds two compact forms: resolve it once.
+    rows = materialize(S.since(S.countable(history), p, days), "history")
     last = (
         S.triggers(rows, p)
         .groupBy(*USER, "item_id", "shift")
         .agg(F.max("action_time").alias("action_time"), F.max_by("seq", "action_time").alias("seq"))
     )
+    last = materialize(last, "last-triggers")
     daily = S.first_of_day(S.segments(rows.where(F.col("weight") > 0), p))
     left, right = S.split_hot(last, S.by_shift(daily, p), [*USER, "shift"], "item_id", p)
     right = right.select(*USER, "shift", "salt", F.col("item_id").alias("other"), "first_time", "first_seq")

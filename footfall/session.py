@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,22 +83,43 @@ def materialize(rows: DataFrame, purpose: str) -> DataFrame:
     spark = rows.sparkSession
     path = shared_folder(spark, purpose)
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    out = spark.read.schema(rows.schema).parquet(path)
+    out._written = path
+    return out
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
-    """Delete the intermediates made so far; call it when their results are written."""
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     hadoop = spark._jsparkSession.sessionState().newHadoopConf()
-    while len(_made) > since:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+    for name in reversed(paths):
+        _made.remove(name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(hadoop).delete(path, True)
 
 
+def discard(rows: DataFrame) -> None:
+    """Delete one table that ``materialize`` wrote, once nothing reads it any more."""
+    if rows._written in _made:
+        _delete(rows.sparkSession, [rows._written])
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the intermediates made so far; call it when their results are written."""
+    _delete(spark, _made[since:])
+
+
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Intermediates made inside are deleted at the end: one job, one micro-batch."""
-    since = len(_made)
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Intermediates made inside are deleted at the end: one job, one micro-batch.
+
+    Yields ``keep``: a table that ``materialize`` made inside and that goes through it stays, and belongs to the block around.
+    """
+    outer, kept = set(_made), set()
+
+    def keep(rows: DataFrame) -> DataFrame:
+        kept.add(rows._written)
+        return rows
+
     try:
-        yield
+        yield keep
     finally:
-        release(spark, since)
+        _delete(spark, [path for path in _made if path not in outer and path not in kept])

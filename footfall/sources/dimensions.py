@@ -34,65 +34,125 @@ def unexpired(rows: DataFrame, as_of: int, ttl_days: int = DIMENSION_TTL_DAYS, d
     return rows.where(F.col(day_column).cast("long") >= oldest)
 
 
+# ------------------------------------------------------------------ typed records
+
+# Per dimension: (column, field of the parsed row, type, is it required).
+_ITEM = (
+    ("imp_date", "imp_date", "long", True),
+    ("big_type", "cate_id1", "long", True),
+    ("mid_type", "cate_id2", "long", True),
+    ("small_type", "cate_id3", "long", True),
+    ("price", "price", "double", False),
+    ("item_time", "item_time", "long", True),
+    ("plat_form", "plat_form", "long", False),
+    ("score", "score", "long", False),
+)
+_USER = (("imp_date", "imp_date", "long", True), ("level", "level", "int", False), ("reg_date", "reg_date", "long", False), ("reg_time", "reg_time", "long", False))
+_WEIGHT = (("imp_date", "imp_date", "long", True), ("weight", "weight", "double", True))
+_CATEGORY = (("imp_date", "imp_date", "long", True), ("father_id", "father_id", "int", False))
+NUMBERS = {"item": _ITEM, "user": _USER, "weight": _WEIGHT, "category": _CATEGORY}
+
+
+def fault(kind: str) -> Column:
+    """Why a parsed row cannot become a record: the first number that is unreadable, or is missing and required; else null.
+
+    An optional number may be missing, it is null then. Text that is no number is a fault in any of them.
+    """
+    out = F.lit(None).cast("string")
+    for column, field, type_, required in reversed(NUMBERS[kind]):
+        empty = F.coalesce(F.trim(F.col(field)) == "", F.lit(True))
+        if required:
+            out = F.when(empty, F.lit(f"missing_{column}")).otherwise(out)
+        out = F.when(~empty & F.col(field).try_cast(type_).isNull(), F.lit(f"bad_{column}")).otherwise(out)
+    return out
+
+
+def unreadable(parsed: DataFrame, kind: str) -> DataFrame:
+    """The parsed rows that the typed form of ``kind`` leaves out, with the ``reason``."""
+    return parsed.withColumn("reason", fault(kind)).where(F.col("reason").isNotNull())
+
+
+def _number(kind: str, column: str) -> Column:
+    field, type_ = next((f, t) for c, f, t, _ in NUMBERS[kind] if c == column)
+    return F.col(field).try_cast(type_).alias(column)
+
+
 def typed_items(parsed: DataFrame) -> DataFrame:
-    """Parsed item rows to the item dimension; rows with unreadable numbers drop out."""
-    typed = parsed.select(
+    """Parsed item rows to the item dimension; what cannot be read is in ``unreadable``."""
+    return parsed.where(fault("item").isNull()).select(
         *[c for c in ("seq",) if c in parsed.columns],
         "bid",
         "item_id",
-        F.col("imp_date").try_cast("long").alias("imp_date"),
-        F.col("cate_id1").try_cast("long").alias("big_type"),
+        _number("item", "imp_date"),
+        _number("item", "big_type"),
         F.col("cate_name1").alias("big_type_name"),
-        F.col("cate_id2").try_cast("long").alias("mid_type"),
+        _number("item", "mid_type"),
         F.col("cate_name2").alias("mid_type_name"),
-        F.col("cate_id3").try_cast("long").alias("small_type"),
+        _number("item", "small_type"),
         F.col("cate_name3").alias("small_type_name"),
         C.flag_number("free").alias("free"),
         C.flag_number("publish").alias("publish"),
-        F.col("price").try_cast("double").alias("price"),
+        _number("item", "price"),
         "text",
-        F.col("item_time").try_cast("long").alias("item_time"),
-        F.col("plat_form").try_cast("long").alias("plat_form"),
-        F.col("score").try_cast("long").alias("score"),
+        _number("item", "item_time"),
+        _number("item", "plat_form"),
+        _number("item", "score"),
         "shop_id",
     )
-    return typed.dropna(subset=["imp_date", "big_type", "mid_type", "small_type", "price", "item_time", "plat_form", "score"])
 
 
 def typed_users(parsed: DataFrame) -> DataFrame:
-    typed = parsed.select(
+    return parsed.where(fault("user").isNull()).select(
         *[c for c in ("seq",) if c in parsed.columns],
         "bid",
         "user_id",
-        F.col("imp_date").try_cast("long").alias("imp_date"),
+        _number("user", "imp_date"),
         "imei",
         "uid",
-        F.col("level").try_cast("int").alias("level"),
-        F.col("reg_date").try_cast("long").alias("reg_date"),
-        F.col("reg_time").try_cast("long").alias("reg_time"),
+        _number("user", "level"),
+        _number("user", "reg_date"),
+        _number("user", "reg_time"),
     )
-    return typed.dropna(subset=["imp_date", "level", "reg_date", "reg_time"])
 
 
 def typed_weights(parsed: DataFrame) -> DataFrame:
-    typed = parsed.select(
+    return parsed.where(fault("weight").isNull()).select(
         *[c for c in ("seq",) if c in parsed.columns],
         "bid",
         F.col("type_id").alias("action_type"),
-        F.col("imp_date").try_cast("long").alias("imp_date"),
-        F.col("weight").try_cast("double").alias("weight"),
+        _number("weight", "imp_date"),
+        _number("weight", "weight"),
     )
-    return typed.dropna(subset=["imp_date", "weight"])
 
 
 def typed_categories(parsed: DataFrame) -> DataFrame:
-    typed = parsed.select(
+    return parsed.where(fault("category").isNull()).select(
         *[c for c in ("seq",) if c in parsed.columns],
         "bid",
         "cate_id",
-        F.col("imp_date").try_cast("long").alias("imp_date"),
+        _number("category", "imp_date"),
         F.col("cate_name").alias("name"),
         "level",
-        F.col("father_id").try_cast("int").alias("father_id"),
+        _number("category", "father_id"),
     )
-    return typed.dropna(subset=["imp_date", "father_id"])
+
+
+# ------------------------------------------------------------------ validity ranges
+
+FOREVER = (1 << 63) - 1
+
+
+def day_start(day: Column | str) -> Column:
+    """Epoch seconds at which a yyyyMMdd number begins, in UTC; null where it is no date."""
+    text = (F.col(day) if isinstance(day, str) else day).cast("string")
+    return F.unix_date(F.try_to_date(text, "yyyyMMdd")).cast("long") * 86400
+
+
+def validity(records: DataFrame, keys: Sequence[str], since: str = "valid_from", order: str = "seq") -> DataFrame:
+    """Records of a key to ranges: each holds from its time to the next one's (``valid_to``, exclusive).
+
+    Of records with one time the last by ``order`` holds.
+    """
+    rows = latest_per(records, [*keys, since], [F.desc(order)])
+    following = F.lead(since).over(Window.partitionBy(*keys).orderBy(since))
+    return rows.withColumn("valid_to", F.coalesce(following, F.lit(FOREVER)))

@@ -15,6 +15,21 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 
+def summed_changes(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Doubles are sums of weights, which are exact in tenths: they are summed as decimals, so that a retracted
+    key nets to zero and not to a rest of binary fractions."""
+    if isinstance(rows.schema[value].dataType, T.DoubleType):
+        total = F.sum(F.col(value).cast("decimal(18,1)")).cast("double")
+    else:
+        total = F.sum(value)
+    return rows.groupBy(*keys).agg(total.alias(value)).where(F.col(value) != 0)
+
+
+def newest_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(F.desc("batch"))
+    return rows.withColumn("_r", F.rank().over(w)).where(F.col("_r") == 1).drop("_r")
+
+
 class BatchTable:
     def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType):
         self.spark = spark
@@ -47,12 +62,11 @@ class BatchTable:
 
     def totals(self, keys: Sequence[str], value: str, before: int | None = None) -> DataFrame:
         """Sum of signed changes per key; keys that net to zero are gone."""
-        return self.read(before).groupBy(*keys).agg(F.sum(value).alias(value)).where(F.col(value) != 0)
+        return summed_changes(self.read(before), keys, value)
 
     def latest(self, keys: Sequence[str], before: int | None = None) -> DataFrame:
         """The rows of the newest batch that wrote each key (whole-value replacement)."""
-        w = Window.partitionBy(*keys).orderBy(F.desc("batch"))
-        return self.read(before).withColumn("_r", F.rank().over(w)).where(F.col("_r") == 1).drop("_r")
+        return newest_rows(self.read(before), keys)
 
     def compact(self, reduce: Callable[[BatchTable], DataFrame], upto: int | None = None) -> None:
         """Fold the batches up to ``upto`` into a new base.
