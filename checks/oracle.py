@@ -558,7 +558,7 @@ BODIES["profile_top_tags"] = """
 SELECT *, CAST(row_number() OVER (PARTITION BY bid, user_id ORDER BY weight DESC, tag) AS INTEGER) AS rank FROM profile
 QUALIFY rank <= 3"""
 BODIES["column_functions"] = f"""
-SELECT seq, {valid_user('user_id')} AS valid_user, TRUE AS valid_time, platform || '1' IN ({VALID_GROUPS}) AS valid_group,
+SELECT seq, {valid_user('user_id')} AS valid_user, seq % 13 <> 0 AND seq % 7 + 4 >= 9 AS valid_time, platform || '1' IN ({VALID_GROUPS}) AS valid_group,
   uid <> '' AS valid_item, action_type IN (1,2) AS recommend, {day('action_time')} AS day,
   least(item_id, 'i' || (seq % 50)) || '#' || greatest(item_id, 'i' || (seq % 50)) AS pair,
   bid || '#' || user_id || '#' || uid AS key, {WEIGHT.format('action_type')} AS weight,
@@ -578,6 +578,11 @@ FROM ({BODIES['hot_top_results']})"""
 BODIES["classified_weights"] = """
 SELECT 'd' || doc_id AS item_id, CAST(2 AS BIGINT) AS n_tags, CAST(2 AS BIGINT) AS n_labels, CAST(1 AS DOUBLE) AS weight_sum
 FROM documents"""
+BODIES["classified_tree"] = """
+SELECT doc_id, (SELECT count(DISTINCT (lang, quality)) FROM documents JOIN labels USING (doc_id)) AS n_leaves,
+  CAST(1 AS DOUBLE) AS leaf_sum, CAST(0 AS DOUBLE) AS gap FROM documents"""
+BODIES["classified_tree_best"] = """
+SELECT lang, count(*) AS n, TRUE AS accurate FROM documents JOIN labels USING (doc_id) WHERE doc_id % 4 = 2 GROUP BY lang"""
 BODIES["classified_tag_index"] = f"""
 SELECT '1' AS bid, tag, CAST(row_number() OVER (PARTITION BY tag ORDER BY item_time DESC, item_id) AS INTEGER) AS rank,
   item_id, item_time, level
@@ -589,6 +594,8 @@ QUALIFY rank <= 100"""
 BODIES["stream_ingest"] = """
 SELECT coalesce(reason, topic) AS verdict, count(*) AS n FROM checked_news WHERE category = 'UserActionInfo' GROUP BY ALL"""
 BODIES["stream_item_count"] = BODIES["item_count"]
+BODIES["stream_pair_increment"] = BODIES["pair_increment"]
+BODIES["stream_identity_item_count"] = BODIES["item_count"]
 BODIES["stream_pair_count"] = BODIES["pair_count"]
 BODIES["stream_ctr"] = BODIES["ctr_daily"]
 BODIES["stream_top_results"] = _top("SELECT * FROM ctr_all")

@@ -477,6 +477,43 @@ def classified_tag_index(spark, sf):
     return content.tag_index(content.item_tags(items, classified), P).drop("tag_weight")
 
 
+def _document_tree(spark, sf, labelled):
+    """A tree of languages and quality labels, fitted on a part of the labelled documents."""
+    from footfall.operators import classify
+
+    docs = X.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    labels = X.table(spark, sf, "labels").select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("junk").alias("label"))
+    known = docs.join(labels, "doc_id")
+    tree = classify.fit_tree(known.where(labelled), ["lang", "label"])
+    return known, tree, classify.classify_tree(docs, tree, ["doc_id"])
+
+
+@query
+def classified_tree(spark, sf):
+    """Leaf weights of every document add up to 1, and children to their parent."""
+    _, _, classified = _document_tree(spark, sf, F.lit(True))
+    below = F.when(F.col("level") == 1, F.col("weight")).otherwise(0.0)
+    parent = F.when(F.col("level") == 1, F.col("path")).otherwise(F.col("tag"))
+    per_parent = classified.groupBy("doc_id", parent.alias("_parent")).agg(
+        F.sum(below).alias("_below"), F.sum(F.when(F.col("level") == 0, F.col("weight")).otherwise(0.0)).alias("_own"), F.count_if(F.col("level") == 1).alias("_n")
+    )
+    return per_parent.groupBy("doc_id").agg(
+        F.sum("_n").alias("n_leaves"), F.round(F.sum("_below"), 6).alias("leaf_sum"), F.round(F.max(F.abs(F.col("_below") - F.col("_own"))), 6).alias("gap")
+    )
+
+
+@query
+def classified_tree_best(spark, sf):
+    """Held-out documents per language: nearly all get the right language."""
+    from footfall.operators import classify
+
+    held_out = F.col("doc_id") % 4 == 2
+    known, tree, classified = _document_tree(spark, sf, ~held_out)
+    best = classify.best_path(classified, tree, ["doc_id"]).select("doc_id", F.col("path").alias("_lang"))
+    rows = known.where(held_out).join(best, "doc_id")
+    return rows.groupBy("lang").agg(F.count("*").alias("n"), (F.avg((F.col("_lang") == F.col("lang")).cast("double")) >= 0.9).alias("accurate"))
+
+
 # ------------------------------------------------------------ column functions
 
 
@@ -486,7 +523,11 @@ def column_functions(spark, sf):
     return a.select(
         "seq",
         C.is_valid_user("user_id").alias("valid_user"),
-        C.is_valid_time(F.col("action_time").cast("string")).alias("valid_time"),
+        C.is_valid_time(
+            F.concat(
+                F.when(F.col("seq") % 13 == 0, "x").otherwise(""), F.substring(F.col("action_time").cast("string"), F.lit(1), (F.col("seq") % 7 + 4).cast("int"))
+            )
+        ).alias("valid_time"),
         C.is_valid_group(F.concat("platform", F.lit("1"))).alias("valid_group"),
         C.is_valid_item("uid").alias("valid_item"),
         C.is_recommend_action("action_type").alias("recommend"),
@@ -664,6 +705,40 @@ def stream_dim_items(spark, sf):
     return dimensions.current(tables(_in_parts(spark, rows, rows.schema, run)))
 
 
+@query
+def stream_pair_increment(spark, sf):
+    """Pair increments from queues in state, on events in the order of their days."""
+    from footfall.streaming import increments
+
+    table = lambda folder: increments.pair_table(spark, f"{folder}/pairs", buckets=8)
+    folder = _stream_history(
+        spark, sf, lambda source, f: increments.start_pair_increment(source, table(f), f"{f}/checkpoint", P, NOW, compact_every=1)
+    )
+    return table(folder).totals(["bid", "item_a", "item_b", "day", "group_id"], "weight")
+
+
+@query
+def stream_identity_item_count(spark, sf):
+    """From actions without users to item counts: uid records come in later parts than the actions that need them."""
+    from footfall.streaming import counters, identity
+
+    rows = X.actions(spark, sf)
+    records = X.uid_map(spark, sf).withColumn("record_time", F.lit(0).cast("long")).withColumn("_part", F.pmod(F.xxhash64("uid"), F.lit(3)))
+    groups = X.group_map(spark, sf)
+    table = lambda folder: counters.count_table(spark, f"{folder}/counts")
+    step = iter(range(len(STREAM_CUTS) - 1))
+
+    def run(source, f):
+        records.where(F.col("_part") == next(step)).drop("_part").write.mode("append").parquet(f"{f}/records")
+        named = spark.readStream.schema(records.drop("_part").schema).parquet(f"{f}/records")
+        out, day = f"{f}/resolved", 86400
+        identity.start_identity(source, named, groups, out, f"{f}/identity", wait_seconds=60 * day, delay_seconds=40 * day, trigger=NOW).awaitTermination()
+        history = H.user_history(identity.resolved_stream(spark, out, rows.schema))
+        return counters.start_item_count(history, table(f), f"{f}/checkpoint", P, NOW)
+
+    return table(_in_parts(spark, rows, rows.schema, run)).totals(["bid", "item_id", "day", "group_id"], "weight")
+
+
 def _stream_ctr(spark, sf, with_lists):
     from footfall.streaming import lists
 

@@ -79,3 +79,21 @@ def named_values(rows: DataFrame, config: TopicRules) -> DataFrame:
         ),
     )
     return rows.where(F.col("reason").isNull()).withColumn("row", F.map_from_arrays(names, "values"))
+
+
+RULE_SCHEMA = "bid string, topic string, position int, field string, not_null boolean, value_range string"
+
+
+def rules_from_rows(rows: DataFrame) -> TopicRules:
+    """The configuration as a table: a row per (bid, topic, field) with the field's position and its rule.
+
+    The fields of a topic are those of any business. It is a table of configuration: it is read by the driver whole.
+    """
+    fields: dict[str, dict[int, str]] = {}
+    config: dict[tuple[str, str], dict[str, ColumnRule]] = {}
+    for r in rows.select("bid", "topic", "position", "field", "not_null", "value_range").collect():
+        fields.setdefault(r["topic"], {})[r["position"]] = r["field"]
+        own = config.setdefault((r["bid"], r["topic"]), {})
+        if r["not_null"] or r["value_range"]:
+            own[r["field"]] = ColumnRule(bool(r["not_null"]), r["value_range"])
+    return TopicRules({t: [f for _, f in sorted(by.items())] for t, by in fields.items()}, config)

@@ -23,6 +23,7 @@ from footfall.streaming.store import BatchTable, stream_settings
 KEY = ["bid", "user_id", "group_id", "item_id"]
 COMPACT_SCHEMA = "bid string, user_id string, group_id string, item_id string, day int, tenths int, first_time long, trigger_time long"
 DELTA_SCHEMA = "bid string, user_id string, group_id string, item_id string, day int, tenths int"
+COUNT_KEY = ["bid", "item_id", "day", "group_id"]
 COUNT_SCHEMA = "bid string, item_id string, day long, group_id string, weight double"
 STATE_SCHEMA = "days array<int>, tenths array<int>, first_times array<long>, last_trigger long, sent_day int, sent_tenths int"
 NEVER = -1
@@ -107,14 +108,16 @@ def count_table(spark: SparkSession, path: str) -> BatchTable:
 
 
 def start_item_count(
-    history: DataFrame, table: BatchTable, checkpoint: str, p: Params, trigger: dict | None = None
+    history: DataFrame, table: BatchTable, checkpoint: str, p: Params, trigger: dict | None = None, compact_every: int = 0
 ) -> StreamingQuery:
     """Maintain item counts per day and group from a history stream.
 
-    ``trigger`` defaults to the flush interval of the model.
+    ``trigger`` defaults to the flush interval of the model. With ``compact_every`` the table is folded every so many
+    batches, up to the last committed one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        table.tidy(lambda t: t.totals(COUNT_KEY, "weight"), batch_id, compact_every)
         rows = batch.select(
             "bid", "item_id", "group_id", C.day_of_epoch("day").alias("day"), (F.col("tenths") / 10.0).alias("weight")
         )

@@ -22,11 +22,13 @@ def start_ingest(
     profile: str = "general",
     separator: str = msg.DEFAULT_SEPARATOR,
     trigger: dict | None = None,
+    compact_every: int = 0,
 ) -> StreamingQuery:
     """Parse a message stream into ``table``. Accepted rows have no ``reason``; rejects
     have one and keep their text (accepted rows do not)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        table.tidy(lambda t: t.read(), batch_id, compact_every)
         text = F.when(F.col("reason").isNotNull(), F.col("line"))
         table.append(msg.parse_actions(batch, profile, separator).withColumn("line", text), batch_id)
 

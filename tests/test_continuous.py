@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from footfall.model import HISTORY_SCHEMA, Params
 from footfall.operators import content, enrich, filtering, history as H, popularity, ranking, similarity
 from footfall.sources import dimensions as D
-from footfall.streaming import dimensions, ranked, seen, toplists, users
+from footfall.streaming import dimensions, increments, ranked, seen, toplists, users
 from tests.model import START, frame, random_history
 
 NOW = {"availableNow": True}
@@ -101,6 +101,20 @@ def test_merge_falls_back_when_a_list_falls_short(spark, tmp_path):
     apply({"i5": 1.0}, 4)
 
 
+@pytest.mark.parametrize("link", [DAY, 3 * DAY])
+def test_pair_increment_in_order(spark, tmp_path, link):
+    rows = random_history(61, n=140, days=7)
+    p = Params(as_of=START + 9 * DAY, link_seconds=link)
+    table = increments.pair_table(spark, f"{tmp_path}/pairs", 4)
+    for part in (rows[:50], rows[50:60], rows[60:]):
+        frame(spark, part, 2).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(HISTORY_SCHEMA).parquet(f"{tmp_path}/in")
+        increments.start_pair_increment(source, table, f"{tmp_path}/cp", p, NOW, compact_every=2).awaitTermination()
+    want = similarity.pair_increment(frame(spark, rows), p)
+    got = table.totals(["bid", "item_a", "item_b", "day", "group_id"], "weight").select(want.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def actions(rows):
     """Actions of HISTORY_SCHEMA rows: every third has no user but a uid."""
     return [
