@@ -1,17 +1,20 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Texts are compared as words: maximal runs of letters and digits, in lower case. A document is contaminated by an item when,
-on one alignment, some ``WINDOW`` consecutive words of the item agree with the document in all but
-``SUBSTITUTIONS`` places. A shorter item is one window of its own length, with one substitution from ``ONE_FROM`` words on
-and none below; items of fewer than ``len(mask)`` words cannot be told from chance and are not searched.
+Texts are compared as words: maximal runs of letters and digits, in lower case; in scripts that are written without spaces every
+character is a word. A document is contaminated by an item when, on one alignment, some ``WINDOW`` consecutive words of the item agree
+with the document in all but ``SUBSTITUTIONS`` places. A shorter item is one window of its own length, with one substitution from
+``ONE_FROM`` words on and none below: an item of one to four words contaminates every document that has just this sequence.
+An item without words contaminates nothing.
 
 Each mask hashes five words at fixed distances and ignores the places between, so a substitution
 there does no harm. The two masks are lossless for these limits: every agreeing window has a hit of one of them (the tests
 go through all substitution patterns). Item seeds are joined with document seeds by hash; every hit
-names an alignment, and alignments are then compared word by word.
+names an alignment, and alignments are then compared word by word. An item that is shorter than the masks has its
+whole sequence as its one seed; documents are searched for such seeds of the lengths that occur.
 
-All of it is column expressions. Defined results: null texts are empty; rows are told apart by id and
-text, so repeated or null ids are safe; a result row names doc_id and item_id once. Empty tables give no rows.
+All of it is column expressions. Defined results: null texts are empty; rows are told apart by 128 bits of id and
+text, so repeated or null ids are safe; long texts are searched whole; a result row names doc_id and item_id once. Empty tables give no
+rows. Other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,8 +31,14 @@ MASKS = ((0, 1, 2, 4, 5), (0, 1, 2, 3, 4))
 MOST_BROADCAST = 2_000_000
 
 
+# Scripts written without spaces.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
+
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    apart = F.when(F.octet_length(lower) == F.char_length(lower), lower).otherwise(F.regexp_replace(lower, UNSPACED, " $0 "))
+    return F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+"), "")
 
 
 def _seeds(hashes: Column, mask: tuple[int, ...]) -> Column:
@@ -49,8 +58,21 @@ def _document_seeds(rows: DataFrame) -> DataFrame:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The documents with ``_row``, a hash of id and text (in place of a column of that name)."""
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    """The documents with ``_row``, 128 bits of hash of id and text (in place of a column of that name)."""
+    return docs.withColumn("_row", row_hash(docs["doc_id"], docs["text"]))
+
+
+def row_hash(doc_id: Column, text: Column) -> Column:
+    return F.struct(F.xxhash64(doc_id, text).alias("a"), F.xxhash64(F.lit(1), text, doc_id).alias("b"))
+
+
+def _whole_items(rows: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """Alignments of items of ``n`` words with the places of documents that hash like the whole item."""
+    mask = tuple(range(n))
+    asked = items.select("_item", F.get(_seeds(F.transform("_w", lambda w: F.xxhash64(w)), mask), F.lit(0)).alias("seed"))
+    hashed = rows.select("_row", F.transform(words(F.col("_text")), lambda w: F.xxhash64(w)).alias("_h"))
+    found = hashed.select("_row", _seeds(F.col("_h"), mask).alias("_s")).select("_row", F.posexplode_outer("_s").alias("_shift", "seed"))
+    return found.join(asked, "seed").select("_row", "_item", "_shift")
 
 
 def allowed(n: Column) -> Column:
@@ -64,15 +86,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = materialize(
         benchmark.select("item_id", words(F.col("text")).alias("_w"))
-        .where(F.size("_w") >= len(MASKS[0]))
+        .where(F.size("_w") > 0)
         .distinct()
         .select(F.xxhash64("item_id", "_w").alias("_item"), "item_id", "_w"),
         "benchmark-items",
     )
     rows = identified(docs.select("doc_id", "text")).select("_row", "doc_id", F.col("text").alias("_text"))
-    of_items = None
+    least = len(MASKS[0])
+    long, of_items = items.where(F.size("_w") >= least), None
     for k, mask in enumerate(MASKS):
-        hashed = items.select("_item", F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
+        hashed = long.select("_item", F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
         part = hashed.select("_item", F.lit(k).alias("_mask"), F.posexplode_outer(_seeds(F.col("_h"), mask)).alias("_there", "seed"))
         of_items = part if of_items is None else of_items.unionByName(part)
     of_items = materialize(of_items, "benchmark-seeds")
@@ -85,7 +108,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.when(F.col("_i") < first, 0).otherwise(1).alias("_k"), "_mask", "_there",
         F.when(F.col("_i") < first, F.col("_i")).otherwise(F.col("_i") - first).alias("_here"),
     ).where(F.col("_k") == F.col("_mask"))
-    lines = materialize(hits.select("_row", "_item", (F.col("_here") - F.col("_there")).alias("_shift")).distinct(), "benchmark-hits")
+    lines = hits.select("_row", "_item", (F.col("_here") - F.col("_there")).alias("_shift"))
+    for (n,) in sorted(items.where(F.size("_w") < least).select(F.size("_w")).distinct().collect()):  # 4 lengths at most
+        lines = lines.unionByName(_whole_items(rows, items.where(F.size("_w") == n), n))
+    lines = materialize(lines.distinct(), "benchmark-hits")
 
     aligned = rows.join(lines, "_row").join(items, "_item")
     aligned = aligned.select("_row", "doc_id", "item_id", "_shift", "_w", words(F.col("_text")).alias("_d"))
@@ -124,4 +150,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without contaminated rows; columns as they are."""
     found = overlaps(docs, benchmark).select(F.col("_row").alias("_contaminated_row")).distinct()
-    return docs.join(found, F.xxhash64(docs["doc_id"], docs["text"]) == found["_contaminated_row"], "left_anti")
+    return docs.join(found, row_hash(docs["doc_id"], docs["text"]) == found["_contaminated_row"], "left_anti")

@@ -11,14 +11,14 @@ DOCS = "doc_id long, text string, item_id long, seed long, _row long"
 
 
 def plain_words(t):
-    return re.findall(r"[^\W_]+", (t or "").lower())
+    return re.findall(r"[\u3040-\u30ff\u4e00-\u9fff\u0e00-\u0e2e]|[^\W_\u3040-\u30ff\u4e00-\u9fff\u0e00-\u0e2e]+", (t or "").lower())
 
 
 def plain(rows, items):
     out = set()
     for item, t in items:
         w = plain_words(t)
-        if len(w) < 5:
+        if not w:
             continue
         n = min(len(w), D.WINDOW)
         most = 3 if len(w) >= 15 else 1 if len(w) >= 8 else 0
@@ -75,6 +75,17 @@ def test_against_all_alignments(spark):
     assert run(spark, [], items) == (set(), [])
 
 
+def test_short_and_unspaced_items(spark):
+    items = [(1, "w3 w4"), (2, "W7, w8 w9 w10"), (3, "你好世界，今天是个好天气吗"), (4, "天气"), (5, "solo"), (6, "--"), (7, "ภาษาไทยสวย"), (8, "w1 w2 w3")]
+    rows = [
+        (1, "w3 w4"), (2, "w3, W4!"), (3, "w3 x w4"), (4, "w7 w8 w9 w10 w11"), (5, "w7 w8 w9 w11"), (6, "我说:你好世界,今天是个好天气吗?对"), (7, "天 气 好"),
+        (8, "solos"), (9, "a solo act"), (10, "你好世界今日是个好天气吗"), (11, "ภาษาไทยสวย"), (12, "w2 w1 w3 w2"), (13, "long " * 40_000 + "w1 w2 w3 " + "tail " * 40_000),
+    ]
+    got, _ = run(spark, rows, items)
+    assert got == plain(rows[:-1], items) | {(13, 8)}
+    assert {(1, 1), (2, 1), (4, 2), (6, 3), (7, 4), (9, 5), (10, 3)} <= got
+
+
 def test_given_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(12).collect()]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
