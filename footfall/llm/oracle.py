@@ -24,7 +24,8 @@ placed AS (
 SELECT doc_id, n_bytes, 'hash' AS kind, CAST(depth AS INTEGER) AS depth, h >> CAST({shards.BITS} - depth AS INTEGER) AS prefix, 0::BIGINT AS piece
 FROM placed
 UNION ALL
-SELECT doc_id, n_bytes, 'row', {shards.BITS}, h, 0::BIGINT FROM r WHERE n_bytes > {shards.LIMIT_BYTES}
+SELECT doc_id, n_bytes, 'row', {shards.BITS}, h, row_number() OVER (PARTITION BY h ORDER BY doc_id NULLS FIRST, n_bytes) - 1
+FROM r WHERE n_bytes > {shards.LIMIT_BYTES}
 """
 
 _CODES = " OR ".join(rf"contains({{0}}, '\{c}')" for c in "ethc")

@@ -9,7 +9,7 @@ shard), once for all depths; the splits are then worked out on that small table.
 still too large go round again with more bits.
 
 Defined results: a null text has 0 bytes, a null key hashes as the empty string. A row larger than
-the limit cannot fit and gets a shard of its own (kind "row"). Rows whose keys hash alike and together
+the limit cannot fit and gets a shard of its own (kind "row"), also where its key is repeated: ``piece`` numbers them. Rows whose keys hash alike and together
 exceed the limit, such as one key repeated very often, are cut by size class and count
 (kind "key"), the rows of equal key and size being interchangeable. An empty table gives no rows.
 Other columns of the input are not looked at, whatever their names.
@@ -17,7 +17,7 @@ Other columns of the input are not looked at, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.session import materialize
 
@@ -41,10 +41,7 @@ def assign(docs: DataFrame, limit: int = LIMIT_BYTES, key: str = "doc_id", text:
         key_hash(F.col(key)).alias("_h"),
     )
     rows = materialize(rows, "shard-rows")  # ids and sizes only: the texts are read once
-    large = rows.where(F.col("_b") > limit).select(
-        key, F.col("_b").alias("n_bytes"), F.lit("row").alias("kind"), F.lit(BITS).alias("depth"), F.col("_h").alias("prefix"),
-        F.lit(0).cast("long").alias("piece"),
-    )
+    large = _single(rows.where(F.col("_b") > limit), key)
     rows = rows.where(F.col("_b") <= limit)
     heavy = rows.groupBy("_h").agg(F.sum("_b").alias("_s")).where(F.col("_s") > limit).select("_h")
     heavy = materialize(heavy, "shard-heavy")
@@ -95,6 +92,18 @@ def _directory(rows: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
         bits = min(BITS, bits + 6)
 
 
+def _single(rows: DataFrame, key: str) -> DataFrame:
+    """A shard for every row, numbered within its hash: equal rows are counted and the counts expanded, not the rows gathered."""
+    same = rows.groupBy("_h", key, "_b").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_h").orderBy(key, "_b").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long"))
+    numbered = same.withColumn("_first", first).withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    return numbered.select(
+        key, F.col("_b").alias("n_bytes"), F.lit("row").alias("kind"), F.lit(BITS).alias("depth"), F.col("_h").alias("prefix"),
+        (F.col("_first") + F.col("_k")).alias("piece"),
+    )
+
+
 def _pieces(rows: DataFrame, limit: int, key: str) -> DataFrame:
     """Rows with one hash: as many of a size together as fit; counts are split, not rows gathered."""
     same = rows.groupBy("_h", key, "_b").agg(F.count("*").alias("_n"))
