@@ -88,7 +88,11 @@ def format_conversations(rows: DataFrame) -> DataFrame:
         ),
     )
     talks = talks.withColumn("_written", F.when(F.col("_same"), F.col("turns")).otherwise(escaped))
-    talks = talks.withColumn("formatted", F.when(F.col("_same"), F.col("_plain")).otherwise(_render(F.col("_written"))))
+    talks = talks.withColumn("_again", F.when(~F.col("_same"), _render(F.col("_written"))))
+    # The escaped form is read once more: what does not come back is an error of the grammar, never a silent loss.
+    broken = F.raise_error(F.lit("a conversation does not come back from its escaped form"))
+    checked = F.when(parse(F.col("_again")) == F.col("turns"), F.col("_again")).otherwise(broken.cast("string"))
+    talks = talks.withColumn("formatted", F.when(F.col("_same"), F.col("_plain")).otherwise(checked))
     # Places in the formatted text, by a running sum over the turns.
     spans = F.aggregate(
         "_written",
