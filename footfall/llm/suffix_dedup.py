@@ -78,6 +78,8 @@ def _anchored(sums: np.ndarray, down: np.ndarray, offsets: np.ndarray) -> tuple[
     """First and last string of every run of a slice, where its anchor starts, the anchor's rank."""
     size = len(sums) - 1
     grams = mix((sums[STEP:] - sums[:-STEP]) * down[: size - STEP + 1])
+    if len(grams) > int(MASK):
+        raise ValueError("a text of 2**28 bytes or more has places that positions cannot hold")
     marked = (grams & ~MASK) | np.arange(len(grams), dtype=np.uint64)
     at = (_sliding_min(marked, WINDOW) & MASK).astype(np.int64)  # leftmost smallest of every string
     # Strings that would cross into the next row start in the last 49 bytes of a row.
