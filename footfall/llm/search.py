@@ -190,7 +190,8 @@ def _search_block(docs: DataFrame, items: Items, top: int) -> DataFrame:
     lists = scored.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= top).drop("_r", "lead")
     lists = materialize(lists, "search-lists")  # at most top rows per item
     key = ["h", "m", "bag"]
-    wanted = member.join(lists.select(*key).distinct(), key)
+    # At most top * block_items pairs of numbers. The bag itself decides below; before that a task keeps top rows of a class.
+    wanted = member.join(F.broadcast(lists.select("h", "m").distinct()), ["h", "m"])
     nearest = Window.partitionBy(*key).orderBy("_id")
     wanted = wanted.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= top).drop("_r")
     place = Window.partitionBy("item").orderBy(F.desc("score"), "_id", F.col("doc_id").isNull())
