@@ -9,8 +9,11 @@ Two documents link when ``5 * |A & B| >= 4 * |A | B|`` for their sets of 5-word
 3. Groups are filtered, not documents: rows (shingle, group) are sorted by shingle in Spark and read as a stream. First every group
    is compared with the smallest group of its shingles (hub), which links copies of a text without pairing them all. In large families of
    looser copies, groups not connected yet are then compared with a few neighbours in ``ROUNDS`` random orders. Last,
-   pairs of groups that share enough shingles and are still not connected are compared, all of them.
-4. Groups expand into their distinct sets; a pair of sets is verified on the complete sets.
+   pairs of groups that share enough shingles and are still not connected are compared, all of them. Shingles whose groups are all
+   connected leave after every step.
+4. A pair leaves the last comparison only if its parity signatures allow a link: every bit that differs is a shingle in one
+   set only, so ``9 * differing bits > |A| + |B|`` excludes it. A frequent shingle is dealt in cells of ``BLOCK`` by ``BLOCK`` groups.
+5. Groups expand into their distinct sets; a pair of sets is verified on the complete sets.
 
 The links found connect the same documents as all links do: a pair is only left out when its documents are already connected.
 Components follow by contraction.
@@ -26,18 +29,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.llm.components import components
 from footfall.llm.words import mix, shingle_sets, slices
-from footfall.session import materialize
+from footfall.session import discard, materialize, scratch
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 FILTER_BITS = 23
 PARTS = 64
 SEEN_GROUPS = 200_000
 ROUNDS = 3  # of comparing rows with their neighbours, before what is left is compared in full
 NEIGHBOURS = 6
+BLOCK = 1024
+SIGNATURE_BITS = 1024
 SIZE_STEPS = 64  # steps of a doubling in the size that a group id carries
 
 
@@ -96,11 +102,19 @@ def _gather(rows: DataFrame, fill, size: int, combine: str) -> np.ndarray:
 
 
 def _pack(x: np.ndarray, combine: str) -> bytes:
-    return x.tobytes() if combine == "sum" else np.packbits(x > 0).tobytes()
+    """Counts as their low and high bytes apart, which compresses well; a count that does not fit stays at the most that does."""
+    if combine == "or":
+        return np.packbits(x > 0).tobytes()
+    low = np.minimum(x, 0xFFFF).astype(np.uint16)
+    return (low & 0xFF).astype(np.uint8).tobytes() + (low >> 8).astype(np.uint8).tobytes()
 
 
 def _unpack(data: bytes, combine: str) -> np.ndarray:
-    return np.frombuffer(data, np.uint32) if combine == "sum" else np.unpackbits(np.frombuffer(data, np.uint8)).astype(np.uint32)
+    raw = np.frombuffer(data, np.uint8)
+    if combine == "or":
+        return np.unpackbits(raw).astype(np.uint32)
+    half = len(raw) // 2
+    return raw[:half].astype(np.uint32) | raw[half:].astype(np.uint32) << np.uint32(8)
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -139,10 +153,6 @@ def _group_id(n: int, prefix: np.ndarray) -> int:
     return (h & ~0xFFF | min(4095, int(SIZE_STEPS * np.log2(n)))) - (1 << 63)
 
 
-def _size_step(group: np.ndarray) -> np.ndarray:
-    return group & 0xFFF
-
-
 # Sizes n <= m can only link when 5 n >= 4 m; in steps, with one for rounding:
 MOST_STEPS = int(np.ceil(SIZE_STEPS * np.log2(1.25))) + 1
 
@@ -213,12 +223,10 @@ def _hub_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["token", "g", "hub"])
 
 
-def _pair_rows(batches, most: int = 0):
-    """Counts of shared tokens of group pairs of a token whose labels differ (null: several labels).
-
-    All pairs that sizes allow, or with ``most`` only those with the last so many rows of another label.
-    """
-    held: list[tuple[int, int | None]] = []
+def _pair_rows(batches, most: int):
+    """Counts of shared tokens of group pairs of a token whose labels differ (null: several labels): with the last
+    ``most`` rows of another label, as far as signatures allow a link."""
+    held: list[tuple[int, int | None, int, int | None]] = []
     token, counts = None, {}
 
     def flush():
@@ -227,25 +235,27 @@ def _pair_rows(batches, most: int = 0):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else ([], [], []))], names=["a", "b", "shared"])
 
     for batch in batches:
-        for t, g, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for t, g, label, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            bits = None if sig is None else int.from_bytes(sig, "little")
             if t != token:
                 token, held = t, []
             step = g & 0xFFF
             # Rows are sorted by size: those too small for this one are too small for all that follow.
             while held and step - (held[0][0] & 0xFFF) > MOST_STEPS:
                 held.pop(0)
-            left = most or len(held)
-            for other, its in reversed(held):
+            left = most
+            for other, its, m, those in reversed(held):
                 if other != g and (label is None or its is None or label != its):
-                    pair = (min(g, other), max(g, other))
-                    counts[pair] = counts.get(pair, 0) + 1
-                    if len(counts) >= 500_000:
-                        yield flush()
+                    if bits is None or those is None or 9 * (bits ^ those).bit_count() <= n + m:
+                        pair = (min(g, other), max(g, other))
+                        counts[pair] = counts.get(pair, 0) + 1
+                        if len(counts) >= 500_000:
+                            yield flush()
                     left -= 1
                     if not left:
                         break
-            held.append((g, label))
-            if most and len(held) > 8 * most:
+            held.append((g, label, n, bits))
+            if len(held) > 8 * most:
                 held.pop(0)
     yield flush()
 
@@ -263,10 +273,75 @@ def _token_rows(batches, wanted):
             # The order of the cut hashes is the order of the hashes, so the sets stay sorted.
             cut = [(s >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [some.column(0).slice(a, b - a), pa.array([_set_id(s)[0] for s in sets], pa.int64()), pa.array(cut, pa.binary())], names=["doc_id", "s1", "tokens"]
+                [
+                    some.column(0).slice(a, b - a), pa.array([_set_id(s)[0] for s in sets], pa.int64()), pa.array(cut, pa.binary()),
+                    pa.array([_signature(s) for s in sets], pa.binary()),
+                ],
+                names=["doc_id", "s1", "tokens", "sig"],
             )
 
 
+def _signature(hashes: np.ndarray) -> bytes:
+    """Bit k is the parity of the number of shingles that fall on k."""
+    at = (mix(hashes) >> np.uint64(32)).astype(np.int64) % SIGNATURE_BITS
+    return np.packbits((np.bincount(at, minlength=SIGNATURE_BITS) & 1).astype(np.uint8)).tobytes()
+
+
+def _cell_rows(batches):
+    """Counts of shared tokens of group pairs that may link, cell by cell.
+
+    Rows (token, i, j, block, g, label, n, sig) come sorted by cell (token, i, j). Pairs are those of block i with block j whose labels
+    differ (null: several), whose sizes can link and whose signatures allow it (null: not known). A cell has
+    two blocks at most.
+    """
+    key, held, counts = None, [], {}
+
+    def flush():
+        rows = [(a, b, n) for (a, b), n in counts.items()]
+        counts.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else ([], [], []))], names=["a", "b", "shared"])
+
+    for batch in batches:
+        for *cell, block, g, label, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if cell != key:
+                _count_cell(key, held, counts)
+                key, held = cell, []
+                if len(counts) >= 200_000:
+                    yield flush()
+            held.append((block, g, label, n, sig))
+    _count_cell(key, held, counts)
+    yield flush()
+
+
+def _count_cell(key, held, counts) -> None:
+    if key is None or len(held) < 2:
+        return
+    _, i, j = key
+    block, g, n = (np.array([h[k] for h in held], np.int64) for k in (0, 1, 3))
+    label = np.array([0 if h[2] is None else h[2] for h in held], np.int64)
+    several = np.array([h[2] is None for h in held])
+    known = np.array([h[4] is not None for h in held])
+    blank = bytes(SIGNATURE_BITS // 8)
+    sig = np.frombuffer(b"".join(h[4] or blank for h in held), np.uint64).reshape(len(held), -1)
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    for a in range(0, len(left), 128):
+        some = left[a : a + 128]
+        apart = (label[some, None] != label[None, right]) | several[some, None] | several[None, right]
+        small, large = np.minimum(n[some, None], n[None, right]), np.maximum(n[some, None], n[None, right])
+        apart &= (5 * small >= 4 * large) & (g[some, None] != g[None, right])
+        if i == j:
+            apart &= some[:, None] < right[None, :]
+        x, y = np.nonzero(apart)
+        x, y = some[x], right[y]
+        for c in range(0, len(x), 1 << 16):
+            p, q = x[c : c + (1 << 16)], y[c : c + (1 << 16)]
+            differ = np.bitwise_count(sig[p] ^ sig[q]).sum(axis=1, dtype=np.int64)
+            keep = (9 * differ <= n[p] + n[q]) | ~known[p] | ~known[q]
+            for u, v in zip(g[p[keep]].tolist(), g[q[keep]].tolist(), strict=True):
+                pair = (u, v) if u < v else (v, u)
+                counts[pair] = counts.get(pair, 0) + 1
+
+
 def _slot(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
@@ -313,12 +388,13 @@ def link(docs: DataFrame) -> DataFrame:
 
     lead = members.groupBy("g").agg(F.min("rep").alias("lead"), F.count("*").alias("_n"), F.min("n").alias("n"))
     lead = materialize(lead, "join-groups")
-    # A group that links outside shares enough of its prefix; members of one group are compared with each other.
-    partners = shared.groupBy("g").agg(F.count("*").alias("_shared"))
-    wide = lead.join(partners, "g", "left").where((F.col("_n") > 1) | (F.col("_shared") >= 1 + F.floor(F.floor(F.col("n") * 4 / 5) / 20)))
-    wanted = members.join(wide.select("g"), "g", "left_semi").select("rep")
+    # Groups that share too little to link outside leave; members of one group are compared with each other.
+    able = materialize(_able(shared, lead), "join-able")
+    shared = materialize(shared.join(able, "g", "left_semi"), "join-shared")
+    wide = lead.where(F.col("_n") > 1).select("g").unionByName(able).distinct()
+    wanted = members.join(wide, "g", "left_semi").select("rep")
     bits = np.packbits(_gather(wanted, _mark, 1 << FILTER_BITS, "or") > 0).tobytes()
-    tokens = materialize(rows.mapInArrow(lambda b: _token_rows(b, bits), "doc_id long, s1 long, tokens binary"), "join-tokens")
+    tokens = materialize(rows.mapInArrow(lambda b: _token_rows(b, bits), "doc_id long, s1 long, tokens binary, sig binary"), "join-tokens")
 
     hubs = shared.where(F.col("g") != F.col("hub")).groupBy("g", "hub").agg(F.count("*").alias("_shared"))
     hubs = _enough(hubs.select(F.col("g").alias("a"), F.col("hub").alias("b"), "_shared"), lead, part=2)
@@ -331,20 +407,28 @@ def link(docs: DataFrame) -> DataFrame:
     links = materialize(_verified(tried, tokens), "join-links")
     roots = components(links)
 
+    signed = tokens.select(F.col("doc_id").alias("rep"), "s1", "sig")
     settled = False
     for turn in range(ROUNDS + 1):
         if settled and turn < ROUNDS:
             continue  # neighbours have nothing more to connect
-        label = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        label = materialize(label, "join-labels")
         most = NEIGHBOURS if turn < ROUNDS else 0
-        fresh = _member_pairs(_open_pairs(shared, label, lead, turn, most), label)
-        fresh = fresh.join(tried, ["rep", "s1", "to", "to_s1"], "left_anti")
-        fresh = fresh.join(tried.select(F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("to").alias("rep"), F.col("to_s1").alias("s1")), ["rep", "s1", "to", "to_s1"], "left_anti")
-        if most:
-            fresh = materialize(fresh, "join-tried")
+        with scratch(docs.sparkSession) as keep:
+            label = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+            label = materialize(label, "join-labels")
+            of_group = label.groupBy("g").agg(F.min("root").alias("_a"), F.max("root").alias("_b"))
+            of_group = materialize(of_group.select("g", F.when(F.col("_a") == F.col("_b"), F.col("_a")).alias("label")), "join-group-labels")
+            wider, shared = shared, keep(materialize(_open_rows(shared, of_group, lead), "join-open"))
+            discard(wider)
+            label = materialize(label.join(signed, ["rep", "s1"], "left"), "join-signed")
+            pairs = _neighbour_pairs(shared, label, lead, turn, most) if most else _all_pairs(shared, label, lead)
+            mixed = of_group.where(F.col("label").isNull()).select(F.col("g").alias("a"), F.col("g").alias("b"))
+            fresh = _member_pairs(pairs.unionByName(mixed), label)
+            fresh = fresh.join(tried, ["rep", "s1", "to", "to_s1"], "left_anti")
+            fresh = fresh.join(tried.select(F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("to").alias("rep"), F.col("to_s1").alias("s1")), ["rep", "s1", "to", "to_s1"], "left_anti")
+            fresh = keep(materialize(fresh, "join-tried"))
             tried = tried.unionByName(fresh)
-        late = materialize(_verified(fresh, tokens), "join-links")
+            late = keep(materialize(_verified(fresh, tokens), "join-links"))
         settled = late.isEmpty()
         if not settled:
             links = links.unionByName(late)
@@ -356,28 +440,72 @@ def link(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _open_pairs(shared: DataFrame, label: DataFrame, groups: DataFrame, turn: int, most: int) -> DataFrame:
-    """Group pairs (a, b) that share enough and are not connected; groups with unconnected members as (g, g)."""
-    of_group = label.groupBy("g").agg(F.min("root").alias("_a"), F.max("root").alias("_b"))
-    of_group = materialize(of_group.select("g", F.when(F.col("_a") == F.col("_b"), F.col("_a")).alias("label")), "join-group-labels")
+def _able(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The groups that have enough rows (token, g) to link with another: l(n) of the smallest set that can link with them."""
+    counts = rows.groupBy("g").agg(F.count("*").alias("_shared")).join(groups.select("g", "n"), "g")
+    return counts.where(F.col("_shared") >= 1 + F.floor(F.floor(F.col("n") * 4 / 5) / 20)).select("g")
+
+
+def _open_rows(shared: DataFrame, of_group: DataFrame, groups: DataFrame) -> DataFrame:
+    """(token, g, label) of the tokens that have groups of different labels; a null label is one of several.
+
+    Groups with too few such tokens leave, and tokens that lose all but one of their groups with them.
+    """
     rows = shared.select("token", "g").join(of_group, "g")
-    open_tokens = rows.groupBy("token").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("_n"), F.count("label").alias("_k"))
-    open_tokens = open_tokens.where((F.col("_k") < F.col("_n")) | (F.col("_a") != F.col("_b"))).select("token")
-    rows = rows.join(open_tokens, "token", "left_semi").repartition(F.col("token"))
-    # Of one size, another random order in every turn.
+    for last in (False, True):
+        ends = rows.groupBy("token").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("_n"), F.count("label").alias("_k"))
+        wanted = ends.where((F.col("_n") > 1) & ((F.col("_k") < F.col("_n")) | (F.col("_a") != F.col("_b")))).select("token")
+        rows = rows.join(wanted, "token", "left_semi").select("token", "g", "label")
+        if not last:
+            rows = materialize(rows, "join-open-tokens")
+            rows = rows.join(_able(rows, groups), "g", "left_semi")
+    return rows
+
+
+def _signed_groups(label: DataFrame) -> DataFrame:
+    """(g, n, sig): a group of one set has that set's signature, others have none."""
+    sets = label.groupBy("g").agg(F.count("*").alias("_k"), F.max("sig").alias("sig"), F.max("n").alias("n"))
+    return sets.select("g", "n", F.when(F.col("_k") == 1, F.col("sig")).alias("sig"))
+
+
+def _neighbour_pairs(rows: DataFrame, label: DataFrame, groups: DataFrame, turn: int, most: int) -> DataFrame:
+    """Group pairs (a, b) of neighbours in a random order of each token's groups of one size, another in every turn."""
+    rows = rows.join(_signed_groups(label), "g").repartition(F.col("token"))
     rows = rows.sortWithinPartitions("token", F.col("g").bitwiseAND(0xFFF), F.xxhash64("g", F.lit(turn)))
-    pairs = rows.select("token", "g", "label").mapInArrow(lambda b: _pair_rows(b, most), "a long, b long, shared long")
-    pairs = _enough(pairs.groupBy("a", "b").agg(F.sum("shared").alias("_shared")), groups, part=2 if most else 1)
-    mixed = of_group.where(F.col("label").isNull()).select(F.col("g").alias("a"), F.col("g").alias("b"))
-    return pairs.select("a", "b").unionByName(mixed)
+    pairs = rows.select("token", "g", "label", "n", "sig").mapInArrow(lambda b: _pair_rows(b, most), "a long, b long, shared long")
+    return _enough(pairs.groupBy("a", "b").agg(F.sum("shared").alias("_shared")), groups, part=2).select("a", "b")
+
+
+def _all_pairs(rows: DataFrame, label: DataFrame, groups: DataFrame) -> DataFrame:
+    """All group pairs (a, b) that are not connected, share enough and may link by their signatures."""
+    rows = rows.join(_signed_groups(label), "g")
+    of_token = Window.partitionBy("token")
+    place = F.row_number().over(of_token.orderBy(F.col("g").bitwiseAND(0xFFF), "g")) - 1
+    rows = rows.withColumn("block", F.floor(place / BLOCK).cast("int")).withColumn("_last", F.max("block").over(of_token))
+    cell = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_last"))))
+    cell = cell.withColumns({"i": F.least("block", "_o"), "j": F.greatest("block", "_o")})
+    cell = cell.repartition(F.col("token"), F.col("i"), F.col("j")).sortWithinPartitions("token", "i", "j", "g")
+    pairs = cell.select("token", "i", "j", "block", "g", "label", "n", "sig").mapInArrow(_cell_rows, "a long, b long, shared long")
+    return _enough(pairs.groupBy("a", "b").agg(F.sum("shared").alias("_shared")), groups, part=1).select("a", "b")
 
 
 def _member_pairs(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """Unconnected member pairs (rep, s1, to, to_s1) of group pairs."""
-    one = label.select(F.col("g").alias("a"), "rep", "s1", F.col("root").alias("_ra"))
-    two = label.select(F.col("g").alias("b"), F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("root").alias("_rb"))
-    apart = (F.col("_ra") != F.col("_rb")) & ((F.col("a") != F.col("b")) | (F.col("rep") < F.col("to")))
-    return pairs.join(one, "a").join(two, "b").where(apart).select("rep", "s1", "to", "to_s1").distinct()
+    """Unconnected member pairs (rep, s1, to, to_s1) of group pairs that their signatures allow."""
+    one = label.select(F.col("g").alias("a"), "rep", "s1", F.col("root").alias("_ra"), F.col("n").alias("_na"), F.col("sig").alias("_siga"))
+    two = label.select(
+        F.col("g").alias("b"), F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("root").alias("_rb"), F.col("n").alias("_nb"), F.col("sig").alias("_sigb")
+    )
+    pairs = pairs.join(one, "a")
+    apart = (pairs["b"] == two["b"]) & (F.col("_ra") != F.col("_rb")) & ((F.col("a") != two["b"]) | (F.col("rep") < F.col("to")))
+    differ = sum((_bits_apart(k) for k in range(SIGNATURE_BITS // 64)), F.lit(0))
+    apart = apart & F.coalesce(differ * 9 <= F.col("_na") + F.col("_nb"), F.lit(True))
+    return pairs.join(two, apart).select("rep", "s1", "to", "to_s1").distinct()
+
+
+def _bits_apart(word: int) -> Column:
+    """Differing bits of one 64-bit word of the signatures _siga and _sigb."""
+    a, b = (F.conv(F.hex(F.substring(c, 8 * word + 1, 8)), 16, -10).cast("long") for c in ("_siga", "_sigb"))
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def _enough(pairs: DataFrame, groups: DataFrame, part: int) -> DataFrame:
@@ -389,12 +517,24 @@ def _enough(pairs: DataFrame, groups: DataFrame, part: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    one = tokens.select(F.col("doc_id").alias("rep"), "s1", F.col("tokens").alias("x"))
-    two = tokens.select(F.col("doc_id").alias("to"), F.col("s1").alias("to_s1"), F.col("tokens").alias("y"))
+    """The pairs (rep, s1, to, to_s1), a written table, that link by their complete sets. Only sets of documents in
+    ``pairs`` are dealt out: a fixed-size table of their ids passes them."""
+    ids = pairs.select("rep").unionByName(pairs.select(F.col("to").alias("rep")))
+    bits = np.packbits(_gather(ids, _mark, 1 << FILTER_BITS, "or") > 0).tobytes()
+    some = tokens.select("doc_id", "s1", "tokens").mapInArrow(lambda b: _passed(b, bits), "doc_id long, s1 long, tokens binary")
+    one = some.select(F.col("doc_id").alias("rep"), "s1", F.col("tokens").alias("x"))
+    two = some.select(F.col("doc_id").alias("to"), F.col("s1").alias("to_s1"), F.col("tokens").alias("y"))
     both = pairs.join(one, ["rep", "s1"]).join(two, ["to", "to_s1"]).select(F.col("rep").alias("a"), F.col("to").alias("b"), "x", "y")
     return both.mapInArrow(_verify, "a long, b long")
 
 
+def _passed(batches, wanted):
+    bits = np.unpackbits(np.frombuffer(wanted, np.uint8))
+    for batch in batches:
+        ids = pc.fill_null(batch.column(0), 0).to_numpy()
+        yield batch.filter(pa.array(bits[_slot(ids)].astype(bool)))
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that stay when one of each component does: the smallest doc_id, and rows with a null doc_id.
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from footfall.llm import ngram_join
@@ -70,6 +71,43 @@ def test_random_near_copies(spark, seed):
     assert run(spark, rows) == plain(rows)
 
 
+def test_a_family_of_loose_copies(spark, monkeypatch):
+    """Copies that are mostly just too far apart: the right components, and few pairs leave the last comparison."""
+    rng = random.Random(6)
+    base = [f"b{rng.randint(0, 10**6)}" for _ in range(170)]
+    rows = []
+    for i in range(600):
+        words = list(base)
+        for _ in range(rng.randint(1, 9)):
+            words[rng.randrange(len(words))] = f"n{rng.randint(0, 10**9)}"
+        rows.append((i, " ".join(words)))
+    made = []
+    whole = ngram_join._all_pairs
+
+    def counted(*args):
+        pairs = whole(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_all_pairs", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK", 50)
+    want = plain(rows)
+    assert run(spark, rows) == want
+    assert 20 < len({c for *_, c in want}) < 580
+    assert made and made[0] < 25_000  # of 180,000
+
+
+def test_signatures_only_exclude():
+    rng = random.Random(9)
+    for _ in range(200):
+        n, m = rng.randint(1, 400), rng.randint(1, 400)
+        shared = rng.randint(0, min(n, m))
+        words = [rng.getrandbits(64) for _ in range(n + m - shared)]
+        a, b = np.array(words[:n], np.uint64), np.array(words[n - shared :], np.uint64)
+        apart = int(np.bitwise_count(np.frombuffer(ngram_join._signature(a), np.uint64) ^ np.frombuffer(ngram_join._signature(b), np.uint64)).sum())
+        assert apart <= n + m - 2 * shared
+
+
 def test_given_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert run(spark, rows) == plain(rows)
