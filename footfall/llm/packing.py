@@ -7,9 +7,9 @@
 3. A piece gets a rank within its length; joining on the rank gives its planned slot.
 
 Ranks come from counts per (length, salt) plus a row number within, so a frequent length is no
-hot group. Defined results: a special token's name inside a text, such as <|endoftext|>, is ordinary characters, where the
-tokenizers' default would give its one id; a null text has the tokens of an empty one, the end mark alone; rows
-that share a doc_id are packed each; an empty table gives no pieces. Other columns are not looked at.
+hot group. Defined results: a special token's name inside a text, such as <|endoftext|>, has its one id, as the tokenizer's
+defaults give it; a null text has the tokens of an empty one, the end mark alone; rows that share a doc_id are packed
+each; a long text is tokenized whole and cut after; an empty table gives no pieces. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -29,14 +29,57 @@ from footfall.session import materialize
 MAX_TOKENS = 4096
 END_ID = 1
 SALT_ROWS = 50_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 # The tokenizer's own word rule, on lower-case text of the characters in PLAIN.
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+# The same rule as classes of code points: white space, letters, digits, other.
+SPACE, LETTER, DIGIT, OTHER = range(4)
 # Characters whose case, class and normal form are the same in every Unicode version: printable
 # ASCII, white space and Latin letters up to U+024F without superscripts, fractions and dotted capital I.
 PLAIN = re.compile(r"[\t\n\r -~¡-±´-¸º»¿-įı-ǃǍ-ǰǴ-ɏ–-„]*")
 
 
+def _classes() -> np.ndarray:
+    """Class of every code point that a PLAIN text has in lower case."""
+    kind = np.full(0x3000, OTHER, np.uint8)
+    for c in range(len(kind)):
+        kind[c] = SPACE if chr(c).isspace() else DIGIT if chr(c).isdecimal() else LETTER if chr(c).isalpha() else OTHER
+    return kind
+
+
+_CLASS = _classes()
+
+
+def split(texts: list[str]) -> tuple[np.ndarray, pa.Array]:
+    """(first word of every text, one more entry than texts; all words), by WORD, of lower-case PLAIN texts."""
+    joined = "\n".join(texts)
+    code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    kind = _CLASS[code]
+    inside = kind != SPACE
+    start = inside.copy()
+    start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    # An apostrophe that begins a run of other characters takes s, t, m, d, re, ve or ll with it.
+    quote = np.flatnonzero(start & (code == ord("'")))
+    ahead = np.concatenate([code, np.zeros(2, np.uint32)])
+    one, two = ahead[quote + 1], ahead[quote + 2]
+    size = np.isin(one, [ord(c) for c in "stmd"]).astype(np.int64)
+    for pair in ("re", "ve", "ll"):
+        size[(one == ord(pair[0])) & (two == ord(pair[1]))] = 2
+    hit, size = quote[size > 0], size[size > 0]
+    start[hit + 1] = False
+    after = hit + 1 + size
+    after = after[after < len(code)]
+    start[after[kind[after] == LETTER]] = True
+    place = np.flatnonzero(start)
+    width = (1 + (code > 0x7F) + (code > 0x7FF)).astype(np.int64)
+    kept = np.frombuffer(joined.encode(), np.uint8)[np.repeat(inside, width)]
+    ends = np.cumsum(width * inside)
+    offsets = np.append((ends - width * inside)[place], len(kept)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(place), pa.py_buffer(offsets.tobytes()), pa.py_buffer(kept.tobytes()))
+    first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return np.searchsorted(place, first), words
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -46,7 +89,8 @@ def default_vocabulary() -> str:
 class Words:
     """Token ids of texts, through a cache of words; the tokenizer itself sees each new word once.
 
-    One per Python worker. The cache is emptied at ``CACHE_WORDS`` words, which bounds its memory.
+    One per Python worker. At ``CACHE_WORDS`` words those that were used most since the last time stay, half as many,
+    which bounds its memory and keeps the frequent words known. Texts that a word rule does not fit go to the tokenizer whole.
     """
 
     loaded: dict[str, Words] = {}
@@ -62,60 +106,76 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.clear()
-
-    def clear(self) -> None:
+        self.added = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.number: dict[str, int] = {}
-        self.first = np.zeros(1, np.int64)  # of each word in ids; one more entry than words
-        self.ids = np.zeros(0, np.uint32)
+        self.words = 0
+        self.first = np.zeros(1 << 16, np.int64)  # of each word in ids; one more entry than words
+        self.ids = np.zeros(1 << 18, np.uint32)
+        self.used = np.zeros(1 << 16, np.int64)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        plain, words = [], []
+        plain = []
         for i, text in enumerate(texts):
-            if PLAIN.fullmatch(text):
+            if PLAIN.fullmatch(text) and not any(name in text for name in self.added):
                 plain.append(i)
-                words.append(WORD.findall(text.lower()))
             else:
-                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        if len(self.number) > CACHE_WORDS:
-            self.clear()
-        self._learn(words)
-        look = self.number.__getitem__
-        for i, found in zip(plain, words, strict=True):
-            at = np.fromiter(map(look, found), np.int64, len(found))
-            n = self.first[at + 1] - self.first[at]
-            before = np.cumsum(n) - n
-            take = np.arange(n.sum()) + np.repeat(self.first[at] - before, n)
-            out[i] = self.ids[take]
+                out[i] = self.whole(text)
+        if self.words > CACHE_WORDS:
+            self._trim()
+        first, words = split([texts[i].lower() for i in plain])
+        coded = words.dictionary_encode()
+        names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self._learn([w for w in names if w not in self.number])
+        number = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        self.used[number] += np.bincount(at, minlength=len(names))
+        begin = self.first[number][at]
+        n = self.first[number + 1][at] - begin
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], n)]
+        for i, a, b in zip(plain, ends[first[:-1]].tolist(), ends[first[1:]].tolist(), strict=True):
+            out[i] = ids[a:b]
         return out
 
-    def _learn(self, words: list[list[str]]) -> None:
-        new = {}
-        for found in words:
-            for w in found:
-                if w not in self.number:
-                    new[w] = None
-        new = list(new)
-        ids, sizes = [], []
-        for i in range(0, len(new), 1000):
-            part = new[i : i + 1000]
-            got = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-            stop = np.flatnonzero(self.ends[got]) + 1
-            # A contraction such as 's may join its neighbours differently: then word by word.
-            if len(stop) != len(part) or (len(got) and stop[-1] != len(got)):
-                each = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32) for w in part]
-                got, stop = np.concatenate(each), np.cumsum([len(x) for x in each])
-            ids.append(got)
-            sizes.append(np.diff(stop, prepend=0))
-        if new:
-            base = len(self.number)
-            self.number.update(zip(new, range(base, base + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, *ids])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(sizes))])
+    def _trim(self) -> None:
+        used = self.used[: self.words]
+        kept = np.sort(np.argpartition(-used, CACHE_WORDS // 2)[: CACHE_WORDS // 2])
+        names = list(self.number)
+        first, end = self.first[kept], self.first[kept + 1]
+        parts = [self.ids[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+        self.number, self.words = {}, 0
+        self._add([names[k] for k in kept.tolist()], np.concatenate(parts), end - first)
+        self.used[:] = 0
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, at = self.words, int(self.first[self.words]) if self.words else 0
+        while len(self.first) <= n + len(words):
+            self.first, self.used = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.used))
+        while len(self.ids) < at + len(ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.number.update(zip(words, range(n, n + len(words)), strict=True))
+        self.words = n + len(words)
+        self.ids[at : at + len(ids)] = ids
+        self.first[n + 1 : self.words + 1] = at + np.cumsum(sizes)
+
+    def _learn(self, new: list[str]) -> None:
+        for i in range(0, len(new), 4000):
+            part = new[i : i + 4000]
+            joined = [" ".join(part[k : k + 500]) for k in range(0, len(part), 500)]
+            got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+            for k, ids in zip(range(0, len(part), 500), got, strict=True):
+                some = part[k : k + 500]
+                stop = np.flatnonzero(self.ends[ids]) + 1
+                # A contraction such as 's may join its neighbours differently: then word by word.
+                if len(stop) != len(some) or (len(ids) and stop[-1] != len(ids)):
+                    each = [self.whole(w) for w in some]
+                    ids, stop = np.concatenate(each), np.cumsum([len(x) for x in each])
+                self._add(some, ids, np.diff(stop, prepend=0))
 
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary"

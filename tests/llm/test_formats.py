@@ -180,6 +180,7 @@ def test_plain_text_is_not_escaped(spark):
 
 def test_shards_fit(spark):
     rows = [(i, "x" * (i % 50)) for i in range(2000)] + [(77, "y" * 30)] * 500 + [(9000, "z" * 5000), (None, None), (9001, "")]
+    rows += [(1, "w" * 1500)] * 3 + [(1, "w" * 1600)]
     got = shards.assign(documents(spark, rows), limit=1000).collect()
     assert sorted((r["doc_id"] or -1, r["n_bytes"]) for r in got) == sorted((i or -1, len(t or "")) for i, t in rows)
     size, prefix = defaultdict(int), set()
@@ -188,6 +189,8 @@ def test_shards_fit(spark):
         if r["kind"] == "hash":
             prefix.add((r["depth"], r["prefix"]))
     assert all(s <= 1000 for k, s in size.items() if k[0] != "row")
+    single = [(r["depth"], r["prefix"], r["piece"]) for r in got if r["kind"] == "row"]
+    assert len(single) == len(set(single)) == 5
     assert [k for k in size if k[0] == "row"] and [k for k in size if k[0] == "key"]
     for d, p in prefix:  # no shard inside another, and none could have been joined with its sibling
         assert not any((e, p >> (d - e)) in prefix for e in range(d))
@@ -251,7 +254,6 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.default_vocabulary())
-    tok.encode_special_tokens = True
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows += [(1000, None), (1001, ""), (1002, "don't STOP_it'S 12½ ﬁ Σας İ́ \x1c  <|endoftext|>"), (1003, "w " * 9000), (1003, "w " * 9000), (None, "null id")]
     got = packing.pack_documents(documents(spark, rows)).collect()
@@ -276,6 +278,65 @@ def test_packing(spark):
     assert packing.pack_documents(documents(spark, [])).collect() == []
 
 
+def test_plan_stays_small():
+    """The broadcast plan depends on the sequence length and not on the number of pieces."""
+    sizes = [len(packing.plan({n: 1 + (n * 7919) % k for n in range(1, 4097)})) for k in (100, 10_000, 1_000_000)]
+    assert max(sizes) < 20_000
+
+
+def test_split_follows_the_word_rule(spark):
+    import random
+
+    rng = random.Random(4)
+    alphabet = "ab'stmdrevl_09 \t\n.,-\"éßÀº«×ÿȺɄƁ–„"
+    texts = ["", " ", "'", "''s", "it's", "'sam", "x'rex'll'", "9's'9", "a_b", "don't 'T we'Ve"]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    texts = [t.lower() for t in texts if packing.PLAIN.fullmatch(t)]
+    assert len(texts) > 3000
+    first, words = packing.split(texts)
+    words = words.to_pylist()
+    for text, a, b in zip(texts, first[:-1].tolist(), first[1:].tolist(), strict=True):
+        assert words[a:b] == packing.WORD.findall(text)
+    assert packing.split([])[0].tolist() == [0]
+
+
+def test_word_cache_trims(monkeypatch):
+    """A cache of a few words gives what the tokenizer gives, and keeps the words used most."""
+    import random
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40)
+    words = packing.Words(packing.default_vocabulary())
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = [" ".join(["the", "often"] + [f"w{rng.randint(0, 400)}x's" for _ in range(rng.randint(0, 12))]) for _ in range(5)] + ["", "The<|endoftext|>"]
+        for text, ids in zip(texts, words.encode(texts), strict=True):
+            assert ids.tolist() == words.whole(text).tolist()
+    assert {"the", "often"} <= set(words.number) and len(words.number) < 200
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_plan_is_best_fit_decreasing(seed):
+    """As many sequences as best-fit decreasing over single documents."""
+    import random
+    from bisect import bisect_left, insort
+
+    rng = random.Random(seed)
+    lengths = sorted((rng.choice([64, rng.randint(1, 64), rng.randint(20, 40)]) for _ in range(700)), reverse=True)
+    room = []  # free lengths, sorted
+    opened = 0
+    for n in lengths:
+        at = bisect_left(room, n)
+        if at == len(room):
+            opened += 1
+            insort(room, 64 - n)
+        else:
+            insort(room, room.pop(at) - n)
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    used = {seq + (r - lo) // per for _, lo, hi, seq, _, per in packing.plan(counts, 64) for r in range(lo, hi)}
+    assert len(used) == opened
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_plan_places_every_piece(seed):
     import random
