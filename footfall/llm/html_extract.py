@@ -32,7 +32,7 @@ MEASURES = 6
 HIDDEN = 20
 INPUT = PATH_SIZE + WORD_SIZE + MEASURES
 SYNTHETIC, SAMPLE, SAMPLE_CHARS, EPOCHS = 500, 200, 20_000, 8
-SIMILAR = 64  # pages labelled together, of about one length
+CELLS = 20_000  # steps x pages that are labelled together; a longer page goes alone
 
 # Fixed values of HTML: tags that end a block, tags without content, tags whose content is no text.
 BLOCK_TAGS = frozenset(
@@ -46,7 +46,10 @@ HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscri
 NOT_SVG = BLOCK_TAGS | frozenset("b big br code em embed i img meta nobr ruby s small span strike strong sub sup tt u var".split())
 RAW_TAGS = ("script", "style", "title", "textarea", "iframe")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A tag by the rules of HTML: a quote opens a value only right after "="; elsewhere it is an ordinary character. Nothing is
+# tried twice, and without its ">" a tag runs to the end of the page.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)*+)(>?)")
+_END_TAG = re.compile(r"</([a-zA-Z][^\s/>]*+)")
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _GAP = re.compile(r"[ \t\n\r\f\v  -   　]+")
@@ -68,47 +71,104 @@ def _name_slots(attributes: str) -> list[int]:
     return slots
 
 
+class Node:
+    """An open block element: its own slots and the elements around it."""
+
+    __slots__ = ("tag", "own", "parent")
+
+    def __init__(self, tag: str, own: list[int], parent: "Node | None"):
+        self.tag, self.own, self.parent = tag, own, parent
+
+    def path(self) -> list["Node"]:
+        """From the outermost element to this one."""
+        nodes, node = [], self
+        while node is not None:
+            nodes.append(node)
+            node = node.parent
+        return nodes[::-1]
+
+
 class Block:
-    __slots__ = ("text", "slots", "linked", "tags")
+    """A leaf block. Its path is shared with its neighbours; ``slots`` and ``tags`` spell it out."""
+
+    __slots__ = ("text", "node", "linked", "spelt")
+
+    def __init__(self, text: str, node: Node | None, linked: float):
+        self.text, self.node, self.linked, self.spelt = text, node, linked, None
+
+    @property
+    def leaf(self) -> int:
+        return _slot("leaf:" + (self.node.tag if self.node else ""))
+
+    @property
+    def slots(self) -> list[int]:
+        if self.spelt is not None:
+            return self.spelt
+        return [s for n in (self.node.path() if self.node else []) for s in n.own] + [self.leaf]
 
-    def __init__(self, text: str, slots: list[int], linked: float, tags: list[str]):
-        self.text, self.slots, self.linked, self.tags = text, slots, linked, tags
+    @property
+    def tags(self) -> list[str]:
+        return [n.tag for n in self.node.path()] if self.node else []
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page in order, with white space inside as one space."""
+    """The leaf blocks of a page in order, with white space inside as one space. Takes time in proportion to the page."""
     out: list[Block] = []
-    stack: list[tuple[str, list[int]]] = []
+    stack: list[Node] = []
+    open_blocks: Counter[str] = Counter()
     pieces: list[str] = []
     linked = total = 0
     in_link = at = 0
     inline: Counter[str] = Counter()  # open visible elements that are no blocks
     inside: list[str] = []  # open elements from the outermost hidden one on
-    last_end: dict[str, int] = {}
+    hidden: Counter[str] = Counter()  # the same, counted
+    last_end: dict[str, int] | None = None
+
+    def push(tag: str, own: list[int]) -> None:
+        stack.append(Node(tag, own, stack[-1] if stack else None))
+        open_blocks[tag] += 1
+
+    def pop(k: int) -> None:
+        while len(stack) > k:
+            open_blocks[stack.pop().tag] -= 1
+
+    def leave(k: int) -> None:
+        while len(inside) > k:
+            hidden[inside.pop()] -= 1
+
+    def last(names: list[str], tag: str) -> int:
+        k = len(names) - 1
+        while names[k] != tag:
+            k -= 1
+        return k
 
     def close() -> None:
         nonlocal linked, total
         if pieces:
             text = _GAP.sub(" ", "".join(pieces)).strip()
             if text:
-                leaf = stack[-1][0] if stack else ""
-                slots = [s for _, own in stack for s in own] + [_slot("leaf:" + leaf)]
-                out.append(Block(text, slots, linked / max(1, total), [t for t, _ in stack]))
+                out.append(Block(text, stack[-1] if stack else None, linked / max(1, total)))
             pieces.clear()
         linked = total = 0
 
     def unclosed(tag: str) -> bool:
-        if tag not in last_end:
-            last_end[tag] = max((m.start() for m in re.finditer(f"</{re.escape(tag)}", page, re.I)), default=-1)
-        return last_end[tag] < at
+        nonlocal last_end
+        if last_end is None:
+            last_end = {m[1].lower(): m.start() for m in _END_TAG.finditer(page)}
+        return last_end.get(tag, -1) < at
 
     def leave_head() -> None:
         if inside and inside[0] == "head" and (len(inside) == 1 or unclosed(inside[1])):
-            inside.clear()
+            leave(0)
 
     def leave_svg() -> None:
-        while (k := max((k for k, t in enumerate(inside) if t in ("svg", "foreignobject", "desc")), default=-1)) >= 0 and inside[k] == "svg":
-            del inside[k:]
+        while hidden["svg"]:
+            k = len(inside) - 1
+            while inside[k] not in ("svg", "foreignobject", "desc"):
+                k -= 1
+            if inside[k] != "svg":
+                break
+            leave(k)
 
     def add(text: str) -> None:
         nonlocal linked, total
@@ -121,24 +181,38 @@ def blocks(page: str) -> list[Block]:
             total += len(text)
             linked += len(text) if in_link else 0
 
+    def past(end: str, start: int) -> int:
+        k = page.find(end, start)
+        return len(page) if k < 0 else k + len(end)
+
+    text_from = 0
     while True:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
+        start = page.find("<", at)
+        if start < 0:
+            add(page[text_from:])
             break
-        add(page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+        m = _TAG.match(page, start)
+        after = page[start + 1 : start + 4]
+        if m is None and not after.startswith(("!", "?", "/")):
+            at = start + 1  # a "<" of the text
+            continue
+        add(page[text_from:start])
+        if m is None:
+            # Comments, declarations and what browsers read as such.
+            at = past("-->", start + 2) if after == "!--" else past(">", start + 1)
+            text_from = at
             continue
+        at = text_from = m.end()
+        if not m[4]:
+            break
+        tag = m[2].lower()
         if m[1]:
             if inside:
-                known = next((k for k in range(len(inside) - 1, -1, -1) if inside[k] == tag), None)
-                if known is None and (tag in ("body", "html") or inline[tag] or any(t == tag for t, _ in stack)):
-                    inside.clear()  # an element around the hidden one ends
+                if not hidden[tag] and (tag in ("body", "html") or inline[tag] > 0 or open_blocks[tag] > 0):
+                    leave(0)  # an element around the hidden one ends
                 else:
-                    if known is not None:
-                        del inside[known:]
+                    if hidden[tag]:
+                        leave(last(inside, tag))
                     if tag in BLOCK_TAGS:
                         close()
                     continue
@@ -146,35 +220,37 @@ def blocks(page: str) -> list[Block]:
                 in_link = inline[tag] = 0
             elif tag in BLOCK_TAGS:
                 close()
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                if open_blocks[tag]:
+                    k = len(stack) - 1
+                    while stack[k].tag != tag:
+                        k -= 1
+                    pop(k)
             elif inline[tag]:
                 inline[tag] -= 1
             continue
         if tag == "body":
-            inside.clear()
+            leave(0)
         if inside and tag not in HEAD_TAGS:
             leave_head()
         if inside and tag in NOT_SVG:
             leave_svg()
         ended = m[3].endswith("/")
-        if tag in RAW_TAGS and not (ended and "svg" in inside):
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+        if tag in RAW_TAGS and not (ended and hidden["svg"]):
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I).search(page, at)
             stop = end.start() if end else len(page)
             if tag == "textarea":
                 close()
-                stack.append((tag, [_slot(tag)]))
+                push(tag, [_slot(tag)])
                 add(page[at:stop])
                 close()
-                stack.pop()
-            at = end.end() if end else stop
+                pop(len(stack) - 1)
+            at = text_from = end.end() if end else stop
         elif inside or tag in HIDDEN_TAGS:
             if tag in BLOCK_TAGS:
                 close()
             if not ended and tag not in VOID_TAGS:
                 inside.append(tag)
+                hidden[tag] += 1
         elif tag == "br":
             add("\n")
         elif tag == "a":
@@ -183,12 +259,12 @@ def blocks(page: str) -> list[Block]:
             close()
             if tag == "p" or tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
                 same = ("dt", "dd") if tag in ("dt", "dd") else ("td", "th") if tag in ("td", "th") else (tag,)
-                if stack and stack[-1][0] in same:
-                    stack.pop()
-            elif stack and stack[-1][0] == "p":
-                stack.pop()
+                if stack and stack[-1].tag in same:
+                    pop(len(stack) - 1)
+            elif stack and stack[-1].tag == "p":
+                pop(len(stack) - 1)
             if tag not in VOID_TAGS:
-                stack.append((tag, [_slot(tag), *_name_slots(m[3])]))
+                push(tag, [_slot(tag), *_name_slots(m[3])])
         elif tag not in VOID_TAGS:
             inline[tag] += 1
     close()
@@ -198,10 +274,38 @@ def blocks(page: str) -> list[Block]:
 # ------------------------------------------------------------------------------ vectors
 
 
-def vectors(parts: list[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Path slots and word slots of all blocks, one after the other, their starts, and the measures."""
-    path = np.array([s for b in parts for s in b.slots], np.int64)
-    path_at = np.cumsum([0, *(len(b.slots) for b in parts)])
+def path_slots(parts: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """Path slots of all blocks, one after the other, and their starts: spelt out, for training pages."""
+    spelt = [b.slots for b in parts]
+    return np.array([s for x in spelt for s in x], np.int64), np.cumsum([0, *map(len, spelt)])
+
+
+def path_means(parts: list[Block], table: np.ndarray) -> np.ndarray:
+    """Mean of the table's rows over each block's path; an element's sum is its parent's and its own, computed once."""
+    number: dict[int, int] = {}
+    nodes: list[Node] = []
+    for b in parts:
+        fresh, node = [], b.node
+        while node is not None and id(node) not in number:
+            fresh.append(node)
+            number[id(node)] = -1
+            node = node.parent
+        for node in reversed(fresh):
+            number[id(node)] = len(nodes)
+            nodes.append(node)
+    sums = np.zeros((len(nodes) + 1, table.shape[1]))  # the last row is that of no element
+    count = np.zeros(len(nodes) + 1, np.int64)
+    for k, node in enumerate(nodes):
+        up = number[id(node.parent)] if node.parent is not None else -1
+        sums[k] = sums[up] + table[node.own].sum(axis=0)
+        count[k] = count[up] + len(node.own)
+    at = np.array([number[id(b.node)] if b.node is not None else -1 for b in parts], np.int64)
+    leaf = np.array([b.leaf for b in parts], np.int64)
+    return ((sums[at] + table[leaf]) / (count[at] + 1)[:, None]).astype(np.float32)
+
+
+def vectors(parts: list[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word slots of all blocks, one after the other, their starts, and the measures."""
     words, firsts, before = [], [np.zeros(1, np.int64)], 0
     for _, _, data, offsets in slices(pa.array([b.text for b in parts], pa.string())):
         h, first = word_hashes(data, offsets)
@@ -218,7 +322,7 @@ def vectors(parts: list[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         ],
         axis=1,
     ).astype(np.float32)
-    return path, path_at, word, word_at, measures
+    return word, word_at, measures
 
 
 def _sum_rows(table: np.ndarray, slots: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -256,9 +360,12 @@ class Labeller:
             self.p |= {f"{d}_x": init(INPUT, 4 * HIDDEN), f"{d}_h": init(HIDDEN, 4 * HIDDEN), f"{d}_b": np.zeros(4 * HIDDEN, np.float32)}
             self.p[f"{d}_b"][HIDDEN : 2 * HIDDEN] = 1  # remember at first
 
-    def inputs(self, parts: list[Block]):
-        path, path_at, word, word_at, measures = vectors(parts)
-        x = np.concatenate([_sum_rows(self.p["path"], path, path_at) * 3, _sum_rows(self.p["word"], word, word_at), measures], axis=1)
+    def inputs(self, parts: list[Block], spelt: bool):
+        """Vectors of all blocks, and with ``spelt`` the slots they come from."""
+        word, word_at, measures = vectors(parts)
+        path, path_at = path_slots(parts) if spelt else (None, None)
+        paths = _sum_rows(self.p["path"], path, path_at) if spelt else path_means(parts, self.p["path"])
+        x = np.concatenate([paths * 3, _sum_rows(self.p["word"], word, word_at), measures], axis=1)
         return x, (path, path_at, word, word_at)
 
     def _run(self, x: np.ndarray, mask: np.ndarray, d: str, trace: list | None):
@@ -268,7 +375,8 @@ class Labeller:
         out = np.zeros((steps, n, HIDDEN), np.float32)
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
             z = pre[t] + h @ self.p[f"{d}_h"]
-            i, f, o = (_sigmoid(z[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
+            gates = _sigmoid(z[:, : 3 * HIDDEN])
+            i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
             g = np.tanh(z[:, 3 * HIDDEN :])
             m = mask[t][:, None]
             new_c = f * c + i * g
@@ -314,16 +422,18 @@ class Labeller:
         """Per page the probability of every block to be article text."""
         out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(pages)
         order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
-        for k in range(0, len(order), SIMILAR):
-            some = order[k : k + SIMILAR]
-            x, mask, _ = self._padded([pages[i] for i in some])
+        while order:
+            # The longest pages first, as many as fit the cells at their length.
+            many = max(1, CELLS // len(pages[order[-1]]))
+            order, some = order[:-many], order[-many:]
+            x, mask, _ = self._padded([pages[i] for i in some], spelt=False)
             _, prob = self.forward(x, mask)
             for j, i in enumerate(some):
                 out[i] = prob[: len(pages[i]), j]
         return out
 
-    def _padded(self, pages: list[list[Block]]):
-        flat, slots = self.inputs([b for p in pages for b in p])
+    def _padded(self, pages: list[list[Block]], spelt: bool):
+        flat, slots = self.inputs([b for p in pages for b in p], spelt)
         sizes = [len(p) for p in pages]
         x = np.zeros((max(sizes), len(pages), INPUT), np.float32)
         mask = np.zeros((max(sizes), len(pages)), np.float32)
@@ -339,7 +449,7 @@ class Labeller:
         for epoch in range(epochs):
             for some in np.array_split(rng.permutation(len(pages)), max(1, len(pages) // 25)):
                 use = [pages[i] for i in some]
-                x, mask, (path, path_at, word, word_at) = self._padded(use)
+                x, mask, (path, path_at, word, word_at) = self._padded(use, spelt=True)
                 y = np.zeros_like(mask)
                 for j, i in enumerate(some):
                     y[: len(labels[i]), j] = labels[i]
@@ -452,9 +562,11 @@ def labelled(page: str) -> tuple[list[Block], np.ndarray]:
     mark = _slot(".zzmark")
     y = np.array([mark not in b.slots for b in found], np.float32)
     for b in found:
-        while mark in b.slots:  # and the section before it
-            k = b.slots.index(mark)
-            del b.slots[k - 1 : k + 1]
+        slots = b.slots
+        while mark in slots:  # and the section before it
+            k = slots.index(mark)
+            del slots[k - 1 : k + 1]
+        b.spelt = slots
     return found, y
 
 
