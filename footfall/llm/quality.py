@@ -1,7 +1,8 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
 A text's features are hashed counts of word shapes (letter case, digits and punctuation with runs
-collapsed), pairs of neighbouring shapes, words repeated after one another and line lengths. A bounded
+collapsed), pairs of neighbouring shapes, words repeated after one another and line lengths, and beside them hashed
+words and runs of three bytes, which tell texts of one shape apart in any script. A bounded
 sample of labelled rows (``SAMPLE`` per label) gives the term weights, the latent space (truncated SVD) and the labelled
 vectors. Those are broadcast, and every document is scored by exact cosine products with all of them, in blocks; its ``NEIGHBOURS``
 nearest vote with weights that fall off with the distance.
@@ -20,12 +21,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from footfall.llm.words import P, mix, running, slices, word_bounds, word_hashes
 
 SAMPLE = 1500
-FEATURES = 2048
+SHAPES, CONTENT = 2048, 1024
+FEATURES = SHAPES + CONTENT
+CONTENT_WEIGHT = 0.3
 DIMENSIONS = 48
 NEIGHBOURS = 15
 WARMTH = 0.05
@@ -82,10 +85,26 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         (row, mix(shape)), (row[follows], pair[follows]), (row[again], np.full(int(again.sum()), mix(np.array([7], np.uint64))[0])),
         (row[cut], mix(np.log2(length).astype(np.uint64) + np.uint64(1 << 40))),
     ]
-    at = np.concatenate([r * FEATURES + (f % np.uint64(FEATURES)).astype(np.int64) for r, f in parts])
+    at = [r * FEATURES + (f % np.uint64(SHAPES)).astype(np.int64) for r, f in parts]
+    # Words, and runs of three bytes inside words.
+    triple = np.flatnonzero(inside[:-2] & inside[1:-1] & inside[2:]) if len(data) > 2 else np.zeros(0, np.int64)
+    b = data.astype(np.uint64)
+    code = mix(b[triple] << np.uint64(16) | b[triple + 1] << np.uint64(8) | b[triple + 2] | np.uint64(1 << 32))
+    of_row = np.searchsorted(offsets, triple, "right") - 1
+    one = triple + 2 < offsets[of_row + 1]  # not across the end of a text
+    code, of_row = code[one], of_row[one]
+    at += [r * FEATURES + SHAPES + (f % np.uint64(CONTENT)).astype(np.int64) for r, f in ((row, mix(words)), (of_row, code))]
+    at = np.concatenate(at)
     return np.bincount(at, minlength=n * FEATURES).reshape(n, FEATURES).astype(np.float32)
 
 
+def feature_blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """Features of at most ``BLOCK`` texts at a time: many short ones take no more memory than few."""
+    for a in range(0, len(offsets) - 1, BLOCK):
+        part = offsets[a : a + BLOCK + 1]
+        yield features(data[part[0] : part[-1]], part - part[0])
+
+
 @dataclass
 class Model:
     weight: np.ndarray  # per feature
@@ -112,7 +131,9 @@ class Model:
 
 
 def _weighted(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    return _unit(np.log1p(counts) * weight)
+    """Shapes and content each as a unit vector, content with less weight."""
+    x = np.log1p(counts) * weight
+    return np.concatenate([_unit(x[:, :SHAPES]), _unit(x[:, SHAPES:]) * CONTENT_WEIGHT], axis=1)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -142,7 +163,7 @@ def fit(counts: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, offsets in slices(batch.column(1)):
-            sparse = [x.astype("<f4").tobytes() for x in features(data, offsets)]
+            sparse = [x.astype("<f4").tobytes() for counts in feature_blocks(data, offsets) for x in counts]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sparse, pa.binary())], names=["label", "counts"])
 
 
@@ -150,39 +171,43 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most ``SAMPLE`` documents of each label, chosen by a hash of their id."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_q"))
     known = known.where(~held_out(F.col("_id")))
-    rows = []
-    for label in (0, 1):
-        # At most SAMPLE rows, so the list may be broadcast.
-        some = known.where(F.col("_q") == label).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
-        texts = docs.select("doc_id", "text").join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("_q", F.coalesce("text", F.lit("")).alias("text"), "_id")
-        texts = texts.groupBy("_id").agg(F.min("_q").alias("_q"), F.min("text").alias("text"))
-        rows += texts.select(F.col("_q").cast("int").alias("label"), "text").mapInArrow(_count_rows, "label int, counts binary").collect()
+    parts = [known.where(F.col("_q") == label).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE) for label in (0, 1)]
+    # At most twice SAMPLE rows, so the list may be broadcast; the documents are read once for both labels.
+    some = F.broadcast(parts[0].unionByName(parts[1]))
+    texts = docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("_id")).select("_q", F.coalesce("text", F.lit("")).alias("text"), "_id")
+    texts = texts.groupBy("_id").agg(F.min("_q").alias("_q"), F.min("text").alias("text"))
+    rows = texts.select(F.col("_q").cast("int").alias("label"), "text").mapInArrow(_count_rows, "label int, counts binary").collect()
     counts = np.array([np.frombuffer(r["counts"], "<f4") for r in rows]).reshape(len(rows), FEATURES)
     order = np.lexsort(counts.T[::-1]) if len(rows) else np.zeros(0, int)  # the order of collected rows does not matter
     return fit(counts[order], np.array([r["label"] for r in rows], np.float64)[order])
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of ``docs`` as they are, in one struct ``row``, and ``score``."""
+def scorer(docs: DataFrame, labels: DataFrame):
+    """A column function from a text to its score. Only texts go to Python, and a number comes back."""
     model = train(docs, labels)
 
-    def scored(batches):
-        for batch in batches:
-            for a, b, data, offsets in slices(batch.column(1)):
-                part = pa.array(model.score(features(data, offsets)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), part], names=["row", "score"])
+    def scored(text: pa.Array) -> pa.Array:
+        parts = [model.score(counts) for _, _, data, offsets in slices(text) for counts in feature_blocks(data, offsets)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+
+    return F.arrow_udf(scored, T.DoubleType())
+
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(scored, f"row {kind}, score double")
+def score(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with their score in a column that no other has: (docs, name of it)."""
+    name = "score"
+    while name in docs.columns:
+        name = f"_{name}"
+    return docs.withColumn(name, scorer(docs, labels)(F.col("text"))), name
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Contract columns."""
-    out = score(docs.select("doc_id", "text"), labels).select(F.col("row.doc_id").alias("doc_id"), "score")
+    out, _ = score(docs.select("doc_id", "text"), labels)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, columns as they are."""
-    return score(docs, labels).where(F.col("score") >= THRESHOLD).select("row.*")
+    scored, name = score(docs, labels)
+    return scored.where(F.col(name) >= THRESHOLD).select(*docs.columns)

@@ -3,11 +3,13 @@
 import html
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from html.parser import HTMLParser
 from pyspark.sql import functions as F
 
 from footfall.llm import html_extract as H, quality as Q
@@ -155,3 +157,112 @@ def test_labeller_on_unseen_pages():
     test = [d for d in (H.labelled(H.synthetic_page(fresh)) for _ in range(80)) if d[0]]
     got = model.label([b for b, _ in test])
     assert np.mean(np.concatenate([(p >= 0.5) == (y > 0.5) for p, (_, y) in zip(got, test)])) > 0.97
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ('<p class="a"">text one</p>', ["text one"]),
+        ("<p title=don't>one</p><p a='>'>two", ["one", "two"]),
+        ('<p a = "x>y" b=">">q<p c=\'"\'>r', ["q", "r"]),
+        ('<a href=/x?a="b>c">t</a>', ['c">t']),
+        ("a<!-->b<!--->c<!-- > -- >-->d</>e</3 x>f<?php 1 ?>g<!x>h", ["abcdefgh"]),
+        ("a<div", ["a"]),
+        ('a<div title="b>c<p>d', ["a"]),
+        ("a<!--b<p>c", ["a"]),
+        ("a < b <= c <1> d", ["a < b <= c <1> d"]),
+        ("<script>a</scriptx></script >b<TEXTAREA>c<p></TextArea\n>d", ["b", "c<p>", "d"]),
+    ],
+)
+def test_broken_markup(page, texts):
+    assert [b.text for b in H.blocks(page)] == texts
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<div>" * 200_000, "<div>x" * 60_000, "<" * 1_000_000, '<p a="' * 200_000, "<svg>" + "<g>" * 100_000 + "</x>" * 100_000, "<div>" * 2000 + "</p>" * 200_000],
+)
+def test_hostile_pages_take_linear_time(page):
+    start = time.process_time()
+    H.blocks(page)
+    assert time.process_time() - start < 6
+
+
+class Splitter(HTMLParser):
+    """Text between block tags, by the standard library's parser; good for pages without hidden or broken parts."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.text, self.skip = [], "", 0
+
+    def cut(self):
+        text = " ".join(self.text.split())
+        if text:
+            self.out.append(text)
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.skip += tag in ("head", "script", "style", "title", "noscript", "svg")
+        if tag == "br":
+            self.text += "\n"
+        elif tag in H.BLOCK_TAGS:
+            self.cut()
+
+    def handle_endtag(self, tag):
+        self.skip -= tag in ("head", "script", "style", "title", "noscript", "svg")
+        if tag in H.BLOCK_TAGS:
+            self.cut()
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.text += data
+
+
+def test_blocks_against_another_parser(spark):
+    rng = random.Random(5)
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    pages += [H.synthetic_page(rng).replace("\x01", "").replace("\x02", "") for _ in range(150)]
+    for page in pages:
+        other = Splitter()
+        other.feed(page)
+        other.close()
+        other.cut()
+        assert [" ".join(b.text.split()) for b in H.blocks(page)] == other.out
+
+
+def plain_lstm(p, x, d):
+    """One page, step by step, as the equations of the cell say."""
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    h, c, out = np.zeros(H.HIDDEN), np.zeros(H.HIDDEN), [None] * len(x)
+    for t in range(len(x)) if d == "f" else reversed(range(len(x))):
+        z = x[t] @ p[f"{d}_x"] + h @ p[f"{d}_h"] + p[f"{d}_b"]
+        i, f, o, g = sigmoid(z[: H.HIDDEN]), sigmoid(z[H.HIDDEN : 2 * H.HIDDEN]), sigmoid(z[2 * H.HIDDEN : 3 * H.HIDDEN]), np.tanh(z[3 * H.HIDDEN :])
+        c = f * c + i * g
+        h = o * np.tanh(c)
+        out[t] = h
+    return np.array(out)
+
+
+def plain_vector(p, block):
+    """Mean of the path's rows, mean of the words' rows, and the measures."""
+    words, at, measures = H.vectors([block])
+    word = p["word"][words].mean(axis=0) if len(words) else np.zeros(H.WORD_SIZE)
+    return np.concatenate([p["path"][block.slots].mean(axis=0) * 3, word, measures[0]])
+
+
+def test_labels_against_a_plain_network(monkeypatch):
+    rng = random.Random(8)
+    pages = [H.blocks(H.synthetic_page(rng)) for _ in range(12)] + [[], H.blocks("<div>" * 60 + "x" + "<div>y" * 40), H.blocks("bare")]
+    model = H.Labeller(4)
+    want = []
+    for page in pages:
+        if not page:
+            want.append(np.zeros(0))
+            continue
+        x = np.array([plain_vector(model.p, b) for b in page])
+        both = np.concatenate([plain_lstm(model.p, x, "f"), plain_lstm(model.p, x, "b"), x], axis=1)
+        want.append(1 / (1 + np.exp(-(both @ model.p["out"] + model.p["out_b"])[:, 0])))
+    for cells in (1, 100, 20_000):  # pages alone, and with others of other lengths
+        monkeypatch.setattr(H, "CELLS", cells)
+        for got, right in zip(model.label(pages), want, strict=True):
+            assert np.allclose(got, right, atol=1e-4)

@@ -61,3 +61,20 @@ def test_stages(spark, tmp_path):
             part = ids[k : k + 4096]
             want.append((i, k // 4096, k, len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part))))
     assert sorted(tuple(r) for r in kept.select("doc_id", "piece", "start", "length", "ids_crc32").collect()) == sorted(want)
+
+
+def test_stages_on_awkward_rows(spark, tmp_path):
+    """Nulls, empty and repeated rows, a very long text and clashing column names pass through every stage; so does an empty table."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long, score string, _row long, row string, length int"
+    good = next(r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect() if 400 < r["n_chars"] < 900)
+    texts = [None, "", " ", good, good, "é " * 9, good + " " + "tail word " * 30_000]
+    rows = [(i, t, "en", None, 1, "s", 2, None, 3) for i, t in enumerate(texts)] + [(3, good, "en", "b", None, "x", 5, "y", 6), (None, good, None, None, None, None, None, None, None)]
+    for docs in (spark.createDataFrame(rows, kind), spark.createDataFrame([], kind)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            assert name == "packing" or out.columns == docs.columns
+            n = out.count()
+            assert n <= max(len(rows), 1) or name == "packing"
+            assert docs.columns or n == 0
+            if docs.isEmpty():
+                assert n == 0
