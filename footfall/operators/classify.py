@@ -19,13 +19,18 @@ from footfall.session import materialize
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 
-def tokens(text: Column | str) -> Column:
-    """Lower-case words, and neighbouring characters of scripts written without spaces."""
+def tokens(text: Column | str, letters: int = 0) -> Column:
+    """Lower-case words, and neighbouring characters of scripts written without spaces; with ``letters`` also the runs of so
+    many characters inside words, which tell languages apart by few texts."""
     lower = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
     words = F.array_remove(F.split(lower, r"[^\p{L}\p{M}\p{N}]+"), "")
     runs = F.regexp_extract_all(lower, F.lit(rf"{UNSPACED}{{2,}}"), F.lit(0))
     pairs = F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.char_length(r) - 1), lambda i: F.substring(r, i, F.lit(2))))
-    return F.concat(words, F.flatten(pairs))
+    parts = [words, F.flatten(pairs)]
+    if letters:
+        runs = lambda w: F.transform(F.sequence(F.lit(0), F.char_length(w) - letters), lambda i: F.concat(F.lit("~"), F.substring(w, i + 1, F.lit(letters))))
+        parts.append(F.flatten(F.transform(F.filter(words, lambda w: F.char_length(w) >= letters), runs)))
+    return F.concat(*parts)
 
 
 @dataclass
@@ -41,10 +46,13 @@ class Node:
 class Tree:
     levels: list[str]
     features: object
+    letters: int = 0
     nodes: list[Node] = field(default_factory=list)  # parents before children
 
 
-def fit_tree(labelled: DataFrame, levels: Sequence[str], features: int = 1 << 14, iterations: int = 20, regularization: float = 0.01) -> Tree:
+def fit_tree(
+    labelled: DataFrame, levels: Sequence[str], features: int = 1 << 14, iterations: int = 20, regularization: float = 0.01, letters: int = 0
+) -> Tree:
     """Fit on rows of ``text`` and one category column per level, top level first. Rows without a category at some level
     teach the nodes above it only; of an empty tree nothing can be scored, so no labelled row at all is an error."""
     from pyspark.ml import Pipeline
@@ -54,11 +62,11 @@ def fit_tree(labelled: DataFrame, levels: Sequence[str], features: int = 1 << 14
     levels = list(levels)
     if labelled.isEmpty():
         raise ValueError("no labelled rows")
-    rows = labelled.select(tokens("text").alias("_words"), *levels)
+    rows = labelled.select(tokens("text", letters).alias("_words"), *levels)
     stages = [HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features), IDF(inputCol="_tf", outputCol="_features")]
     pipeline = Pipeline(stages=stages).fit(rows)
     rows = materialize(pipeline.transform(rows).select("_features", *levels), "classifier-rows")
-    tree = Tree(levels, pipeline)
+    tree = Tree(levels, pipeline, letters)
     parents: list[tuple[str, ...]] = [()]
     for depth, level in enumerate(levels):
         known = [F.col(c).isNotNull() for c in levels[: depth + 1]]
@@ -87,7 +95,7 @@ def classify_tree(items: DataFrame, tree: Tree, id_columns: Sequence[str], min_w
     """(id columns, level, path, tag, weight) of every category; ``path`` names its parents, '/'-joined."""
     from pyspark.ml.functions import vector_to_array
 
-    scored = tree.features.transform(items.select(*id_columns, tokens("text").alias("_words"))).select(*id_columns, "_features")
+    scored = tree.features.transform(items.select(*id_columns, tokens("text", tree.letters).alias("_words"))).select(*id_columns, "_features")
     for k, node in enumerate(tree.nodes):
         if node.model is None:
             scored = scored.withColumn(f"_p{k}", F.array(F.lit(1.0)))
