@@ -58,6 +58,10 @@ class KeyedTable(BatchTable):
             return self.spark.createDataFrame([], self._full)
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
+    def read_touched(self, batch_id: int) -> DataFrame:
+        """Entries up to a batch that is written already, of the buckets that it wrote to."""
+        return self.read(batch_id + 1, [k for b, k in self._parts("log") if b == batch_id])
+
     def totals(self, keys: Sequence[str], value: str, before: int | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
         return summed_changes(self.read(before, buckets), keys, value)
 

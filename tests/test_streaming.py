@@ -37,6 +37,30 @@ def test_item_count_in_any_order(spark, tmp_path):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+def test_item_count_keeps_its_history_in_a_table(spark, tmp_path):
+    """No state per key in tasks; folding at every batch and a batch that runs again do not show."""
+    rows = random_history(14, n=90)
+    random.Random(2).shuffle(rows)
+    table, queries = counters.count_table(spark, f"{tmp_path}/counts"), []
+
+    def start():
+        source = spark.readStream.schema(HISTORY_SCHEMA).parquet(f"{tmp_path}/in")
+        queries.append(counters.start_item_count(source, table, f"{tmp_path}/cp", P, NOW, compact_every=1, buckets=2))
+        queries[-1].awaitTermination()
+
+    for part in (rows[:40], rows[40:60], rows[60:]):
+        frame(spark, part, 2).write.mode("append").parquet(f"{tmp_path}/in")
+        start()
+    last = max((int(p.name) for p in (tmp_path / "cp/commits").iterdir() if p.name.isdigit()))
+    for name in (f"{last}", f".{last}.crc"):
+        (tmp_path / "cp/commits" / name).unlink(missing_ok=True)
+    start()
+    assert all(not p["stateOperators"] for q in queries for p in q.recentProgress)
+    want = popularity.item_count(frame(spark, rows), P)
+    got = table.totals(["bid", "item_id", "day", "group_id"], "weight").select(want.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def test_pair_count_in_any_order(spark, tmp_path):
     rows = random_history(12, n=120)
     events, table = pairs.history_table(spark, f"{tmp_path}/events"), pairs.pair_table(spark, f"{tmp_path}/pairs")
