@@ -1,98 +1,84 @@
 """Identity inside the stream: actions that carry only a uid wait for the record that names their user.
 
-Actions with a user pass at once. The others are keyed by uid: with a known user they pass, else they are held until the uid's record
-arrives, and after ``wait_seconds`` of event time they are released as user "0". Groups are looked up in a table. Resolved
-actions go to a Parquet sink, written exactly once, from which the counting jobs read their stream.
+Actions with a user pass at once. The others are looked up by uid in a bucketed table of the records so far: with a known user they
+pass, else they go to a bucketed table of waiting actions, which they leave when the uid's record arrives, or as user "0"
+once the newest action is ``wait_seconds`` younger. Everything is a join of a micro-batch with the buckets of its uids; nothing is
+kept per key in a task. Groups are looked up in a table.
+
+Resolved actions are Parquet files in one folder, from which the counting jobs read their stream. The files of a micro-batch are
+written beside it and then moved into it one by one; a batch that runs again moves what is left and computes nothing anew, so every
+action appears once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions import columns as C
 from footfall.operators.identity import UNKNOWN_USER, resolve_group
-from footfall.streaming.store import stream_settings
-
-
-class WaitForUser(StatefulProcessor):
-    """Rows of one uid: records (no ``action_time``) name the user, actions get it or wait."""
-
-    def __init__(self, columns: list[str], schema: T.StructType, wait_ms: int, delay_ms: int):
-        self.columns, self.schema, self.wait_ms, self.delay_ms = columns, schema, wait_ms, delay_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.user = handle.getValueState("user", "user_id string")
-        self.waiting = handle.getListState("waiting", self.schema)
-
-    def _rows(self, rows: list[tuple], user: str) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=self.columns)
-        out["user_id"] = user
-        return out
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.user.get()
-        user, fresh = known[0] if known else None, []
-        for part in rows:
-            records = part[part["is_record"]]
-            if len(records):
-                user = max((t, u) for t, u in zip(records["record_time"].tolist(), records["user_id"].tolist(), strict=True))[1]
-            for row in part[~part["is_record"]][self.columns].itertuples(index=False):
-                values = [None if pd.isna(v) else v for v in row]
-                fresh.append(tuple(int(v) if isinstance(f.dataType, (T.LongType, T.IntegerType)) and v is not None else v for v, f in zip(values, self.schema, strict=True)))
-        if user is not None:
-            if not known or known[0] != user:
-                self.user.update((user,))
-            held = [tuple(r) for r in self.waiting.get()]
-            if held:
-                self.waiting.clear()
-            if held or fresh:
-                yield self._rows(held + fresh, user)
-        elif fresh:
-            self.waiting.appendList(fresh)
-            at = self.columns.index("action_time")
-            # The watermark runs behind the newest event by the allowed delay.
-            self.handle.registerTimer(max(r[at] for r in fresh) * 1000 + self.wait_ms - self.delay_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = self.columns.index("action_time")
-        upto = expiredTimerInfo.getExpiryTimeInMs() - self.wait_ms + self.delay_ms
-        held = [tuple(r) for r in self.waiting.get()]
-        gone, kept = [r for r in held if r[at] * 1000 <= upto], [r for r in held if r[at] * 1000 > upto]
-        if kept:
-            self.waiting.put(kept)
-        else:
-            self.waiting.clear()
-        if gone:
-            yield self._rows(gone, UNKNOWN_USER)
-
-    def close(self) -> None:
-        pass
-
-
-def resolve_users(actions: DataFrame, records: DataFrame, wait_seconds: int, delay_seconds: int) -> DataFrame:
-    """Stream of actions with their users. ``records`` is a stream of (uid, user_id, record_time); the newest record of a
-    batch counts, and records without a valid user are passed over."""
-    columns = actions.columns
-    known = C.is_valid_user("user_id")
-    usable_uid = F.coalesce((F.col("uid") != "") & (F.col("uid") != "0"), F.lit(False))
-    extra = [F.lit(False).alias("is_record"), F.lit(None).cast("long").alias("record_time"), F.timestamp_seconds("action_time").alias("event_time")]
-    asking = actions.where(~known & usable_uid).select(*columns, *extra)
-    named = records.where(C.is_valid_user("user_id")).select(
-        *[F.col(c) if c in ("uid", "user_id") else F.lit(None).cast(actions.schema[c].dataType).alias(c) for c in columns],
-        F.lit(True).alias("is_record"),
-        F.col("record_time").cast("long").alias("record_time"),
-        F.lit(None).cast("timestamp").alias("event_time"),
-    )
-    both = asking.unionByName(named).withColumn("_uid", F.col("uid")).withWatermark("event_time", f"{delay_seconds} seconds")
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in actions.schema])
-    processor = WaitForUser(columns, schema, wait_seconds * 1000, delay_seconds * 1000)
-    resolved = both.groupBy("_uid").transformWithStateInPandas(processor, schema, "Append", "EventTime")
-    return actions.where(known).unionByName(resolved)
+from footfall.session import materialize, scratch
+from footfall.streaming.keyed import BUCKETS, KeyedTable
+from footfall.streaming.store import BatchTable
+
+FOLD_EVERY = 16  # batches
+
+
+class _Waiting:
+    """The tables of a job, below the folder of its output, where readers of that folder do not look."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, wait_seconds: int, buckets: int):
+        self.wait, self.columns = wait_seconds, schema.fieldNames()
+        self.names = KeyedTable(spark, f"{path}/_identity/names", "uid string, user_id string", ["uid"], buckets)
+        self.actions = KeyedTable(spark, f"{path}/_identity/waiting", schema, ["uid"], buckets)
+        self.clock = BatchTable(spark, f"{path}/_identity/clock", "newest long, used long")
+
+    def clocks(self, batch_id: int) -> tuple[int, int]:
+        """The newest waiting or asking action of earlier batches, and the one that the batch before went by."""
+        newest, used = self.clock.read(batch_id).agg(F.max("newest"), F.max("used")).first()
+        return newest or 0, used or 0
+
+    def tidy(self, batch_id: int) -> None:
+        _, used = self.clocks(batch_id)
+        self.clock.tidy(lambda t: t.read().agg(F.max("newest").alias("newest"), F.max("used").alias("used")), batch_id, FOLD_EVERY)
+        self.names.tidy(lambda t: t.latest(["uid"]), batch_id, FOLD_EVERY)
+        # What has left by its clock is not needed; actions whose user came stay until then.
+        self.actions.tidy(lambda t: t.read().where(F.col("action_time") + self.wait > used), batch_id, FOLD_EVERY)
+
+    def resolve(self, asking: DataFrame, records: DataFrame, batch_id: int) -> DataFrame:
+        """Actions that leave in this batch, with their user."""
+        newest, used = self.clocks(batch_id)
+        order = F.struct("record_time", "user_id")
+        self.names.append(records.groupBy("uid").agg(F.max_by("user_id", order).alias("user_id")), batch_id)
+        latest = asking.agg(F.max("action_time")).first()[0]
+        self.clock.append(self.clock.spark.createDataFrame([(max(newest, latest or 0), newest)], "newest long, used long"), batch_id)
+        uids = asking.select("uid").unionByName(records.select("uid")).distinct()
+        found = self.names.lookup(uids, batch_id + 1).groupBy("uid").agg(F.max_by("user_id", "batch").alias("_found"), F.min("batch").alias("_since"))
+        found = materialize(found, "names")
+        looked_up = materialize(asking.join(found, "uid", "left").withColumn("user_id", F.coalesce("_found", "user_id")), "looked-up")
+        self.actions.append(looked_up.where(F.col("_found").isNull()), batch_id)
+        # Who waits has no record in any earlier batch, so only uids that are new now can free them.
+        held = self.actions.read(batch_id).where(F.col("action_time") + self.wait > used)
+        freed = held.join(found.where(F.col("_since") == batch_id), "uid").withColumn("user_id", F.col("_found"))
+        expired = held.where(F.col("action_time") + self.wait <= newest)
+        known = self.names.read(batch_id + 1).select("uid")
+        given_up = expired.join(known, "uid", "left_anti").withColumn("user_id", F.lit(UNKNOWN_USER))
+        parts = [rows.select(*self.columns) for rows in (looked_up.where(F.col("_found").isNotNull()), freed, given_up)]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _publish(spark: SparkSession, path: str, batch_id: int, make) -> None:
+    """Put the files of a batch into ``path``, each once, however often the batch runs."""
+    jvm, name = spark._jvm, f"{path}/_staged/{batch_id}"
+    folder = jvm.org.apache.hadoop.fs.Path(name)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{name}/_SUCCESS")):
+        make().write.mode("overwrite").parquet(name)
+    for status in fs.listStatus(folder):
+        file = status.getPath()
+        if file.getName().startswith("part-") and not fs.rename(file, jvm.org.apache.hadoop.fs.Path(f"{path}/{file.getName()}")):
+            raise OSError(f"cannot move {file} to {path}")
+    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/_staged/{batch_id - 1}"), True)
 
 
 def start_identity(
@@ -104,21 +90,44 @@ def start_identity(
     wait_seconds: int,
     delay_seconds: int = 0,
     trigger: dict | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Write resolved actions (with ``group_id``) below ``path``. Actions that come more than ``delay_seconds`` after newer ones
-    are left out where they have to wait for a user."""
-    with stream_settings(actions.sparkSession):
-        resolved = resolve_group(resolve_users(actions, records, wait_seconds, delay_seconds), group_map)
-        return (
-            resolved.writeStream.format("parquet")
-            .option("path", path)
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-            .trigger(**(trigger or {"processingTime": "5 seconds"}))
-            .start()
-        )
+    """Write resolved actions (with ``group_id``) below ``path``.
+
+    ``records`` is a stream of (uid, user_id, record_time); the newest record of a batch counts, and records without a valid user are passed
+    over. Actions may come in any order, also more than ``delay_seconds`` late: none is left out. ``buckets`` must be the same at every start.
+    """
+    spark, columns, schema = actions.sparkSession, actions.columns, T.StructType([T.StructField(f.name, f.dataType) for f in actions.schema])
+    waiting = _Waiting(spark, path, schema, wait_seconds, buckets)
+    known = C.is_valid_user("user_id")
+    usable_uid = F.coalesce((F.col("uid") != "") & (F.col("uid") != "0"), F.lit(False))
+    named = records.select(
+        *[F.col(c) if c in ("uid", "user_id") else F.lit(None).cast(actions.schema[c].dataType).alias(c) for c in columns],
+        F.col("record_time").cast("long").alias("record_time"),
+        F.lit(True).alias("is_record"),
+    )
+    both = actions.select(*columns, F.lit(None).cast("long").alias("record_time"), F.lit(False).alias("is_record")).unionByName(named)
+
+    def resolved(batch: DataFrame, batch_id: int) -> DataFrame:
+        acted = batch.where(~F.col("is_record")).select(*columns)
+        asking = materialize(acted.where(~known & usable_uid), "asking")
+        named = materialize(batch.where(F.col("is_record") & known).select("uid", "user_id", "record_time"), "records")
+        return resolve_group(acted.where(known).unionByName(waiting.resolve(asking, named, batch_id)), group_map)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        waiting.tidy(batch_id)
+        with scratch(spark):
+            _publish(spark, path, batch_id, lambda: resolved(batch, batch_id))
+
+    return (
+        both.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
 
 
 def resolved_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The sink as a stream; ``schema`` is that of the actions, to which ``group_id`` is added."""
+    """The output as a stream; ``schema`` is that of the actions, to which ``group_id`` is added."""
     return spark.readStream.schema(T.StructType([*schema.fields, T.StructField("group_id", T.StringType())])).parquet(path)

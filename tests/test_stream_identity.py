@@ -41,3 +41,30 @@ def test_actions_wait_for_their_user(spark, tmp_path):
     whole = {r.seq: (r.user_id, r.group_id) for r in batch.resolve_identity(rows, uid_map, groups).collect()}
     assert {k: v for k, v in whole.items() if k not in (6, 13)} == {k: v for k, v in got.items() if k != 6}
     assert spark.read.parquet(f"{tmp_path}/out").count() == len(want)
+
+
+def test_late_actions_stay_and_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    """An action a day behind the newest one still gets its user; rows of a batch appear once; tasks keep no state."""
+    queries = []
+
+    def start():
+        source = spark.readStream.schema(ACTIONS).parquet(f"{tmp_path}/a")
+        lookup = spark.readStream.schema(RECORDS).parquet(f"{tmp_path}/r")
+        groups = spark.createDataFrame([("10001", "g,11,x")], "user_id string, value string")
+        queries.append(identity.start_identity(source, lookup, groups, f"{tmp_path}/out", f"{tmp_path}/cp", 48 * 3600, trigger=NOW, buckets=2))
+        queries[-1].awaitTermination()
+
+    parts = [[act(1, "0", "a", 40), act(2, "0", "b", 40)], [act(3, "0", "a", 10)], [act(4, "0", "a", 41), act(5, "0", "b", 41)]]
+    records = [[("x", "10009", 1)], [("y", "10008", 1)], [("a", "10001", 1)]]
+    for part, named in zip(parts, records, strict=True):
+        spark.createDataFrame(part, ACTIONS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/a")
+        spark.createDataFrame(named, RECORDS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/r")
+        start()
+    last = max(int(p.name) for p in (tmp_path / "cp/commits").iterdir() if p.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        (tmp_path / "cp/commits" / name).unlink(missing_ok=True)
+    start()
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").select("seq", "user_id", "group_id").collect()) == [
+        (1, "10001", "11"), (3, "10001", "11"), (4, "10001", "11")
+    ]
+    assert all(not p["stateOperators"] for q in queries for p in q.recentProgress)
