@@ -1,31 +1,36 @@
-"""Continuous lists per user: newest items and interest profiles, from keyed state.
+"""Continuous lists per user: newest items and interest profiles, from bucketed tables.
 
 Both keep what a list needs and no more: the newest ``recent_size`` items of a user form a list that merges in any
-arrival order, and a profile is a sum per tag. Tasks combine each Arrow batch before the state shuffle, so a user with a
-large share of the actions sends a few rows per batch. Changed lists are stored whole in a table bucketed by its key.
+arrival order, and a profile is a sum per tag. A micro-batch shrinks to a few rows per user first, reads the lists or sums of its
+users from their buckets and writes them anew; the merge is a window over both, and nothing is kept per key in a task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import time
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from footfall import model as M
 from footfall.functions import columns as C
 from footfall.model import Params
 from footfall.operators import content, ranking
 from footfall.operators.enrich import enrich_items
+from footfall.session import materialize, scratch
+from footfall.sources.dimensions import latest_per
 from footfall.streaming.keyed import BUCKETS, KeyedTable
-from footfall.streaming.store import stream_settings
+from footfall.streaming.store import BatchTable, newest_rows
 
 ENTRY = ["item_id", "action_type", "action_time", "seq", "platform", "lbs_info"]
 ENTRY_SCHEMA = "item_id string, action_type int, action_time long, seq long, platform string, lbs_info string"
 RECENT_SCHEMA = f"bid string, key string, rank int, {ENTRY_SCHEMA}"
 PROFILE_SCHEMA = "bid string, user_id string, rank int, tag string, weight double, level int"
+SUM_SCHEMA = "bid string, user_id string, tag string, tenths long, level int, put_at long"
 UNIT = M.PROFILE_LEVEL * M.PROFILE_LOSS / 10.0
+FOLD_EVERY = 16  # batches, where the job does not say
 
 
 def recent_table(spark: SparkSession, path: str, buckets: int = BUCKETS) -> KeyedTable:
@@ -39,48 +44,11 @@ def profile_table(spark: SparkSession, path: str, buckets: int = BUCKETS) -> Key
 # ---------------------------------------------------------------- newest items
 
 
-def _newest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The newest record per list and item of one Arrow batch."""
-    for rows in batches:
-        if len(rows):
-            yield rows.sort_values(["action_time", "seq"]).drop_duplicates(["bid", "key", "item_id"], keep="last")
-
-
-class RecentItems(StatefulProcessor):
-    """Emits a list whenever it changes, and an empty one (rank 0) when it has had no action for its lifetime."""
-
-    def __init__(self, size: int, ttl_ms: int, delay_ms: int):
-        self.size, self.ttl_ms, self.delay_ms = size, ttl_ms, delay_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.items = handle.getListState("recent", ENTRY_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = [tuple(r) for r in self.items.get()]
-        held = {r[0]: r for r in before}
-        for part in rows:
-            columns = [part[c].tolist() for c in ENTRY]
-            for item, kind, time, seq, platform, place in zip(*columns, strict=True):
-                old = held.get(item)
-                if old is None or (time, seq) > (old[2], old[3]):
-                    held[item] = (item, int(kind), int(time), int(seq), platform, place)
-        best = sorted(held.values(), key=lambda r: (-r[2], -r[3], r[0]))[: self.size]
-        if best == before:
-            return
-        self.items.put(best)
-        for time in list(self.handle.listTimers()):
-            self.handle.deleteTimer(time)
-        # The watermark runs behind the newest event by the allowed delay.
-        self.handle.registerTimer(best[0][2] * 1000 + self.ttl_ms - self.delay_ms)
-        yield pd.DataFrame([(*key, k, *r) for k, r in enumerate(best, 1)], columns=["bid", "key", "rank", *ENTRY])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.items.clear()
-        yield pd.DataFrame([(*key, 0, None, 0, 0, 0, None, None)], columns=["bid", "key", "rank", *ENTRY])
-
-    def close(self) -> None:
-        pass
+def _merged(stored: DataFrame, fresh: DataFrame, size: int) -> DataFrame:
+    """Lists of the newest items, of stored lists and new actions."""
+    newest = [F.desc("action_time"), F.desc("seq")]
+    items = latest_per(stored.select("bid", "key", *ENTRY).unionByName(fresh), ["bid", "key", "item_id"], newest)
+    return ranking.top_n(items, ["bid", "key"], [*newest, F.asc("item_id")], size)
 
 
 def start_user_recent(
@@ -94,29 +62,41 @@ def start_user_recent(
 ) -> StreamingQuery:
     """Maintain the newest-items lists from a stream of resolved actions.
 
-    Actions may come ``delay_seconds`` after newer ones (by default the retention window); what comes later is left out by
-    the watermark. Lists end ``p.recent_ttl_days`` after their newest action.
+    Actions may come in any order, also more than ``delay_seconds`` late. Lists end ``p.recent_ttl_days`` after their newest action, by the
+    newest action of earlier batches.
     """
-    delay = p.retention_seconds if delay_seconds is None else delay_seconds
-    rows = ranking.recent_rows(actions).select("bid", "key", *ENTRY).mapInPandas(_newest, f"bid string, key string, {ENTRY_SCHEMA}")
-    rows = rows.withColumn("event_time", F.timestamp_seconds("action_time")).withWatermark("event_time", f"{delay} seconds")
-    processor = RecentItems(p.recent_size, p.recent_ttl_days * M.DAY_SECONDS * 1000, delay * 1000)
-    lists = rows.groupBy("bid", "key").transformWithStateInPandas(processor, RECENT_SCHEMA, "Update", "EventTime")
+    ttl = p.recent_ttl_days * M.DAY_SECONDS
+    clock = BatchTable(table.spark, f"{table.path}/clock", "newest long, used long")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.tidy(lambda t: t.latest(["key"]).where(F.col("rank") > 0), batch_id, compact_every)
-        # A list may change and end in one batch: its end counts.
-        ended = F.min("rank").over(Window.partitionBy("key")) == 0
-        table.append(batch.withColumn("_ended", ended).where(~F.col("_ended") | (F.col("rank") == 0)), batch_id)
-
-    with stream_settings(table.spark):
-        return (
-            lists.writeStream.foreachBatch(write)
-            .outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": f"{p.flush_seconds} seconds"}))
-            .start()
-        )
+        clock.tidy(lambda t: t.read().agg(F.max("newest").alias("newest"), F.max("used").alias("used")), batch_id, compact_every or FOLD_EVERY)
+        with scratch(table.spark):
+            maintain(batch, batch_id)
+
+    def maintain(batch: DataFrame, batch_id: int) -> None:
+        newest = [F.desc("action_time"), F.desc("seq")]
+        fresh = latest_per(ranking.recent_rows(batch).select("bid", "key", *ENTRY), ["bid", "key", "item_id"], newest)
+        fresh = materialize(fresh, "newest")
+        now, used = (v or 0 for v in clock.read(batch_id).agg(F.max("newest"), F.max("used")).first())
+        latest = fresh.agg(F.max("action_time")).first()[0]
+        clock.append(clock.spark.createDataFrame([(max(now, latest or 0), now)], "newest long, used long"), batch_id)
+        # Lists whose time was up since the last batch, by their first entries: newer entries of a list overrule older ones below.
+        ending = table.read(batch_id).where((F.col("rank") == 1) & F.col("action_time").between(used - ttl + 1, now - ttl)).select("key")
+        keys = materialize(fresh.select("key").unionByName(ending).distinct(), "keys")
+        stored = newest_rows(table.lookup(keys, batch_id), ["key"]).where(F.col("rank") > 0)
+        lists = _merged(stored, fresh, p.recent_size).withColumn("_newest", F.max("action_time").over(Window.partitionBy("bid", "key")))
+        over = F.col("_newest") + ttl <= now
+        entries = [F.when(~over, F.col(c)).otherwise(F.lit(0) if c in ("action_type", "action_time", "seq") else F.lit(None)).alias(c) for c in ENTRY]
+        rows = lists.where(~over | (F.col("rank") == 1)).select("bid", "key", F.when(over, 0).otherwise(F.col("rank")).alias("rank"), *entries)
+        table.append(rows, batch_id)
+
+    return (
+        actions.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": f"{p.flush_seconds} seconds"}))
+        .start()
+    )
 
 
 def served_recent(table: KeyedTable, dim_item: DataFrame, p: Params) -> DataFrame:
@@ -130,36 +110,27 @@ def served_recent(table: KeyedTable, dim_item: DataFrame, p: Params) -> DataFram
 # ---------------------------------------------------------------- interest profiles
 
 
-def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in batches:
-        if len(rows):
-            yield rows.groupby(["bid", "user_id", "item_id"], as_index=False, sort=False).agg({"tenths": "sum"})
-
+@dataclass
+class ProfileTags:
+    """Sums per tag, each with its own lifetime, and the best tags of users."""
 
-class ProfileTags(StatefulProcessor):
-    """Sums per tag, each with its own lifetime; emits the best tags of a user whose sums change."""
+    size: int
+    ttl_ms: int
 
-    def __init__(self, size: int, ttl_ms: int):
-        self.size, self.ttl_ms = size, ttl_ms
+    def alive(self, sums: DataFrame, now_ms: int) -> DataFrame:
+        return newest_rows(sums, ["bid", "user_id", "tag"]).where(F.col("put_at") > now_ms - self.ttl_ms)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tags = handle.getMapState("tags", "tag string", "tenths long, level int", self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = {tag: (tenths, level) for (tag,), (tenths, level) in self.tags.iterator()}
-        fresh: dict[str, tuple[int, int]] = {}
-        for part in rows:
-            for tag, level, tenths in zip(part["tag"].tolist(), part["level"].tolist(), part["tenths"].tolist(), strict=True):
-                total, lowest = fresh.get(tag) or known.get(tag, (0, int(level)))
-                fresh[tag] = (total + int(tenths), min(lowest, int(level)))
-        for tag, value in fresh.items():
-            self.tags.updateValue((tag,), value)
-        best = sorted({**known, **fresh}.items(), key=lambda e: (-e[1][0], e[0]))[: self.size]
-        lists = [(*key, k, tag, round(tenths * UNIT, 6), level) for k, (tag, (tenths, level)) in enumerate(best, 1)]
-        yield pd.DataFrame(lists, columns=["bid", "user_id", "rank", "tag", "weight", "level"])
+    def summed(self, stored: DataFrame, fresh: DataFrame) -> DataFrame:
+        """All sums of the users, and whether they are ``_new``."""
+        columns = ["bid", "user_id", "tag", "tenths", "level"]
+        rows = stored.select(*columns, F.lit(False).alias("_new")).unionByName(fresh.select(*columns, F.lit(True).alias("_new")))
+        return rows.groupBy("bid", "user_id", "tag").agg(
+            F.sum("tenths").alias("tenths"), F.min("level").alias("level"), F.max("_new").alias("_new")
+        )
 
-    def close(self) -> None:
-        pass
+    def best(self, sums: DataFrame) -> DataFrame:
+        ranked = ranking.top_n(sums, ["bid", "user_id"], [F.desc("tenths"), F.asc("tag")], self.size)
+        return ranked.withColumn("weight", F.round(F.col("tenths") * F.lit(UNIT), 6))
 
 
 def start_user_profile(
@@ -175,33 +146,38 @@ def start_user_profile(
 ) -> StreamingQuery:
     """Maintain the best tags of every user from a stream of resolved actions and a table of item tags.
 
-    State holds the full sums, so a tag that was out of the list comes back with all its weight. A tag that gets no
+    The full sums are stored beside the lists, so a tag that was out of the list comes back with all its weight. A tag that gets no
     weight for ``p.profile_ttl_days`` is forgotten.
     """
-    rows = actions.where(C.is_valid_user("user_id") & C.is_valid_item("item_id"))
-    weighted = (
-        content.with_profile_weight(rows, override)
-        .select("bid", "user_id", "item_id", F.col("_tenths").cast("long").alias("tenths"))
-        .where(F.col("tenths") > 0)
-        .mapInPandas(_summed, "bid string, user_id string, item_id string, tenths long")
-    )
+    user = ["bid", "user_id"]
+    profile = ProfileTags(p.profile_size, p.profile_ttl_days * M.DAY_SECONDS * 1000)
+    sums = KeyedTable(table.spark, f"{table.path}/sums", SUM_SCHEMA, user, table.buckets)
     tagged = content.drop_denied_tags(tags.select("bid", "item_id", "tag", "level").distinct(), denied)
-    rows = weighted.join(tagged, ["bid", "item_id"])
-    processor = ProfileTags(p.profile_size, p.profile_ttl_days * M.DAY_SECONDS * 1000)
-    lists = rows.groupBy("bid", "user_id").transformWithStateInPandas(processor, PROFILE_SCHEMA, "Update", "ProcessingTime")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.tidy(lambda t: t.latest(["bid", "user_id"]), batch_id, compact_every)
-        table.append(batch, batch_id)
-
-    with stream_settings(table.spark):
-        return (
-            lists.writeStream.foreachBatch(write)
-            .outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": f"{p.flush_seconds} seconds"}))
-            .start()
-        )
+        now = int(time.time() * 1000)
+        table.tidy(lambda t: t.latest(user), batch_id, compact_every)
+        sums.tidy(lambda t: profile.alive(t.read(), now), batch_id, compact_every or FOLD_EVERY)
+        with scratch(table.spark):
+            maintain(batch, batch_id, now)
+
+    def maintain(batch: DataFrame, batch_id: int, now: int) -> None:
+        rows = batch.where(C.is_valid_user("user_id") & C.is_valid_item("item_id"))
+        weighted = content.with_profile_weight(rows, override).where(F.col("_tenths") > 0).groupBy(*user, "item_id")
+        items = weighted.agg(F.sum("_tenths").cast("long").alias("tenths"))
+        fresh = items.join(tagged, ["bid", "item_id"]).groupBy(*user, "tag")
+        fresh = materialize(fresh.agg(F.sum("tenths").alias("tenths"), F.min("level").alias("level")), "tag-sums")
+        stored = profile.alive(sums.lookup(fresh.select(*user).distinct(), batch_id), now)
+        after = materialize(profile.summed(stored, fresh), "profiles")
+        sums.append(after.where("_new").withColumn("put_at", F.lit(now).cast("long")), batch_id)
+        table.append(profile.best(after), batch_id)
+
+    return (
+        actions.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": f"{p.flush_seconds} seconds"}))
+        .start()
+    )
 
 
 def served_profiles(table: KeyedTable) -> DataFrame:

@@ -143,6 +143,33 @@ def test_user_recent_in_any_order(spark, tmp_path):
     assert sorted(got.collect()) == sorted(want.collect()) and {"platform", "lbs_info"} <= set(want.columns)
 
 
+def test_user_lists_keep_nothing_per_key_in_tasks(spark, tmp_path):
+    """Lists are merged from tables: no state, also for actions later than the delay, and a batch that runs again."""
+    act = lambda seq, user, day, item="i1": (seq, "1", user, "u", item, 5, START + day * DAY, "p", "l")
+    p, queries = Params(as_of=START + 7 * DAY, recent_size=3), []
+    table = users.recent_table(spark, f"{tmp_path}/recent", 2)
+    profiles = users.profile_table(spark, f"{tmp_path}/profiles", 2)
+    tags = spark.createDataFrame([("1", f"i{k}", f"t{k % 2}", 0) for k in range(4)], "bid string, item_id string, tag string, level int")
+
+    def start(s):
+        queries.append(users.start_user_profile(s, tags, profiles, f"{tmp_path}/cp2", p, trigger=NOW, compact_every=1))
+        queries[-1].awaitTermination()
+        queries.append(users.start_user_recent(s, table, f"{tmp_path}/cp", p, 60, trigger=NOW, compact_every=1))
+        return queries[-1]
+
+    parts = [[act(1, "10001", 6), act(2, "10001", 6, "i2")], [act(3, "10001", 2, "i3")]]
+    run_parts(spark, tmp_path, parts, ACTIONS, start)
+    for name in ("cp", "cp2"):
+        kill_last_commit(tmp_path / name)
+    start(spark.readStream.schema(ACTIONS).parquet(f"{tmp_path}/in")).awaitTermination()
+    assert all(not x["stateOperators"] for q in queries for x in q.recentProgress)
+    rows = spark.createDataFrame([r for part in parts for r in part], ACTIONS)
+    got = users.served_recent(table, items(spark), p)
+    assert sorted((r["rank"], r.item_id) for r in got.collect()) == [(1, "i2"), (2, "i1"), (3, "i3")]
+    want = content.profile_top_tags(content.user_profile(rows, tags, p), p)
+    assert sorted(users.served_profiles(profiles).select(want.columns).collect()) == sorted(want.collect())
+
+
 def test_recent_lists_end(spark, tmp_path):
     act = lambda seq, user, day, item="i1": (seq, "1", user, "u", item, 5, START + day * DAY, "p", "l")
     p = Params(as_of=START)
