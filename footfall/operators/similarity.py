@@ -195,11 +195,13 @@ def item_neighbours(history: DataFrame, p: Params, days: int | None = None) -> D
     )
 
 
-def _similar(pairs: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs joined with the totals of both items, and their cosine."""
+def _similar(pairs: DataFrame, totals: DataFrame, keys: list[str], tasks: int | None = None) -> DataFrame:
+    """Pairs joined with the totals of both items, and their cosine; ``tasks`` sets the number of tasks a join gets."""
+    dealt = lambda side, by: side.repartition(tasks, *keys, by) if tasks else side
     first = totals.select(*keys, F.col("item_id").alias("item_a"), F.col("weight").alias("_a"))
     second = totals.select(*keys, F.col("item_id").alias("item_b"), F.col("weight").alias("_b"))
-    joined = pairs.join(first, [*keys, "item_a"]).join(second, [*keys, "item_b"])
+    joined = dealt(pairs, "item_a").join(dealt(first, "item_a"), [*keys, "item_a"])
+    joined = dealt(joined, "item_b").join(dealt(second, "item_b"), [*keys, "item_b"])
     return joined.withColumn("weight", C.cosine_weight("weight", "_a", "_b")).drop("_a", "_b")
 
 
@@ -229,20 +231,30 @@ def item_cf(pairs: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def basket_cf(rows: DataFrame, basket: str, item: str, p: Params) -> DataFrame:
+PAIRS_PER_TASK = 500_000
+
+
+def basket_cf(rows: DataFrame, basket: str, item: str, p: Params, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
     """Cosine similarity of items that share baskets, both directions.
 
     The self-join is on the basket with one order of each pair; a basket with very
-    many items is cut by the first item, so its pairs spread over tasks.
+    many items is cut by the first item, so its pairs spread over tasks. The number of
+    tasks follows the number of pairs, so the memory of one does not grow with the input;
+    pairs are counted where the shuffle has put them, since few of them repeat within a task.
     """
-    members = rows.select(F.col(basket).alias("basket"), F.col(item).alias("item_id")).distinct()
+    members = materialize(rows.select(F.col(basket).alias("basket"), F.col(item).alias("item_id")).distinct(), "baskets")
     totals = members.groupBy("item_id").agg(F.count("*").cast("double").alias("weight"))
+    size = F.col("count").cast("double")
+    n_rows, n_pairs = members.groupBy("basket").count().agg(F.sum(size), F.sum(size * (size - 1) / 2)).first()
+    tasks = int(max(n_rows or 0, n_pairs or 0) // pairs_per_task) + 1
     left, right = S.split_hot(members, members, ["basket"], "item_id", p)
+    left, right = (side.repartition(tasks, "basket", "salt") for side in (left, right))
     pairs = (
         left.withColumnRenamed("item_id", "item_a")
         .join(right.withColumnRenamed("item_id", "item_b"), ["basket", "salt"])
         .where(F.col("item_a") < F.col("item_b"))
+        .repartition(tasks, "item_a", "item_b")
         .groupBy("item_a", "item_b")
         .agg(F.count("*").cast("double").alias("weight"))
     )
-    return _both_ways(_similar(pairs, totals, []), [])
+    return _both_ways(_similar(pairs, totals, [], tasks), [])

@@ -128,3 +128,15 @@ def test_arrival_number_out_of_range_fails(spark):
     row[6] = 1 << 46
     with pytest.raises(Exception, match="seq out of range"):
         S.segments(frame(spark, [tuple(row)]), P).collect()
+
+
+def test_basket_tasks_follow_the_pairs(spark):
+    """More pairs, more tasks, the same result; a task's share of the pairs stays bounded."""
+    rows = spark.range(600).select((F.col("id") % 40).alias("b"), F.pmod(F.hash("id"), F.lit(50)).alias("i"))
+    few, many = similarity.basket_cf(rows, "b", "i", P), similarity.basket_cf(rows, "b", "i", P, pairs_per_task=50)
+    assert sorted(few.collect()) == sorted(many.collect())
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    members = rows.distinct()
+    other = members.withColumnRenamed("i", "j")
+    n = members.join(other, "b").where("i < j").count()
+    assert "RepartitionByExpression [item_a#" in plan and f", {n // 50 + 1}" in plan
