@@ -110,12 +110,13 @@ def pair_total(history: DataFrame, p: Params) -> DataFrame:
     return by_group(contributions.where(F.col("day") >= oldest), ["bid", "item_a", "item_b"])
 
 
-def pair_increment(history: DataFrame, p: Params, days: int | None = None) -> DataFrame:
+def pair_increment(history: DataFrame, p: Params, days: int | None = None, fresh: DataFrame | None = None) -> DataFrame:
     """Variant without per-user pair contributions: only an action that is stronger than
     every earlier one on its item in the link window adds to the item's pairs.
 
     Such an action is always the first of its slot and weight, so the candidates come
-    out of the segments and never out of single events.
+    out of the segments and never out of single events. With ``fresh``, a part of ``history``, only
+    its actions add.
     """
     rows = S.since(S.countable(history), p, days)
     segs = materialize(S.segments(rows.where(F.col("weight") > 0), p), "segments")
@@ -128,6 +129,9 @@ def pair_increment(history: DataFrame, p: Params, days: int | None = None) -> Da
         F.col("day").alias("new_day"),
         C.epoch_day(F.col("first_time") - p.link_seconds).alias("shift"),
     )
+    if fresh is not None:
+        position = [*USER, "item_id", "action_time", "seq"]
+        first = first.join(fresh.select(*position).distinct(), position, "left_semi")
     # A row is offered to the days it can be linked from, so an action meets the rows of a few days, however long the history.
     earlier = segs.select(
         *USER,

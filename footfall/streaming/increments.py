@@ -1,105 +1,66 @@
 """Continuous pair increments, the variant without per-user pair contributions.
 
-For every item of a user the state holds a queue of (time, weight, day) inside the link window whose weights fall with time: an entry that
-a later one reaches is never the best again. The queue's first entry in the window is the item's best, so state has at
-most items x weights entries. An action that beats all earlier ones on its item adds to the pairs with the user's other items in the
-window. A user's state ends by a timer when the window has passed the last action.
+What an action adds depends on earlier actions of its user alone. So a micro-batch is put to the history of its users inside the
+link window, which lies in a table bucketed by user, and the batch operator gives what the batch's actions add.
 
 Events must arrive in order over the micro-batches; inside one any order will do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import replace
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from footfall import model as M
-from footfall.model import Params
-from footfall.operators import segments as S
-from footfall.operators.popularity import by_group
+from footfall.model import HISTORY_SCHEMA, Params
+from footfall.operators import segments as S, similarity
+from footfall.session import materialize, scratch
 from footfall.streaming.keyed import BUCKETS, KeyedTable
 from footfall.streaming.pairs import PAIR_KEY, PAIR_SCHEMA
-from footfall.streaming.store import stream_settings
 
-STEP_SCHEMA = "bid string, user_id string, group_id string, item_a string, item_b string, epoch_day int, tenths int"
-QUEUE_SCHEMA = "times array<long>, seqs array<long>, tenths array<int>"
+EVENT_COLUMNS = [f.name for f in HISTORY_SCHEMA.fields]
+FOLD_EVERY = 16  # batches, where the job does not say
 
 
 def pair_table(spark: SparkSession, path: str, buckets: int = BUCKETS) -> KeyedTable:
     return KeyedTable(spark, path, PAIR_SCHEMA, ["bid", "item_a", "item_b"], buckets)
 
 
-class LinkWindow(StatefulProcessor):
-    def __init__(self, link_seconds: int):
-        self.link = link_seconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.queues = handle.getMapState("queues", "item string", QUEUE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = []
-        for part in rows:
-            columns = ("action_time", "seq", "item_id", "tenths", "impression")
-            events += zip(*(part[c].tolist() for c in columns), strict=True)
-        queues = {item: list(zip(*q, strict=True)) for (item,), q in self.queues.iterator()}
-        changed, out = set(), []
-        for time, seq, item, tenths, impression in sorted(events):
-            own = queues.get(item, [])
-            shift, day = (time - self.link) // M.DAY_SECONDS, time // M.DAY_SECONDS
-            beaten = any(w >= tenths and (t, s) < (time, seq) and t // M.DAY_SECONDS >= shift for t, s, w in own)
-            if not impression and not beaten:
-                for other, queue in queues.items():
-                    seen = [(w, t // M.DAY_SECONDS) for t, s, w in queue if t > time - self.link] if other != item else []
-                    if seen:
-                        best, its_day = max(seen)
-                        out.append((*key, min(item, other), max(item, other), min(day, its_day), min(tenths, best)))
-            # Whole days stay, since an earlier action of the shift day still beats.
-            queues[item] = [e for e in own if e[2] > tenths and e[0] // M.DAY_SECONDS >= shift] + [(time, seq, tenths)]
-            changed.add(item)
-        last = max(e[0] for e in events)
-        for item, queue in list(queues.items()):
-            alive = [e for e in queue if e[0] // M.DAY_SECONDS >= (last - self.link) // M.DAY_SECONDS]
-            if not alive:
-                self.queues.removeKey((item,))
-            elif item in changed:
-                self.queues.updateValue((item,), tuple(list(c) for c in zip(*alive, strict=True)))
-        for time in list(self.handle.listTimers()):
-            self.handle.deleteTimer(time)
-        self.handle.registerTimer((last + self.link + M.DAY_SECONDS) * 1000)
-        if out:
-            yield pd.DataFrame(out, columns=["bid", "user_id", "group_id", "item_a", "item_b", "epoch_day", "tenths"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.queues.clear()
-        yield pd.DataFrame([], columns=["bid", "user_id", "group_id", "item_a", "item_b", "epoch_day", "tenths"])
-
-    def close(self) -> None:
-        pass
+def _reach(time: int, p: Params) -> int:
+    """Start of the oldest day that an action at ``time`` looks back to."""
+    return (time - p.link_seconds) // M.DAY_SECONDS * M.DAY_SECONDS
 
 
 def start_pair_increment(
     history: DataFrame, table: KeyedTable, checkpoint: str, p: Params, trigger: dict | None = None, compact_every: int = 0
 ) -> StreamingQuery:
     """Maintain pair increments per day and group from a history stream that comes in order."""
-    rows = S.countable(history).where(F.col("weight") > 0).select(*S.USER, "item_id", "action_time", "seq", "impression", S.tenths().alias("tenths"))
-    rows = rows.withColumn("event_time", F.timestamp_seconds("action_time")).withWatermark("event_time", "0 seconds")
-    steps = rows.groupBy(*S.USER).transformWithStateInPandas(LinkWindow(p.link_seconds), STEP_SCHEMA, "Update", "EventTime")
+    events = KeyedTable(table.spark, f"{table.path}/events", HISTORY_SCHEMA, ["bid", "user_id"], table.buckets)
+
+    def fold(rows: DataFrame) -> DataFrame:
+        newest = rows.agg(F.max("action_time")).first()[0]
+        return rows if newest is None else rows.where(F.col("action_time") >= _reach(newest, p))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.tidy(lambda t: t.totals(PAIR_KEY, "weight"), batch_id, compact_every)
-        day = (F.date_format(F.date_from_unix_date("epoch_day"), "yyyyMMdd")).cast("long")
-        pairs = batch.select("bid", "group_id", "item_a", "item_b", day.alias("day"), (F.col("tenths") / 10.0).alias("weight"))
-        table.append(by_group(pairs, ["bid", "item_a", "item_b", "day"]), batch_id)
-
-    with stream_settings(table.spark):
-        return (
-            steps.writeStream.foreachBatch(write)
-            .outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": f"{p.flush_seconds} seconds"}))
-            .start()
-        )
+        events.tidy(lambda t: fold(t.read()), batch_id, compact_every or FOLD_EVERY)
+        with scratch(table.spark):
+            maintain(batch, batch_id)
+
+    def maintain(batch: DataFrame, batch_id: int) -> None:
+        fresh = materialize(S.countable(batch).where(F.col("weight") > 0).select(*EVENT_COLUMNS), "batch")
+        events.append(fresh, batch_id)
+        oldest, newest = fresh.agg(F.min("action_time"), F.max("action_time")).first()
+        now = replace(p, as_of=max(p.as_of, newest or 0))
+        stored = events.lookup(fresh.select("bid", "user_id").distinct(), batch_id).where(F.col("action_time") >= _reach(oldest or 0, p))
+        rows = materialize(stored.select(*EVENT_COLUMNS).unionByName(fresh), "history")
+        table.append(similarity.pair_increment(rows, now, fresh=fresh), batch_id)
+
+    return (
+        history.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": f"{p.flush_seconds} seconds"}))
+        .start()
+    )

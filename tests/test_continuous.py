@@ -115,6 +115,21 @@ def test_pair_increment_in_order(spark, tmp_path, link):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+def test_pair_increment_keeps_nothing_per_user_in_tasks(spark, tmp_path):
+    rows = random_history(62, n=60, days=4)
+    p = Params(as_of=START)  # the clock moves on with the events
+    table = increments.pair_table(spark, f"{tmp_path}/pairs", 2)
+    for part in (rows[:40], rows[40:]):
+        frame(spark, part, 2).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(HISTORY_SCHEMA).parquet(f"{tmp_path}/in")
+        query = increments.start_pair_increment(source, table, f"{tmp_path}/cp", p, NOW)
+        query.awaitTermination()
+        assert all(not x["stateOperators"] for x in query.recentProgress)
+    want = similarity.pair_increment(frame(spark, rows), replace(p, as_of=START + 9 * DAY))
+    got = table.totals(["bid", "item_a", "item_b", "day", "group_id"], "weight").select(want.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def actions(rows):
     """Actions of HISTORY_SCHEMA rows: every third has no user but a uid."""
     return [
