@@ -44,12 +44,15 @@ def nest_results(lists: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def recent_rows(actions: DataFrame) -> DataFrame:
     """Actions that enter a list of newest items, with the list's key: the user's, or the uid's where the user is
-    unknown. Recommend actions are left out."""
+    unknown. Recommend actions are left out. Without ``platform`` or ``lbs_info`` these are null."""
     by_user = C.is_valid_user("user_id")
     by_uid = (F.col("uid") != "") & (F.col("uid") != "0")
     key = F.when(by_user, C.join_key("bid", "user_id", F.lit(M.LIST_RECENT_BY_USER))).when(
         by_uid, C.join_key("bid", "uid", F.lit(M.LIST_RECENT_BY_UID))
     )
+    for place in ("platform", "lbs_info"):
+        if place not in actions.columns:
+            actions = actions.withColumn(place, F.lit(None).cast("string"))
     return (
         actions.where(C.is_valid_item("item_id") & ~C.is_recommend_action("action_type"))
         .select("bid", key.alias("key"), "item_id", "action_type", "action_time", "seq", "platform", "lbs_info")
