@@ -18,6 +18,12 @@ from footfall.session import materialize
 
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
+TASKS_PER_CORE = 4
+
+
+def _tasks(rows: DataFrame) -> int:
+    return TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism
+
 
 def tokens(text: Column | str, letters: int = 0) -> Column:
     """Lower-case words, and neighbouring characters of scripts written without spaces; with ``letters`` also the runs of so
@@ -26,10 +32,13 @@ def tokens(text: Column | str, letters: int = 0) -> Column:
     words = F.array_remove(F.split(lower, r"[^\p{L}\p{M}\p{N}]+"), "")
     runs = F.regexp_extract_all(lower, F.lit(rf"{UNSPACED}{{2,}}"), F.lit(0))
     pairs = F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.char_length(r) - 1), lambda i: F.substring(r, i, F.lit(2))))
-    parts = [words, F.flatten(pairs)]
+    # All these scripts lie above U+0E00; other texts are spared the search.
+    far = lower.rlike(r"[\x{0E00}-\x{10FFFF}]")
+    parts = [words, F.when(far, F.flatten(pairs)).otherwise(F.array().cast("array<string>"))]
     if letters:
-        runs = lambda w: F.transform(F.sequence(F.lit(0), F.char_length(w) - letters), lambda i: F.concat(F.lit("~"), F.substring(w, i + 1, F.lit(letters))))
-        parts.append(F.flatten(F.transform(F.filter(words, lambda w: F.char_length(w) >= letters), runs)))
+        # A lookahead matches at every letter, so one pass finds overlapping runs.
+        runs = F.regexp_extract_all(lower, F.lit(rf"(?=([\p{{L}}\p{{M}}\p{{N}}]{{{letters}}}))"), F.lit(1))
+        parts.append(F.transform(runs, lambda r: F.concat(F.lit("~"), r)))
     return F.concat(*parts)
 
 
@@ -55,18 +64,21 @@ def fit_tree(
 ) -> Tree:
     """Fit on rows of ``text`` and one category column per level, top level first. Rows without a category at some level
     teach the nodes above it only; of an empty tree nothing can be scored, so no labelled row at all is an error."""
-    from pyspark.ml import Pipeline
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, IDF, StringIndexer
 
     levels = list(levels)
-    if labelled.isEmpty():
+    counts = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
+    # Cutting words and letters costs most: the texts are dealt to all cores, however few files they come from, and read once.
+    rows = labelled.repartition(_tasks(labelled))
+    rows = counts.transform(rows.select(tokens("text", letters).alias("_words"), *levels)).select("_tf", *levels)
+    rows = materialize(rows, "classifier-rows")
+    if rows.isEmpty():
         raise ValueError("no labelled rows")
-    rows = labelled.select(tokens("text", letters).alias("_words"), *levels)
-    stages = [HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features), IDF(inputCol="_tf", outputCol="_features")]
-    pipeline = Pipeline(stages=stages).fit(rows)
-    rows = materialize(pipeline.transform(rows).select("_features", *levels), "classifier-rows")
-    tree = Tree(levels, pipeline, letters)
+    idf = IDF(inputCol="_tf", outputCol="_features").fit(rows)
+    rows = idf.transform(rows).select("_features", *levels)
+    tree = Tree(levels, PipelineModel([counts, idf]), letters)
     parents: list[tuple[str, ...]] = [()]
     for depth, level in enumerate(levels):
         known = [F.col(c).isNotNull() for c in levels[: depth + 1]]
@@ -95,6 +107,7 @@ def classify_tree(items: DataFrame, tree: Tree, id_columns: Sequence[str], min_w
     """(id columns, level, path, tag, weight) of every category; ``path`` names its parents, '/'-joined."""
     from pyspark.ml.functions import vector_to_array
 
+    items = items.select(*id_columns, "text").repartition(_tasks(items), *id_columns)
     scored = tree.features.transform(items.select(*id_columns, tokens("text", tree.letters).alias("_words"))).select(*id_columns, "_features")
     for k, node in enumerate(tree.nodes):
         if node.model is None:

@@ -40,3 +40,23 @@ def test_tokens(spark):
     rows = spark.createDataFrame([("Ab c-d 9", 1), ("今天好 x", 2), (None, 3), ("ไทย", 4)], "text string, k int")
     got = {r.k: sorted(r.t) for r in rows.select("k", classify.tokens("text").alias("t")).collect()}
     assert got[1] == ["9", "ab", "c", "d"] and {"今天", "天好", "x"} <= set(got[2]) and got[3] == [] and "ไท" in got[4]
+
+
+def test_letters_of_words(spark):
+    texts = ["Ab cde-fghi 9", "𝒳𝒴𝒵𝒳 ab", "", "éàü12 · x", "今天好 abc"]
+    rows = spark.createDataFrame([(t, k) for k, t in enumerate(texts)], "text string, k int")
+    got = {r.k: [t for t in r.t if t.startswith("~")] for r in rows.select("k", classify.tokens("text", 3).alias("t")).collect()}
+    assert got == {0: ["~cde", "~fgh", "~ghi"], 1: ["~𝒳𝒴𝒵", "~𝒴𝒵𝒳"], 2: [], 3: ["~éàü", "~àü1", "~ü12"], 4: ["~今天好", "~abc"]}
+
+
+def test_labelled_texts_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    labelled = spark.createDataFrame(ROWS, "text string, top string, sub string").withColumn("text", counted("text"))
+    classify.fit_tree(labelled, ["top", "sub"], features=1 << 10)
+    assert read.value == len(ROWS)
