@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from footfall import model as M
 from footfall.functions import columns as C
 from footfall.model import Params
+from footfall.session import materialize
 
 USER = ["bid", "user_id", "group_id"]
 SPAN = 100_000  # room for an epoch day below a packed weight
@@ -128,9 +129,10 @@ def triggers(history: DataFrame, p: Params) -> DataFrame:
 
 def hot_keys(rows: DataFrame, keys: list[str], p: Params) -> DataFrame:
     """Keys with more than ``rows_per_split`` rows, and their number of rows: at most
-    rows / rows_per_split of them. Spark broadcasts the list where its measured size allows."""
+    rows / rows_per_split of them. The list is written, so that Spark knows its size when it plans the joins with it
+    and broadcasts it where that allows; large sides are then not sorted and shuffled for a few keys."""
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return counts.where(F.col("_rows") > p.rows_per_split)
+    return materialize(counts.where(F.col("_rows") > p.rows_per_split), "hot-keys")
 
 
 def session_ends(segs: DataFrame, p: Params) -> DataFrame:
@@ -153,7 +155,7 @@ def _before(values: Column, value: Column) -> Column:
     return F.coalesce(F.array_max(F.filter(values, lambda v: v < value)), F.lit(-1).cast("long"))
 
 
-def thin(triggers: DataFrame, segs: DataFrame, p: Params) -> DataFrame:
+def thin(triggers: DataFrame, segs: DataFrame, p: Params, hot: DataFrame) -> DataFrame:
     """Drop triggers of hot (user, shift) groups that cannot be the last one for any pair.
 
     Pairs only need the last trigger per item, other item and shift at which the other
@@ -162,11 +164,12 @@ def thin(triggers: DataFrame, segs: DataFrame, p: Params) -> DataFrame:
     minutes with such an end are kept apart; so are runs of other minutes between two
     such minutes of an hour, and runs of hours without any end. What stays depends on
     the number of items and session ends of a day, not on its number of actions.
+    ``hot`` are the ``hot_keys`` of the triggers by (user, shift).
     """
     group = [*USER, "shift"]
-    hot = hot_keys(triggers, group, p).select(*group, F.lit(True).alias("_hot"))
+    hot = hot.select(*group, F.lit(True).alias("_hot"))
     flagged = triggers.join(hot, group, "left")
-    ends = session_ends(segs, p).join(hot, group)
+    ends = session_ends(segs.join(hot.select(*USER).distinct(), USER, "left_semi"), p).join(hot, group)
     minute, hour = F.floor(F.col("end_time") / 60), F.floor(F.col("end_time") / 3600)
     # At most 25 hours per group and 60 minutes per hour.
     hours = ends.groupBy(*group).agg(F.collect_set(hour).alias("_hours"))
@@ -220,7 +223,7 @@ def split_hot(
     Keys with more than ``rows_per_split`` left rows are cut into enough parts by a
     hash of ``spread_by``; the right side of such keys is repeated once per part. All
     other keys have the single part 0. ``load`` may stand in for ``left`` when counting: an earlier
-    form of it with at least as many rows per key, whose shuffle is there already.
+    form of it with at least as many rows per key, or its rows of all keys that can be hot.
     """
     hot = hot_keys(left if load is None else load, keys, p).select(
         *keys, F.ceil(F.col("_rows") / p.rows_per_split).cast("int").alias("_parts")

@@ -49,11 +49,15 @@ def user_pair_weight(history: DataFrame, p: Params, days: int | None = None) ->
     replace each other, so one candidate per pair, direction and shift day is enough:
     the join result collapses to that in the join's own partitions.
     """
-    rows = S.since(S.countable(history), p, days)
-    # Both compact forms are used several times below: write them once.
+    # The history feeds two compact forms, and both are used several times below: each is written once.
+    rows = materialize(S.since(S.countable(history), p, days).select(*USER, "item_id", "action_time", "seq", "weight", "impression"), "history")
     compact = materialize(S.segments(rows.where(F.col("weight") > 0), p), "segments")
     segs = S.by_shift(compact, p)
-    triggers = S.thin(materialize(S.triggers(rows, p), "triggers"), compact, p)
+    triggers = materialize(S.triggers(rows, p), "triggers")
+    hot = S.hot_keys(triggers, [*USER, "shift"], p)
+    triggers = S.thin(triggers, compact, p, hot)
+    # Thinning adds no rows, so no other group can have become hot.
+    load = triggers.join(hot.select(*USER, "shift"), [*USER, "shift"], "left_semi")
 
     own = segs.select(*USER, "item_id", "shift", "tenths", "day", "first_time", "first_seq", "last_time")
     with_own = (
@@ -63,7 +67,7 @@ def user_pair_weight(history: DataFrame, p: Params, days: int | None = None) ->
         .agg(F.max(S.pack(F.col("tenths"), F.col("day"))).alias("own"))
     )
 
-    pairs = co_occurrence(with_own, segs, p, load=triggers)
+    pairs = co_occurrence(with_own, segs, p, load=load)
     # Order: time, then the other item's (weight, day); the own (weight, day) rides along.
     offset = F.col("action_time") - p.link_seconds - F.col("shift") * F.lit(M.DAY_SECONDS).cast("long")
     order = _stack(offset, F.col("tenths"), _WEIGHT_BITS)

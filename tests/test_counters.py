@@ -46,6 +46,29 @@ def test_salting_changes_nothing(spark):
         assert sorted(fn(rows, P).collect()) == sorted(fn(rows, split).collect())
 
 
+@pytest.mark.parametrize("split", [1_000_000, 5])
+def test_pair_weight_reads_the_history_once(spark, split):
+    rows = random_history(3)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(user):
+        read.add(1)
+        return user
+
+    history = frame(spark, rows).withColumn("user_id", counted("user_id"))
+    similarity.user_pair_weight(history, replace(P, rows_per_split=split)).collect()
+    assert 0 < read.value <= len(rows)
+
+
+def test_hot_keys_are_few_written_rows(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 900, "u").otherwise(F.col("id").cast("string")).alias("k"))
+    hot = S.hot_keys(rows, ["k"], replace(P, rows_per_split=100))
+    assert [tuple(r) for r in hot.collect()] == [("u", 900)]
+    plan = rows.join(hot, "k", "left")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "FileScan parquet" in plan
+
+
 def test_split_hot_spreads_a_hot_key(spark):
     left = spark.range(1000).select(F.lit("u").alias("k"), F.concat(F.lit("i"), "id").alias("item"))
     right = spark.createDataFrame([("u", 1), ("u", 2), ("v", 3)], "k string, x int")
