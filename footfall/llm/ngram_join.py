@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.llm.components import components
 from footfall.llm.words import mix, shingle_sets, slices
-from footfall.session import discard, materialize, scratch
+from footfall.session import bounded_batches, discard, materialize, scratch
 
 SKETCH_BITS = 22
 FILTER_BITS = 23
@@ -136,21 +136,50 @@ def rarity(rows: DataFrame) -> np.ndarray:
 # ---------------------------------------------------------------- documents, postings, sets
 
 
-def _ordered(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    level = levels[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
-    return np.sort(level << np.uint64(56) | (mix(hashes) >> np.uint64(8)))
+def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a slice's sets one after the other, and where each set starts (one more entry than sets)."""
+    return np.concatenate([np.zeros(0, np.uint64), *sets]), np.cumsum([0, *(len(s) for s in sets)])
 
 
-def _set_id(hashes: np.ndarray) -> tuple[int, int]:
-    a = int(np.sum(mix(hashes ^ np.uint64(0x1234567)), dtype=np.uint64))
-    b = int(np.sum(mix(hashes ^ np.uint64(0x89ABCDEF)), dtype=np.uint64))
-    return a - (1 << 63), b - (1 << 63)
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of every set, modulo 2**64."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=total[1:])
+    return total[starts[1:]] - total[starts[:-1]]
 
 
-def _group_id(n: int, prefix: np.ndarray) -> int:
-    """Hash of size and prefix; its low 12 bits carry the size in steps of 2 ** (1 / 64), rounded down."""
-    h = int(mix(np.array([int(np.sum(mix(prefix), dtype=np.uint64)) ^ n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF], np.uint64))[0])
-    return (h & ~0xFFF | min(4095, int(SIZE_STEPS * np.log2(n)))) - (1 << 63)
+def _signed(x: np.ndarray) -> np.ndarray:
+    """Unsigned numbers less 2**63."""
+    return (x ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _first_ids(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return _signed(_sums(mix(flat ^ np.uint64(0x1234567)), starts))
+
+
+def _second_ids(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return _signed(_sums(mix(flat ^ np.uint64(0x89ABCDEF)), starts))
+
+
+def _prefixes(flat: np.ndarray, starts: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The prefixes of a slice's sets, in no order, and where each starts. Rare shingles are small, frequent ones large."""
+    order = levels[(flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | (mix(flat) >> np.uint64(8))
+    n = np.diff(starts)
+    size = np.where(n > 0, prefix_size(n), 0)
+    parts = [np.zeros(0, np.uint64)]
+    for a, b, p in zip(starts[:-1].tolist(), starts[1:].tolist(), size.tolist(), strict=True):
+        x = order[a:b]
+        if p < b - a:
+            x.partition(p - 1)
+        parts.append(x[:p])
+    return np.concatenate(parts), np.cumsum([0, *size.tolist()])
+
+
+def _group_ids(n: np.ndarray, prefixes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hash of size and prefix; its low 12 bits carry the size in steps of 2 ** (1 / 64), rounded down. 0 for empty sets."""
+    h = mix(_sums(mix(prefixes), starts) ^ (n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    step = np.minimum(4095, (SIZE_STEPS * np.log2(np.maximum(n, 1))).astype(np.int64)).astype(np.uint64)
+    return np.where(n > 0, _signed(h & ~np.uint64(0xFFF) | step), 0)
 
 
 # Sizes n <= m can only link when 5 n >= 4 m; in steps, with one for rounding:
@@ -160,11 +189,12 @@ MOST_STEPS = int(np.ceil(SIZE_STEPS * np.log2(1.25))) + 1
 def _document_rows(batches, levels):
     for batch in batches:
         for a, b, sets in _sets(batch):
-            ids = [_set_id(s) for s in sets]
-            groups = [_group_id(len(s), _ordered(s, levels)[: prefix_size(len(s))]) if len(s) else 0 for s in sets]
+            flat, starts = _flat(sets)
+            n = np.diff(starts)
+            groups = _group_ids(n, *_prefixes(flat, starts, levels))
+            columns = [n, _first_ids(flat, starts), _second_ids(flat, starts), groups]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in ids], pa.int64()), pa.array([y for _, y in ids], pa.int64()), pa.array(groups, pa.int64())],
-                names=["doc_id", "n", "s1", "s2", "g"],
+                [batch.column(0).slice(a, b - a), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "n", "s1", "s2", "g"]
             )
 
 
@@ -172,19 +202,18 @@ def _posting_rows(batches, levels):
     seen: set[int] = set()
     for batch in batches:
         for _, _, sets in _sets(batch):
-            tokens, groups = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for s in sets:
-                if not len(s):
-                    continue
-                prefix = _ordered(s, levels)[: prefix_size(len(s))]
-                g = _group_id(len(s), prefix)
-                if g in seen:
-                    continue  # a copy: the group's rows are out already
-                if len(seen) < SEEN_GROUPS:
+            flat, starts = _flat(sets)
+            prefixes, ends = _prefixes(flat, starts, levels)
+            groups = _group_ids(np.diff(starts), prefixes, ends)
+            fresh = np.zeros(len(sets), bool)
+            for i, g in enumerate(groups.tolist()):
+                fresh[i] = g not in seen  # else a copy: the group's rows are out already
+                if fresh[i] and len(seen) < SEEN_GROUPS:
                     seen.add(g)
-                tokens.append(prefix)
-                groups.append(np.full(len(prefix), g))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(groups))], names=["token", "g"])
+            size = np.diff(ends)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(prefixes[np.repeat(fresh, size)].view(np.int64)), pa.array(np.repeat(groups[fresh], size[fresh]))], names=["token", "g"]
+            )
 
 
 def _hub_rows(batches):
@@ -270,11 +299,12 @@ def _token_rows(batches, wanted):
             continue
         some = batch.take(pa.array(hit))
         for a, b, sets in _sets(some):
+            flat, starts = _flat(sets)
             # The order of the cut hashes is the order of the hashes, so the sets stay sorted.
             cut = [(s >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    some.column(0).slice(a, b - a), pa.array([_set_id(s)[0] for s in sets], pa.int64()), pa.array(cut, pa.binary()),
+                    some.column(0).slice(a, b - a), pa.array(_first_ids(flat, starts)), pa.array(cut, pa.binary()),
                     pa.array([_signature(s) for s in sets], pa.binary()),
                 ],
                 names=["doc_id", "s1", "tokens", "sig"],
@@ -372,6 +402,7 @@ def _verify(batches):
 
 def link(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     levels = rarity(rows)
     found = materialize(
@@ -478,10 +509,11 @@ def _neighbour_pairs(rows: DataFrame, label: DataFrame, groups: DataFrame, turn:
 
 def _all_pairs(rows: DataFrame, label: DataFrame, groups: DataFrame) -> DataFrame:
     """All group pairs (a, b) that are not connected, share enough and may link by their signatures."""
-    rows = rows.join(_signed_groups(label), "g")
     of_token = Window.partitionBy("token")
     place = F.row_number().over(of_token.orderBy(F.col("g").bitwiseAND(0xFFF), "g")) - 1
     rows = rows.withColumn("block", F.floor(place / BLOCK).cast("int")).withColumn("_last", F.max("block").over(of_token))
+    # Signatures are many times wider than the rest of a row: rows get theirs once they have their places, and move once with them.
+    rows = rows.join(_signed_groups(label), "g")
     cell = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_last"))))
     cell = cell.withColumns({"i": F.least("block", "_o"), "j": F.greatest("block", "_o")})
     cell = cell.repartition(F.col("token"), F.col("i"), F.col("j")).sortWithinPartitions("token", "i", "j", "g")

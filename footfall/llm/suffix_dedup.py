@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from footfall.llm.words import BYTE_CODE, mix, running, slices
-from footfall.session import materialize
+from footfall.session import bounded_batches, materialize
 
 LENGTH = 50
 STEP = 20
@@ -475,6 +475,7 @@ def cut_repeats(docs: DataFrame, others: tuple[str, ...] = (), as_text: bool = F
     """Per row doc_id, the ``others`` as c0, c1 …, and n_bytes, n_removed, spans (start, end in bytes), kept.
 
     ``kept`` has the remaining bytes, or ``as_text`` what of them is whole characters."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(others)]
     )

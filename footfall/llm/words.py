@@ -116,10 +116,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORD
         grams *= np.uint64(P)
         grams += words[j : j + n]
     grams = mix(grams)
+    spans = [(a, b - size + 1) if b - a >= size else (a, a) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    for a, b in spans:
+        grams[a:b].sort()
+    new = np.ones(n, bool)
+    new[1:] = grams[1:] != grams[:-1]
+    new[[a for a, b in spans if b > a]] = True
     sets = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if b - a >= size:
-            sets.append(np.unique(grams[a : b - size + 1]))
+    for a, b, (i, j) in zip(first[:-1].tolist(), first[1:].tolist(), spans, strict=True):
+        if j > i:
+            sets.append(grams[i:j][new[i:j]])
         elif b > a:
             whole = b - a
             for h in words[a:b].tolist():

@@ -1,5 +1,6 @@
 """The n-gram join against all pairs in plain Python."""
 
+import itertools
 import random
 import re
 
@@ -128,3 +129,29 @@ def test_components(spark):
         parent[y] = x
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+def test_all_pairs_moves_signatures_once(spark):
+    """Of the exchanges of the last comparison only the one that deals the cells carries whole rows' signatures."""
+    rows = spark.createDataFrame([(t, g, None) for t in range(3) for g in range(4096, 4100)], "token long, g long, label long")
+    label = spark.createDataFrame([(g, g, g, 100, bytes(128), g) for g in range(4096, 4100)], "g long, rep long, s1 long, n long, sig binary, root long")
+    groups = label.select("g", "n")
+    pairs = ngram_join._all_pairs(rows, label, groups)
+    lines = pairs._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    window = next(i for i, line in enumerate(lines) if "Window [" in line)
+    below = list(itertools.takewhile(lambda line: depth(line) > depth(lines[window]), lines[window + 1 :]))
+    assert below and not any("sig" in line for line in below)
+    assert pairs.count() == 0  # two shared shingles are too few for sets of 100
+
+
+def test_rows_for_python_are_bounded_by_bytes(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    ngram_join.link(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")).collect()
+    docs = spark.createDataFrame([(k, "x" * 1_000_000) for k in range(20)], "doc_id long, text string").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield b.from_arrays([[b.nbytes]], names=["n"])
+
+    assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 6_000_000
