@@ -44,8 +44,8 @@ STEP = 20
 WINDOW = LENGTH - STEP + 1
 SIDE = (LENGTH - STEP) // 2
 SLICE = 512 << 10
-BATCH_BYTES = 16 << 20
-BUCKET_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+BUCKET_BYTES = 8 << 20  # a task holds about 20 times that in Python while it ranks a bucket
 HOT_RUNS, OFTEN = 5_000, 4
 HOT_STRINGS = 4 << 20  # strings of hot anchors that a batch holds before it goes out
 RUN, STRING, DECIDED = range(3)
@@ -359,8 +359,11 @@ def _pass_on(table: pa.Table, parts: int) -> pa.Table:
 
 
 def _rank_bucket(table: pa.Table, parts: int) -> pa.Table:
-    by_kind = ((f, table.filter(pc.equal(table.column("kind"), k))) for k, f in ((RUN, _rank_runs), (STRING, _rank_hot), (DECIDED, _pass_on)))
-    return pa.concat_tables([f(some, parts) for f, some in by_kind if some.num_rows])
+    steps = {RUN: _rank_runs, STRING: _rank_hot, DECIDED: _pass_on}
+    kinds = sorted(pc.unique(table.column("kind")).to_pylist())
+    if len(kinds) == 1:  # as a rule: no copy of the bucket
+        return steps[kinds[0]](table, parts)
+    return pa.concat_tables([steps[k](table.filter(pc.equal(table.column("kind"), k)), parts) for k in kinds])
 
 
 def _part_of(ids: np.ndarray, crcs: np.ndarray, parts: int) -> np.ndarray:

@@ -163,3 +163,13 @@ def test_hot_anchors(spark, monkeypatch, seed):
     rows += [(7, "-" * 200), (8, "-" * 90), (9, "-" * 400 + "x"), (None, "-" * 60)]
     assert len(suffix_dedup.hot_anchors(frame(spark, rows))) > 3
     assert run(spark, rows) == plain(rows)
+
+
+def test_a_task_holds_a_few_megabytes_at_once():
+    """Runs leave a task every few megabytes of text, and so much text makes a bucket: two tasks of an executor fit beside its heap."""
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, 4096, np.uint8).tobytes().decode() for _ in range(5000)]
+    batches = [batch([(1000 * k + i, t) for i, t in enumerate(texts[1000 * k : 1000 * (k + 1)])]) for k in range(5)]
+    out = list(suffix_dedup._run_rows(batches, suffix_dedup.buckets_for(20 << 20)))
+    assert max(b.nbytes for b in out) < 20 << 20
+    assert suffix_dedup.buckets_for(64 << 20) >= 8
