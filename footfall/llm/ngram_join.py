@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.llm.components import components
-from footfall.llm.words import mix, shingle_sets, slices
+from footfall.llm.words import SMALL_SLICE, mix, shingle_sets, slices
 from footfall.session import bounded_batches, discard, materialize, scratch
 
 SKETCH_BITS = 22
@@ -118,7 +118,7 @@ def _unpack(data: bytes, combine: str) -> np.ndarray:
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
-    for a, b, data, offsets in slices(batch.column(1)):
+    for a, b, data, offsets in slices(batch.column(1), SMALL_SLICE):
         yield a, b, shingle_sets(data, offsets)
 
 

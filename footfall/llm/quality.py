@@ -23,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from footfall.llm.words import P, mix, running, slices, word_bounds, word_hashes
+from footfall.llm.words import P, SMALL_SLICE, mix, running, slices, word_bounds, word_hashes
+from footfall.session import bounded_batches
 
 SAMPLE = 1500
 SHAPES, CONTENT = 2048, 1024
@@ -162,7 +163,7 @@ def fit(counts: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b, data, offsets in slices(batch.column(1)):
+        for a, b, data, offsets in slices(batch.column(1), SMALL_SLICE):
             sparse = [x.astype("<f4").tobytes() for counts in feature_blocks(data, offsets) for x in counts]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sparse, pa.binary())], names=["label", "counts"])
 
@@ -184,10 +185,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 def scorer(docs: DataFrame, labels: DataFrame):
     """A column function from a text to its score. Only texts go to Python, and a number comes back."""
+    bounded_batches(docs.sparkSession)
     model = train(docs, labels)
 
     def scored(text: pa.Array) -> pa.Array:
-        parts = [model.score(counts) for _, _, data, offsets in slices(text) for counts in feature_blocks(data, offsets)]
+        parts = [model.score(counts) for _, _, data, offsets in slices(text, SMALL_SLICE) for counts in feature_blocks(data, offsets)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
     return F.arrow_udf(scored, T.DoubleType())

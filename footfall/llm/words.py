@@ -17,6 +17,7 @@ P = 0x9E3779B97F4A7C15
 P_INVERSE = pow(P, -1, 1 << 64)
 SHINGLE_WORDS = 5
 SLICE_BYTES = 2 << 20
+SMALL_SLICE = 512 << 10  # where numbers per byte or shingle are several times as large as the text
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -47,7 +48,7 @@ class Powers:
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, SLICE_BYTES + 1)
+            size = max(1 << n.bit_length(), SMALL_SLICE)
             for name, base in (("up", P), ("down", P_INVERSE)):
                 steps = np.full(size, np.uint64(base))
                 steps[0] = 1

@@ -266,3 +266,21 @@ def test_labels_against_a_plain_network(monkeypatch):
         monkeypatch.setattr(H, "CELLS", cells)
         for got, right in zip(model.label(pages), want, strict=True):
             assert np.allclose(got, right, atol=1e-4)
+
+
+def test_quality_holds_little_text_at_once(spark):
+    """Numbers per byte are made for half a megabyte of text at a time, and batches for Python end by bytes."""
+    import tracemalloc
+
+    texts = ["some words of a longer text, and more of them " * 2000] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts), pa.int32()), pa.array(texts)], names=["label", "text"])
+    tracemalloc.start()
+    list(Q._count_rows(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    kind = "doc_id long, text string, quality int"
+    rows = spark.createDataFrame([(i, texts[0][:50], i % 2) for i in range(8)], kind)
+    Q.scorer(rows, rows.select("doc_id", "quality"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
