@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.llm.components import components
 from footfall.llm.words import SMALL_SLICE, mix, shingle_sets, slices
-from footfall.session import bounded_batches, discard, materialize, scratch
+from footfall.session import bounded_batches, discard, lean, materialize, scratch
 
 SKETCH_BITS = 22
 FILTER_BITS = 23
@@ -44,6 +44,7 @@ ROUNDS = 3  # of comparing rows with their neighbours, before what is left is co
 NEIGHBOURS = 6
 BLOCK = 1024
 SIGNATURE_BITS = 1024
+HELD_PAIRS = 100_000  # of groups that a task holds before Spark sums them up
 SIZE_STEPS = 64  # steps of a doubling in the size that a group id carries
 
 
@@ -94,7 +95,7 @@ def _gather(rows: DataFrame, fill, size: int, combine: str) -> np.ndarray:
             names=["part", "data"],
         )
 
-    made = rows.mapInArrow(make, "part int, data binary").repartition(PARTS, "part").mapInArrow(add, "part int, data binary")
+    made = rows.mapInArrow(lean(make), "part int, data binary").repartition(PARTS, "part").mapInArrow(lean(add), "part int, data binary")
     table = np.zeros(size, np.uint32)
     for r in made.collect():
         table[r["part"] * part : (r["part"] + 1) * part] = _unpack(bytes(r["data"]), combine)
@@ -124,7 +125,8 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
 
 def _count(table: np.ndarray, batch: pa.RecordBatch) -> None:
     for _, _, sets in _sets(batch):
-        table += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(table)).astype(np.uint32)
+        # In place: counts of a slice of their own would be twice as large as the table, for every slice.
+        np.add.at(table, (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
 
 
 def rarity(rows: DataFrame) -> np.ndarray:
@@ -259,9 +261,10 @@ def _pair_rows(batches, most: int):
     token, counts = None, {}
 
     def flush():
-        rows = [(a, b, n) for (a, b), n in counts.items()]
+        pairs = np.fromiter((x for pair in counts for x in pair), np.int64, 2 * len(counts)).reshape(-1, 2)
+        shared = np.fromiter(counts.values(), np.int64, len(counts))
         counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else ([], [], []))], names=["a", "b", "shared"])
+        return _pair_batch(pairs[:, 0], pairs[:, 1], shared)
 
     for batch in batches:
         for t, g, label, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -278,7 +281,7 @@ def _pair_rows(batches, most: int):
                     if bits is None or those is None or 9 * (bits ^ those).bit_count() <= n + m:
                         pair = (min(g, other), max(g, other))
                         counts[pair] = counts.get(pair, 0) + 1
-                        if len(counts) >= 500_000:
+                        if len(counts) >= HELD_PAIRS:
                             yield flush()
                     left -= 1
                     if not left:
@@ -289,6 +292,10 @@ def _pair_rows(batches, most: int):
     yield flush()
 
 
+def _pair_batch(a: np.ndarray, b: np.ndarray, shared: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (a, b, shared)], names=["a", "b", "shared"])
+
+
 def _token_rows(batches, wanted):
     """Complete sets (6 bytes a shingle) of the documents whose bit is set in ``wanted``."""
     bits = np.unpackbits(np.frombuffer(wanted, np.uint8))
@@ -324,26 +331,36 @@ def _cell_rows(batches):
     differ (null: several), whose sizes can link and whose signatures allow it (null: not known). A cell has
     two blocks at most.
     """
-    key, held, counts = None, [], {}
+    key, held, used = None, [], 0
+    made = np.empty((2 * HELD_PAIRS, 2), np.int64)
 
     def flush():
-        rows = [(a, b, n) for (a, b), n in counts.items()]
-        counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else ([], [], []))], names=["a", "b", "shared"])
+        pairs = made[:used][np.lexsort((made[:used, 1], made[:used, 0]))]
+        first = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]).any(axis=1))[:used])
+        return _pair_batch(pairs[first, 0], pairs[first, 1], np.diff(np.append(first, used)))
 
-    for batch in batches:
-        for *cell, block, g, label, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if cell != key:
-                _count_cell(key, held, counts)
-                key, held = cell, []
-                if len(counts) >= 200_000:
-                    yield flush()
-            held.append((block, g, label, n, sig))
-    _count_cell(key, held, counts)
+    def cells():
+        nonlocal key, held
+        for batch in batches:
+            for *cell, block, g, label, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if cell != key:
+                    yield key, held
+                    key, held = cell, []
+                held.append((block, g, label, n, sig))
+        yield key, held
+
+    for cell in cells():
+        for pairs in _cell_pairs(*cell):
+            if used + len(pairs) > len(made):
+                yield flush()
+                used = 0
+            made[used : used + len(pairs)] = pairs
+            used += len(pairs)
     yield flush()
 
 
-def _count_cell(key, held, counts) -> None:
+def _cell_pairs(key, held) -> Iterator[np.ndarray]:
+    """The group pairs (smaller, larger) of one cell, some at a time; each once."""
     if key is None or len(held) < 2:
         return
     _, i, j = key
@@ -363,13 +380,13 @@ def _count_cell(key, held, counts) -> None:
             apart &= some[:, None] < right[None, :]
         x, y = np.nonzero(apart)
         x, y = some[x], right[y]
-        for c in range(0, len(x), 1 << 16):
-            p, q = x[c : c + (1 << 16)], y[c : c + (1 << 16)]
+        for c in range(0, len(x), 1 << 14):
+            p, q = x[c : c + (1 << 14)], y[c : c + (1 << 14)]
             differ = np.bitwise_count(sig[p] ^ sig[q]).sum(axis=1, dtype=np.int64)
             keep = (9 * differ <= n[p] + n[q]) | ~known[p] | ~known[q]
-            for u, v in zip(g[p[keep]].tolist(), g[q[keep]].tolist(), strict=True):
-                pair = (u, v) if u < v else (v, u)
-                counts[pair] = counts.get(pair, 0) + 1
+            u, v = g[p[keep]], g[q[keep]]
+            if len(u):
+                yield np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1)
 
 
 def _slot(ids: np.ndarray) -> np.ndarray:
@@ -406,16 +423,16 @@ def link(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     levels = rarity(rows)
     found = materialize(
-        rows.mapInArrow(lambda b: _document_rows(b, levels), "doc_id long, n long, s1 long, s2 long, g long"), "join-documents"
+        rows.mapInArrow(lean(lambda b: _document_rows(b, levels)), "doc_id long, n long, s1 long, s2 long, g long"), "join-documents"
     )
     known = found.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     # One member per distinct set; copies are pre-aggregated wherever they lie.
     sets = materialize(known.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("g").alias("g")), "join-sets")
     members = sets.select("g", "rep", "s1", "n")
 
-    postings = rows.mapInArrow(lambda b: _posting_rows(b, levels), "token long, g long")
+    postings = rows.mapInArrow(lean(lambda b: _posting_rows(b, levels)), "token long, g long")
     postings = postings.repartition(F.col("token")).sortWithinPartitions("token", F.col("g").bitwiseAND(0xFFF), "g")
-    shared = materialize(postings.mapInArrow(_hub_rows, "token long, g long, hub long"), "join-shared")
+    shared = materialize(postings.mapInArrow(lean(_hub_rows), "token long, g long, hub long"), "join-shared")
 
     lead = members.groupBy("g").agg(F.min("rep").alias("lead"), F.count("*").alias("_n"), F.min("n").alias("n"))
     lead = materialize(lead, "join-groups")
@@ -425,7 +442,7 @@ def link(docs: DataFrame) -> DataFrame:
     wide = lead.where(F.col("_n") > 1).select("g").unionByName(able).distinct()
     wanted = members.join(wide, "g", "left_semi").select("rep")
     bits = np.packbits(_gather(wanted, _mark, 1 << FILTER_BITS, "or") > 0).tobytes()
-    tokens = materialize(rows.mapInArrow(lambda b: _token_rows(b, bits), "doc_id long, s1 long, tokens binary, sig binary"), "join-tokens")
+    tokens = materialize(rows.mapInArrow(lean(lambda b: _token_rows(b, bits)), "doc_id long, s1 long, tokens binary, sig binary"), "join-tokens")
 
     hubs = shared.where(F.col("g") != F.col("hub")).groupBy("g", "hub").agg(F.count("*").alias("_shared"))
     hubs = _enough(hubs.select(F.col("g").alias("a"), F.col("hub").alias("b"), "_shared"), lead, part=2)
@@ -503,7 +520,7 @@ def _neighbour_pairs(rows: DataFrame, label: DataFrame, groups: DataFrame, turn:
     """Group pairs (a, b) of neighbours in a random order of each token's groups of one size, another in every turn."""
     rows = rows.join(_signed_groups(label), "g").repartition(F.col("token"))
     rows = rows.sortWithinPartitions("token", F.col("g").bitwiseAND(0xFFF), F.xxhash64("g", F.lit(turn)))
-    pairs = rows.select("token", "g", "label", "n", "sig").mapInArrow(lambda b: _pair_rows(b, most), "a long, b long, shared long")
+    pairs = rows.select("token", "g", "label", "n", "sig").mapInArrow(lean(lambda b: _pair_rows(b, most)), "a long, b long, shared long")
     return _enough(pairs.groupBy("a", "b").agg(F.sum("shared").alias("_shared")), groups, part=2).select("a", "b")
 
 
@@ -517,27 +534,28 @@ def _all_pairs(rows: DataFrame, label: DataFrame, groups: DataFrame) -> DataFram
     cell = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_last"))))
     cell = cell.withColumns({"i": F.least("block", "_o"), "j": F.greatest("block", "_o")})
     cell = cell.repartition(F.col("token"), F.col("i"), F.col("j")).sortWithinPartitions("token", "i", "j", "g")
-    pairs = cell.select("token", "i", "j", "block", "g", "label", "n", "sig").mapInArrow(_cell_rows, "a long, b long, shared long")
+    pairs = cell.select("token", "i", "j", "block", "g", "label", "n", "sig").mapInArrow(lean(_cell_rows), "a long, b long, shared long")
     return _enough(pairs.groupBy("a", "b").agg(F.sum("shared").alias("_shared")), groups, part=1).select("a", "b")
 
 
 def _member_pairs(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """Unconnected member pairs (rep, s1, to, to_s1) of group pairs that their signatures allow."""
-    one = label.select(F.col("g").alias("a"), "rep", "s1", F.col("root").alias("_ra"), F.col("n").alias("_na"), F.col("sig").alias("_siga"))
+    words = range(SIGNATURE_BITS // 64)
+    # A signature becomes numbers once per row, not once per pair.
+    one = label.select(F.col("g").alias("a"), "rep", "s1", F.col("root").alias("_ra"), F.col("n").alias("_na"), *(_word(k).alias(f"_a{k}") for k in words))
     two = label.select(
-        F.col("g").alias("b"), F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("root").alias("_rb"), F.col("n").alias("_nb"), F.col("sig").alias("_sigb")
+        F.col("g").alias("b"), F.col("rep").alias("to"), F.col("s1").alias("to_s1"), F.col("root").alias("_rb"), F.col("n").alias("_nb"), *(_word(k).alias(f"_b{k}") for k in words)
     )
     pairs = pairs.join(one, "a")
     apart = (pairs["b"] == two["b"]) & (F.col("_ra") != F.col("_rb")) & ((F.col("a") != two["b"]) | (F.col("rep") < F.col("to")))
-    differ = sum((_bits_apart(k) for k in range(SIGNATURE_BITS // 64)), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"_a{k}").bitwiseXOR(F.col(f"_b{k}"))) for k in words), F.lit(0))
     apart = apart & F.coalesce(differ * 9 <= F.col("_na") + F.col("_nb"), F.lit(True))
     return pairs.join(two, apart).select("rep", "s1", "to", "to_s1").distinct()
 
 
-def _bits_apart(word: int) -> Column:
-    """Differing bits of one 64-bit word of the signatures _siga and _sigb."""
-    a, b = (F.conv(F.hex(F.substring(c, 8 * word + 1, 8)), 16, -10).cast("long") for c in ("_siga", "_sigb"))
-    return F.bit_count(a.bitwiseXOR(b))
+def _word(k: int) -> Column:
+    """Word ``k`` of 64 bits of a signature."""
+    return F.conv(F.hex(F.substring("sig", 8 * k + 1, 8)), 16, -10).cast("long")
 
 
 def _enough(pairs: DataFrame, groups: DataFrame, part: int) -> DataFrame:
@@ -553,11 +571,11 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     ``pairs`` are dealt out: a fixed-size table of their ids passes them."""
     ids = pairs.select("rep").unionByName(pairs.select(F.col("to").alias("rep")))
     bits = np.packbits(_gather(ids, _mark, 1 << FILTER_BITS, "or") > 0).tobytes()
-    some = tokens.select("doc_id", "s1", "tokens").mapInArrow(lambda b: _passed(b, bits), "doc_id long, s1 long, tokens binary")
+    some = tokens.select("doc_id", "s1", "tokens").mapInArrow(lean(lambda b: _passed(b, bits)), "doc_id long, s1 long, tokens binary")
     one = some.select(F.col("doc_id").alias("rep"), "s1", F.col("tokens").alias("x"))
     two = some.select(F.col("doc_id").alias("to"), F.col("s1").alias("to_s1"), F.col("tokens").alias("y"))
     both = pairs.join(one, ["rep", "s1"]).join(two, ["to", "to_s1"]).select(F.col("rep").alias("a"), F.col("to").alias("b"), "x", "y")
-    return both.mapInArrow(_verify, "a long, b long")
+    return both.mapInArrow(lean(_verify), "a long, b long")
 
 
 def _passed(batches, wanted):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from footfall.llm.words import slices
-from footfall.session import materialize
+from footfall.session import lean, materialize
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -185,7 +185,7 @@ def tokenize(docs: DataFrame, vocabulary: str | None = None, max_tokens: int = M
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit) of every piece."""
     path = vocabulary or default_vocabulary()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(lambda batches: _pieces(batches, path, max_tokens), PIECES)
+    return rows.mapInArrow(lean(lambda batches: _pieces(batches, path, max_tokens)), PIECES)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, most: int) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from footfall.llm.words import P, SMALL_SLICE, mix, running, slices, word_bounds, word_hashes
-from footfall.session import bounded_batches
+from footfall.session import bounded_batches, given_back, lean
 
 SAMPLE = 1500
 SHAPES, CONTENT = 2048, 1024
@@ -133,8 +133,13 @@ class Model:
 
 def _weighted(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Shapes and content each as a unit vector, content with less weight."""
-    x = np.log1p(counts) * weight
-    return np.concatenate([_unit(x[:, :SHAPES]), _unit(x[:, SHAPES:]) * CONTENT_WEIGHT], axis=1)
+    x = np.log1p(counts)
+    x *= weight
+    for part, share in ((x[:, :SHAPES], 1), (x[:, SHAPES:], CONTENT_WEIGHT)):
+        size = np.linalg.norm(part, axis=1, keepdims=True)
+        part /= np.where(size > 0, size, 1)
+        part *= share
+    return x
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -157,15 +162,26 @@ def fit(counts: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
     # Directions are evened out part of the way: rare kinds of text have small singular values.
     space /= np.sqrt(np.maximum(values[:d], 1e-6)).astype(np.float32)
     model = Model(weight, space, np.zeros((0, d), np.float32), labels.astype(np.float64))
-    model.vectors = model.embed(counts).astype(np.float32)
+    model.vectors = _unit(x @ space).astype(np.float32)
     return model
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, offsets in slices(batch.column(1), SMALL_SLICE):
-            sparse = [x.astype("<f4").tobytes() for counts in feature_blocks(data, offsets) for x in counts]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sparse, pa.binary())], names=["label", "counts"])
+            rows = [_sparse(x) for counts in feature_blocks(data, offsets) for x in counts]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(rows, pa.binary())], names=["label", "counts"])
+
+
+def _sparse(counts: np.ndarray) -> bytes:
+    """The counts of a row above 0: their places, then the counts."""
+    at = np.flatnonzero(counts)
+    return at.astype("<u2").tobytes() + counts[at].astype("<f4").tobytes()
+
+
+def _fill(counts: np.ndarray, sparse: bytes) -> None:
+    n = len(sparse) // 6
+    counts[np.frombuffer(sparse, "<u2", n)] = np.frombuffer(sparse, "<f4", n, 2 * n)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -177,10 +193,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     some = F.broadcast(parts[0].unionByName(parts[1]))
     texts = docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("_id")).select("_q", F.coalesce("text", F.lit("")).alias("text"), "_id")
     texts = texts.groupBy("_id").agg(F.min("_q").alias("_q"), F.min("text").alias("text"))
-    rows = texts.select(F.col("_q").cast("int").alias("label"), "text").mapInArrow(_count_rows, "label int, counts binary").collect()
-    counts = np.array([np.frombuffer(r["counts"], "<f4") for r in rows]).reshape(len(rows), FEATURES)
+    rows = texts.select(F.col("_q").cast("int").alias("label"), "text").mapInArrow(lean(_count_rows), "label int, counts binary").collect()
+    counts = np.zeros((len(rows), FEATURES), np.float32)
+    for at, r in zip(counts, rows, strict=True):
+        _fill(at, r["counts"])
     order = np.lexsort(counts.T[::-1]) if len(rows) else np.zeros(0, int)  # the order of collected rows does not matter
-    return fit(counts[order], np.array([r["label"] for r in rows], np.float64)[order])
+    counts, known = counts[order], np.array([r["label"] for r in rows], np.float64)[order]
+    return fit(counts, known)
 
 
 def scorer(docs: DataFrame, labels: DataFrame):
@@ -190,7 +209,7 @@ def scorer(docs: DataFrame, labels: DataFrame):
 
     def scored(text: pa.Array) -> pa.Array:
         parts = [model.score(counts) for _, _, data, offsets in slices(text, SMALL_SLICE) for counts in feature_blocks(data, offsets)]
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+        return given_back(pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64()))
 
     return F.arrow_udf(scored, T.DoubleType())
 

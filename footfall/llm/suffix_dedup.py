@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from footfall.llm.words import BYTE_CODE, mix, running, slices
-from footfall.session import bounded_batches, materialize
+from footfall.session import bounded_batches, given_back, lean, materialize
 
 LENGTH = 50
 STEP = 20
@@ -149,7 +149,7 @@ def _anchor_counts(batches, often: int):
 def hot_anchors(rows: DataFrame) -> np.ndarray:
     """Sorted ranks of the anchors with more than ``HOT_RUNS`` runs. They only say how runs are dealt, not what is removed."""
     often = OFTEN
-    counts = rows.select("text").mapInArrow(lambda b: _anchor_counts(b, often), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    counts = rows.select("text").mapInArrow(lean(lambda b: _anchor_counts(b, often)), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     return np.sort(np.array([r[0] for r in counts.where(F.col("n") > HOT_RUNS).select("anchor").collect()], np.int64).view(np.uint64))
 
 
@@ -487,8 +487,8 @@ def cut_repeats(docs: DataFrame, others: tuple[str, ...] = (), as_text: bool = F
     hot = hot_anchors(rows) if n_bytes > HOT_RUNS else np.zeros(0, np.uint64)
     names = ["doc_id", *(f"c{i}" for i in range(len(others)))]
 
-    found = rows.select("doc_id", "text").mapInArrow(lambda b: _run_rows(b, n, hot), RUNS)
-    marks = materialize(found.groupBy("bucket").applyInArrow(lambda t: _rank_bucket(t, n), MARKS), "suffix-runs")
+    found = rows.select("doc_id", "text").mapInArrow(lean(lambda b: _run_rows(b, n, hot)), RUNS)
+    marks = materialize(found.groupBy("bucket").applyInArrow(lambda t: given_back(_rank_bucket(t, n)), MARKS), "suffix-runs")
 
     def part_rows(batches):
         for batch in batches:
@@ -497,15 +497,15 @@ def cut_repeats(docs: DataFrame, others: tuple[str, ...] = (), as_text: bool = F
             yield batch.append_column("part", pa.array(_part_of(ids, crcs, n), pa.int32()))
 
     schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType())])
-    placed = rows.mapInArrow(part_rows, schema)
+    placed = rows.mapInArrow(lean(part_rows), schema)
     # Both cogroups below deal the same rows by the same key: Spark shuffles the texts once for both.
-    strings = placed.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(_string_rows, STRINGS)
-    late = strings.groupBy("bucket").applyInArrow(lambda t: _rank_strings(t, n), MARKS)
+    strings = placed.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(lambda d, m: given_back(_string_rows(d, m)), STRINGS)
+    late = strings.groupBy("bucket").applyInArrow(lambda t: given_back(_rank_strings(t, n)), MARKS)
     out = T.StructType([f for f in rows.schema.fields if f.name in names])
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     out = out.add("n_bytes", "long").add("n_removed", "long").add("spans", span).add("kept", "string" if as_text else "binary")
     both = marks.unionByName(late)
-    return placed.groupBy("part").cogroup(both.groupBy("part")).applyInArrow(lambda d, m: _remove(d, m, names, as_text), out)
+    return placed.groupBy("part").cogroup(both.groupBy("part")).applyInArrow(lambda d, m: given_back(_remove(d, m, names, as_text)), out)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -284,3 +284,11 @@ def test_quality_holds_little_text_at_once(spark):
     rows = spark.createDataFrame([(i, texts[0][:50], i % 2) for i in range(8)], kind)
     Q.scorer(rows, rows.select("doc_id", "quality"))
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+
+
+def test_quality_collects_only_counts_above_zero():
+    counts = np.zeros(Q.FEATURES, np.float32)
+    counts[[0, 5, Q.FEATURES - 1]] = [1, 70000, 3]
+    sparse, back = Q._sparse(counts), np.zeros(Q.FEATURES, np.float32)
+    Q._fill(back, sparse)
+    assert len(sparse) == 18 and (back == counts).all()

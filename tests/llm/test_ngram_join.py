@@ -155,3 +155,35 @@ def test_rows_for_python_are_bounded_by_bytes(spark):
             yield b.from_arrays([[b.nbytes]], names=["n"])
 
     assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 6_000_000
+
+
+def test_pairs_of_a_cell_are_held_in_little_memory():
+    """A full cell of groups that may all link gives each pair once, and no table of all its pairs in Python."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n = ngram_join.BLOCK
+    names = ["token", "i", "j", "block", "g", "label", "n", "sig"]
+    cell = [[7] * n, [0] * n, [0] * n, [0] * n, [k << 12 | 640 for k in range(n)], list(range(n)), [1000] * n, [None] * n]
+    kinds = [pa.int64()] * 7 + [pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cell, kinds, strict=True)], names=names)
+    tracemalloc.start()
+    sizes = [out.num_rows for out in ngram_join._cell_rows(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == n * (n - 1) // 2
+    assert max(sizes) <= 2 * ngram_join.HELD_PAIRS
+    assert peak < 60 << 20
+    twice = pa.Table.from_batches([batch.slice(0, 3), batch.slice(0, 3).set_column(0, "token", pa.array([8] * 3))]).to_batches()
+    (out,) = ngram_join._cell_rows(iter(twice))
+    assert out.column("shared").to_pylist() == [2, 2, 2]
+
+
+def test_workers_give_memory_back(monkeypatch):
+    from footfall import session
+
+    calls = []
+    monkeypatch.setattr(session, "give_back", lambda: calls.append(1))
+    assert list(session.lean(lambda batches: (x + 1 for x in batches))(iter([1, 2]))) == [2, 3] and len(calls) == 1
+    assert session.given_back("x") == "x" and len(calls) == 2
